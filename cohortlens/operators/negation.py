@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from ..functions.arrays import running_start
-from .text import _tokens, compile_lexicon, match_phrases, phrase_table, resolve_overlaps, split_pieces
+from .text import MENTION_KIND, _tokens, compile_lexicon, match_phrases, phrase_table, resolve_overlaps, split_pieces
 
 # --- fixed values: cue phrases ----------------------------------------------
 PRECEDING_CUES = (
@@ -34,7 +34,7 @@ FOLLOWING_CUES = (
 TERMINATION_WORDS = ("but", "however", "though", "except")
 # -----------------------------------------------------------------------------
 
-MENTION, PRECEDING, FOLLOWING, TERMINATION = "mention", "preceding", "following", "termination"
+MENTION, PRECEDING, FOLLOWING, TERMINATION = MENTION_KIND, "preceding", "following", "termination"
 
 #: characters per bucket of the span-to-piece range join
 ALIGN_BUCKET = 2048

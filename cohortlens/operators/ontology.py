@@ -2,8 +2,6 @@
 
 from __future__ import annotations
 
-from functools import reduce
-
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -116,6 +114,3 @@ def ontology_stats(terms: DataFrame, version_url: DataFrame) -> DataFrame:
     version = version_url.agg(F.first("version_url").alias("u")).select(release_version(F.col("u")).alias("version"))
     return counts.select(version.scalar().alias("version"), "term_count", "vector_count")
 
-
-def union_all(frames: list[DataFrame]) -> DataFrame:
-    return reduce(DataFrame.unionByName, frames)

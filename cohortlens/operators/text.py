@@ -20,6 +20,7 @@ from ..functions.grammar import KEY_SEP, PIECE, PIECE_ENDS, SENTENCE_ENDERS, TOK
 #: whole phrases are joined by key across the cluster
 BROADCAST_LEXICON_ROWS = 500_000
 
+MENTION_KIND = "mention"
 LEXICON_COLUMNS = ("n_tokens", "first_token", "phrase_key", "inner_end")
 
 
