@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -12,6 +14,11 @@ PAD = "#"
 # --------------------------------------------------------------------------------
 
 
+def bound(value: Column, use: Callable[[Column], Column]) -> Column:
+    """``use(value)`` with the value computed once, also where ``use`` loops."""
+    return F.element_at(F.transform(F.array(value), use), 1)
+
+
 def norm(vector: Column) -> Column:
     squares = F.aggregate(vector, F.lit(0.0), lambda acc, x: acc + x.cast("double") * x.cast("double"))
     return F.sqrt(squares)
@@ -19,8 +26,8 @@ def norm(vector: Column) -> Column:
 
 def unit(vector: Column) -> Column:
     """L2-normalised float vector; a zero vector stays zero."""
-    length = norm(vector)
-    return F.transform(vector, lambda x: (x / F.when(length == 0, F.lit(1.0)).otherwise(length)).cast("float"))
+    divisor = F.coalesce(F.nullif(norm(vector), F.lit(0.0)), F.lit(1.0))
+    return bound(divisor, lambda length: F.transform(vector, lambda x: (x / length).cast("float")))
 
 
 def confidence(score: Column) -> Column:
@@ -30,18 +37,20 @@ def confidence(score: Column) -> Column:
 
 def hashed_buckets(text: Column, dim: int) -> Column:
     """Bucket of every character trigram of the padded lower-case text."""
-    padded = F.concat(F.lit(PAD), F.lower(text), F.lit(PAD))
 
-    def bucket(i: Column) -> Column:
-        code = F.lit(0)
-        for k in range(GRAM):
-            code = code * HASH_BASE + F.ascii(F.substring(padded, i + k, F.lit(1)))
-        return (code % dim).cast("int")
+    def buckets(padded: Column) -> Column:
+        def bucket(i: Column) -> Column:
+            code = F.lit(0)
+            for k in range(GRAM):
+                code = code * HASH_BASE + F.ascii(F.substring(padded, i + k, F.lit(1)))
+            return (code % dim).cast("int")
 
-    last = F.length(padded) - (GRAM - 1)
-    return F.when(last >= 1, F.transform(F.sequence(F.lit(1), F.greatest(last, F.lit(1))), bucket)).otherwise(
-        F.array().cast("array<int>")
-    )
+        last = F.length(padded) - (GRAM - 1)
+        return F.when(last >= 1, F.transform(F.sequence(F.lit(1), F.greatest(last, F.lit(1))), bucket)).otherwise(
+            F.array().cast("array<int>")
+        )
+
+    return bound(F.concat(F.lit(PAD), F.lower(text), F.lit(PAD)), buckets)
 
 
 def bucket_counts(buckets: Column, dim: int) -> Column:

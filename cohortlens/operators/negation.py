@@ -151,14 +151,16 @@ def align_spans(notes: DataFrame, spans: DataFrame, keys: Sequence[str], text: s
         .where((F.col("_first") < F.col("end")) & (F.col("_stop") > F.col("start")))
         .where(F.col("_b") == F.greatest(_bucket("_first"), _bucket("start")))
         .withColumn("_hit", touching)
-        .where(F.size("_hit") > 0)
+        .withColumns(
+            {"_n": F.size("_hit"), "_head": F.try_element_at("_hit", F.lit(1)), "_tail": F.try_element_at("_hit", F.lit(-1))}
+        )
         .groupBy(*keys, "start", "end")
         .agg(
-            F.min(here + F.element_at("_hit", 1)["o"]).cast("int").alias("token_start"),
-            F.max(here + F.element_at("_hit", -1)["o"] + F.length(F.element_at("_hit", -1)["w"])).cast("int").alias("token_end"),
-            F.sum(F.size("_hit")).cast("int").alias("n_tokens"),
-            F.min("sentence").alias("first_sentence"),
-            F.max("sentence").alias("last_sentence"),
+            F.min(here + F.col("_head.o")).cast("int").alias("token_start"),
+            F.max(here + F.col("_tail.o") + F.length("_tail.w")).cast("int").alias("token_end"),
+            F.nullif(F.sum("_n"), F.lit(0)).cast("int").alias("n_tokens"),
+            F.min(F.when(F.col("_n") > 0, F.col("sentence"))).alias("first_sentence"),
+            F.max(F.when(F.col("_n") > 0, F.col("sentence"))).alias("last_sentence"),
         )
     )
     return spans.join(aligned, [*keys, "start", "end"], "left")

@@ -14,7 +14,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from ..functions.arrays import running_start
-from ..functions.grammar import KEY_SEP, PIECE, PIECE_ENDS, SENTENCE_ENDERS, TOKEN
+from ..functions.grammar import KEY_SEP, PIECE, PIECE_ENDS, PIECE_TOKENS, SENTENCE_ENDERS, TOKEN
 
 #: a lexicon up to this many rows is probed in a broadcast hash join; beyond it
 #: whole phrases are joined by key across the cluster
@@ -50,12 +50,15 @@ def split_pieces(
     ``offset`` (characters before the piece), ``ended`` (the sentence ends
     here), ``piece`` and, when asked for, the ``before`` and ``ahead``
     neighbourhood of the piece.
+
+    Arrays are exploded with the outer form here and below.  For the inner form
+    the optimizer adds a not-empty filter on the array and pushes it down, so
+    the expressions behind the array would be computed again for the filter.
     """
     cut = (
         notes.select(*keys, F.regexp_extract_all(F.col(text), F.lit(PIECE), F.lit(0)).alias("_p"))
-        .where(F.size("_p") > 0)
         .withColumn("_len", F.transform("_p", F.length))
-        .withColumn("_end", F.transform("_p", lambda p: F.regexp_like(p, F.lit(PIECE_ENDS)).cast("int")))
+        .withColumn("_end", F.transform("_p", _is_ended))
         .withColumn("_off", running_start(F.col("_len")))
         .withColumn("_sent", running_start(F.col("_end")))
     )
@@ -68,7 +71,8 @@ def split_pieces(
         parts.append(F.col("_ahead").alias("ahead"))
     return (
         cut.withColumn("_z", F.arrays_zip(*parts))
-        .select(*keys, F.posexplode("_z").alias("piece_no", "_r"))
+        .select(*keys, F.posexplode_outer("_z").alias("piece_no", "_r"))
+        .where(F.col("piece_no").isNotNull())
         .select(
             *keys,
             "piece_no",
@@ -82,6 +86,12 @@ def split_pieces(
     )
 
 
+def _is_ended(piece: Column) -> Column:
+    """1 if a sentence ends with the piece; a piece cut for its size is long."""
+    short = F.length(piece) < PIECE_TOKENS
+    return F.when(short | F.regexp_like(piece, F.lit(PIECE_ENDS)), 1).otherwise(0)
+
+
 def _neighbours(pieces: Column, chars: int, after: bool) -> Column:
     """Up to ``chars`` characters next to each piece.
 
@@ -114,7 +124,7 @@ def tokenize(notes: DataFrame, keys: Sequence[str], text: str) -> DataFrame:
         .withColumn("_s", _tokens(F.col("piece"), 0))
         .withColumn("_l", F.transform("_s", F.length))
         .withColumn("_o", running_start(F.col("_l"), chunk=16))
-        .select(*keys, "piece_no", "offset", F.posexplode(F.arrays_zip(F.col("_w").alias("w"), F.col("_o").alias("o"))).alias("i", "_t"))
+        .select(*keys, "piece_no", "offset", F.posexplode_outer(F.arrays_zip(F.col("_w").alias("w"), F.col("_o").alias("o"))).alias("i", "_t"))
         .where(F.col("_t.w") != " ")
         .select(
             *keys,
@@ -207,13 +217,14 @@ def match_phrases(
 
     pieces = split_pieces(notes, keys, text, before_chars=context_chars, ahead_chars=reach + context_chars)
     tokens = (
-        pieces.withColumn("_near", F.concat("piece", F.left("ahead", F.lit(reach))))
-        .withColumn("_w", _tokens(F.col("_near"), 1))
-        .withColumn("_s", _tokens(F.col("_near"), 0))
+        pieces.withColumn("_next", F.left("ahead", F.lit(reach)))
+        .withColumn("_own", _tokens(F.col("piece"), 1))
+        .withColumn("_w", F.concat("_own", _tokens(F.col("_next"), 1)))
+        .withColumn("_s", F.concat(_tokens(F.col("piece"), 0), _tokens(F.col("_next"), 0)))
         .select(
             *keys, "sentence", "offset", "ended", "piece", "ahead", "_w", "_s",
             *(["before"] if context_chars else []),
-            F.posexplode("_w").alias("_i", "_t"),
+            F.posexplode_outer("_own").alias("_i", "_t"),
         )
     )
     if size["rows"] <= broadcast_rows:
@@ -226,18 +237,11 @@ def match_phrases(
             tokens.where(F.col("_t") != " ")
             .select("*", F.explode(lengths).alias("_n"))
             .withColumn("_k", F.lower(_joined(F.col("_w"), F.col("_i") + 1, F.col("_n"), KEY_SEP)))
-            .withColumn("_at", F.length(_joined(F.col("_s"), F.lit(1), F.col("_i"), "")))
-            .where(F.col("_at") < F.length("piece"))
             .join(lexicon, (F.col("_k") == F.col("phrase_key")) & (F.col("_n") == F.col("n_tokens")))
         )
     span = F.rtrim(_joined(F.col("_s"), F.col("_i") + 1, F.col("n_tokens"), ""))
     at = F.length(_joined(F.col("_s"), F.lit(1), F.col("_i"), ""))
-    out = (
-        found.withColumn("at", at)
-        .where(F.col("at") < F.length("piece"))
-        .withColumn("span", span)
-        .withColumn("stop", F.col("at") + F.length("span"))
-    )
+    out = found.withColumn("at", at).withColumn("span", span).withColumn("stop", F.col("at") + F.length("span"))
     columns = [
         *keys,
         *payload,
@@ -301,7 +305,7 @@ def resolve_overlaps(spans: DataFrame, keys: Sequence[str]) -> DataFrame:
                 F.filter("_all", lambda s: _chosen(F.col("_mask"), s["start"] - F.col("_base"), s["end"] - s["start"]))
             ),
         )
-        .select(*keys, F.explode("_kept").alias("_r"))
+        .select(*keys, F.explode_outer("_kept").alias("_r"))  # an island keeps at least one span
         .select(*keys, "_r.start", "_r.end", "_r.n_tokens", *[F.col(f"_r.{c}").alias(c) for c in payload])
     )
 
