@@ -350,7 +350,7 @@ def cohort_profile(patients: DataFrame) -> DataFrame:
         F.inline(
             F.array(
                 F.struct(F.lit("cohort").alias("section"), F.lit("patients").alias("item"), F.col("rows").alias("n"), F.lit(1.0).alias("share")),
-                F.struct(F.lit("cohort"), F.lit("adverse_event"), F.col("events"), F.try_divide("events", "rows")),
+                F.struct(F.lit("cohort").alias("section"), F.lit("adverse_event").alias("item"), F.col("events").alias("n"), F.try_divide("events", "rows").alias("share")),
             )
         )
     )

@@ -237,10 +237,11 @@ def hashed_vectors(spark: SparkSession, sf: str) -> DataFrame:
 def _note_concepts(spark: SparkSession) -> DataFrame:
     """Vocabulary phrases as concept texts, an id per category."""
     rows = [
-        (c * 100 + i, f"C:{c:03d}", p) for c, ps in enumerate(sy.VOCABULARY.values()) for i, p in enumerate(ps)
+        {"vector_idx": c * 100 + i, "hpo_id": f"C:{c:03d}", "text": p}
+        for c, ps in enumerate(sy.VOCABULARY.values())
+        for i, p in enumerate(ps)
     ]
-    literal = F.array(*[F.struct(*[F.lit(v) for v in row]) for row in rows])
-    return spark.range(0, 1, 1, 1).select(F.inline(literal.cast("array<struct<vector_idx:bigint,hpo_id:string,text:string>>")))
+    return tx.constant_table(spark, rows, "vector_idx bigint, hpo_id string, text string")
 
 
 def _flat_enriched(found: DataFrame) -> DataFrame:
