@@ -1,4 +1,7 @@
-"""Array expressions that stay linear on long arrays."""
+"""Array expressions that stay linear on long arrays.
+
+Nested lambdas are written as SQL text: one expression, one call into the JVM.
+"""
 
 from __future__ import annotations
 
@@ -6,34 +9,21 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 
-def running_start(values: Column, chunk: int = 64) -> Column:
-    """Sum of the elements before each element of an integer array.
+def running_start(column: str, chunk: int = 64) -> Column:
+    """Sum of the elements before each element of an integer array column.
 
     Appending inside one fold copies the array at every step.  The fold is
     therefore done per chunk, and once over the chunk totals.
     """
-    zero = F.lit(0).cast("bigint")
-
-    def starts(xs: Column, base: Column) -> Column:
-        grown = F.aggregate(
-            xs,
-            F.array(base),
-            lambda acc, x: F.array_append(acc, F.element_at(acc, -1) + x),
-        )
-        return F.slice(grown, 1, F.size(xs))
-
-    def total(xs: Column) -> Column:
-        return F.aggregate(xs, zero, lambda acc, x: acc + x)
-
-    def by_chunk(xs: Column) -> Column:
-        chunks = F.transform(
-            F.sequence(F.lit(1), F.size(xs), F.lit(chunk)),
-            lambda i: F.slice(xs, i, F.lit(chunk)),
-        )
-        bases = starts(F.transform(chunks, total), zero)
-        return F.flatten(F.transform(F.arrays_zip(chunks.alias("c"), bases.alias("b")), lambda z: starts(z["c"], z["b"])))
-
-    long = F.transform(values, lambda x: x.cast("bigint"))
-    return F.when(F.size(values) <= 0, F.array().cast("array<bigint>")).when(
-        F.size(values) <= chunk, starts(long, zero)
-    ).otherwise(by_chunk(long))
+
+    def starts(xs: str, base: str) -> str:
+        grown = f"aggregate({xs}, array({base}), (acc, x) -> array_append(acc, element_at(acc, -1) + x))"
+        return f"slice({grown}, 1, size({xs}))"
+
+    chunks = f"transform(sequence(1, size({column}), {chunk}), i -> slice({column}, i, {chunk}))"
+    totals = f"transform({chunks}, c -> aggregate(c, 0L, (acc, x) -> acc + x))"
+    long = f"flatten(transform(arrays_zip({chunks}, {starts(totals, '0L')}), z -> {starts('z.`0`', 'z.`1`')}))"
+    return F.expr(
+        f"case when size({column}) <= 0 then cast(array() as array<bigint>)"
+        f" when size({column}) <= {chunk} then {starts(column, '0L')} else {long} end"
+    )

@@ -7,6 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from ..functions.storage import staged
 from .ranks import running_totals
 
 # --- fixed values -----------------------------------------------------------------
@@ -27,13 +28,17 @@ TOP1_GATE = 0.70
 def ranking_metrics(scored: DataFrame, y: str = "y", p: str = "p", groups: Sequence[str] = ()) -> DataFrame:
     """``n, n_pos, auroc, auprc, brier`` of all rows, or of each group.
 
-    Rows are counted per score before anything is ordered.  AUROC gives ties
+    Rows are counted per score before anything is ordered, and the counts are
+    written once, so what made the scores runs once.  AUROC gives ties
     one half; AUPRC is average precision over distinct scores.  AUROC is null
     without both classes, AUPRC without positives.
     """
     label = F.col(y).cast("bigint")
-    counts = scored.groupBy(*groups, F.col(p).cast("double").alias("_p")).agg(
-        F.sum(label).alias("pos"), F.sum(1 - label).alias("neg")
+    counts = staged(
+        scored.groupBy(*groups, F.col(p).cast("double").alias("_p")).agg(
+            F.sum(label).alias("pos"), F.sum(1 - label).alias("neg")
+        ),
+        "score-counts",
     )
     pos, neg, score = F.col("pos"), F.col("neg"), F.col("_p")
     tp = F.col("pos_total") - F.col("pos_before")

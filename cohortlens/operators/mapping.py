@@ -11,7 +11,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions.storage import staged
-from ..functions.vectors import bucket_counts, confidence, hashed_buckets, unit
+from ..functions.vectors import bound, bucket_counts, confidence, hashed_buckets, unit
 from .negation import cue_table, negated_mentions
 from .text import MENTION_KIND
 from .validate import check_top_k
@@ -45,12 +45,8 @@ def normalize_vectors(vectors: DataFrame, column: str = "embedding") -> DataFram
 
 def hashed_vectors(texts: DataFrame, text: str = "text", dim: int = 64) -> DataFrame:
     """Adds ``embedding``: a deterministic stand-in for a text encoder."""
-    return (
-        texts.withColumn("_b", hashed_buckets(F.col(text), dim))
-        .withColumn("_c", bucket_counts(F.col("_b"), dim))
-        .withColumn("embedding", unit(F.col("_c")))
-        .drop("_b", "_c")
-    )
+    counts = bound(hashed_buckets(F.col(text), dim), lambda buckets: bucket_counts(buckets, dim))
+    return texts.withColumn("embedding", bound(counts, unit))
 
 
 # --------------------------------------------------------------------------

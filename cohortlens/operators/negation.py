@@ -125,8 +125,8 @@ def align_spans(notes: DataFrame, spans: DataFrame, keys: Sequence[str], text: s
         split_pieces(notes, keys, text)
         .withColumn("_w", _tokens(F.col("piece"), 1))
         .withColumn("_s", _tokens(F.col("piece"), 0))
-        .withColumn("_l", F.transform("_s", F.length))
-        .withColumn("_o", running_start(F.col("_l"), chunk=16))
+        .withColumn("_l", F.expr("transform(_s, s -> length(s))"))
+        .withColumn("_o", running_start("_l", chunk=16))
         .withColumn("_stop", F.col("offset") + F.length("piece"))
         .select(
             *keys,

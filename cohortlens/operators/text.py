@@ -56,22 +56,17 @@ def split_pieces(
     the optimizer adds a not-empty filter on the array and pushes it down, so
     the expressions behind the array would be computed again for the filter.
     """
-    cut = (
-        notes.select(*keys, F.regexp_extract_all(F.col(text), F.lit(PIECE), F.lit(0)).alias("_p"))
-        .withColumn("_len", F.transform("_p", F.length))
-        .withColumn("_end", F.transform("_p", _is_ended))
-        .withColumn("_off", running_start(F.col("_len")))
-        .withColumn("_sent", running_start(F.col("_end")))
+    ended = f"length(p) < {PIECE_TOKENS} or regexp_like(p, {_quoted(PIECE_ENDS)})"  # a piece cut for its size is long
+    cut = notes.select(*keys, F.regexp_extract_all(F.col(text), F.lit(PIECE), F.lit(0)).alias("_p")).select(
+        "*", F.expr("transform(_p, p -> length(p))").alias("_len"), F.expr(f"transform(_p, p -> int({ended}))").alias("_end")
     )
-    parts = [F.col("_p").alias("piece"), F.col("_off").alias("offset"), F.col("_sent").alias("sentence"), F.col("_end").alias("ended")]
+    parts = {"piece": F.col("_p"), "offset": running_start("_len"), "sentence": running_start("_end"), "ended": F.col("_end")}
     if before_chars:
-        cut = cut.withColumn("_before", _neighbours(F.col("_p"), before_chars, after=False))
-        parts.append(F.col("_before").alias("before"))
+        parts["before"] = _neighbours("_p", before_chars, after=False)
     if ahead_chars:
-        cut = cut.withColumn("_ahead", _neighbours(F.col("_p"), ahead_chars, after=True))
-        parts.append(F.col("_ahead").alias("ahead"))
+        parts["ahead"] = _neighbours("_p", ahead_chars, after=True)
     return (
-        cut.withColumn("_z", F.arrays_zip(*parts))
+        cut.select(*keys, F.arrays_zip(*[c.alias(n) for n, c in parts.items()]).alias("_z"))
         .select(*keys, F.posexplode_outer("_z").alias("piece_no", "_r"))
         .where(F.col("piece_no").isNotNull())
         .select(
@@ -80,41 +75,32 @@ def split_pieces(
             F.col("_r.sentence").cast("int").alias("sentence"),
             F.col("_r.offset").cast("int").alias("offset"),
             (F.col("_r.ended") == 1).alias("ended"),
-            "_r.piece",
-            *([F.col("_r.before").alias("before")] if before_chars else []),
-            *([F.col("_r.ahead").alias("ahead")] if ahead_chars else []),
+            *[f"_r.{c}" for c in ("piece", "before", "ahead") if c in parts],
         )
     )
 
 
-def _is_ended(piece: Column) -> Column:
-    """1 if a sentence ends with the piece; a piece cut for its size is long."""
-    short = F.length(piece) < PIECE_TOKENS
-    return F.when(short | F.regexp_like(piece, F.lit(PIECE_ENDS)), 1).otherwise(0)
+def _quoted(text: str) -> str:
+    """A raw SQL string literal."""
+    return f"r'{text}'"
 
 
-def _neighbours(pieces: Column, chars: int, after: bool) -> Column:
-    """Up to ``chars`` characters next to each piece.
+def _neighbours(pieces: str, chars: int, after: bool) -> Column:
+    """Up to ``chars`` characters next to each piece of an array column.
 
     A piece has at least one character, so ``chars`` pieces always suffice; a
     handful nearly always do and are tried first.
     """
-
-    def window(i: Column, count: int) -> Column:
-        if after:
-            return F.array_join(F.slice(pieces, i + 2, F.lit(count)), "")
-        first = F.greatest(i - count, F.lit(0))
-        return F.array_join(F.slice(pieces, first + 1, i - first), "")
-
-    def clip(s: Column) -> Column:
-        return F.left(s, F.lit(chars)) if after else F.right(s, F.lit(chars))
-
-    def near(_p: Column, i: Column) -> Column:
-        few = window(i, 6)
-        rest = (F.size(pieces) - 1 - i) if after else i
-        return F.when((F.length(few) >= chars) | (rest <= 6), clip(few)).otherwise(clip(window(i, chars)))
-
-    return F.transform(pieces, near)
+    few = 6
+    if after:
+        side, rest = "left", f"size({pieces}) - 1 - i"
+        window = f"array_join(slice({pieces}, i + 2, {{n}}), '')"
+    else:
+        side, rest = "right", "i"
+        window = f"array_join(slice({pieces}, greatest(i - {{n}}, 0) + 1, least(i, {{n}})), '')"
+    near, far = window.format(n=few), window.format(n=chars)
+    enough = f"{rest} <= {few} or length({near}) >= {chars}"
+    return F.expr(f"transform({pieces}, (p, i) -> {side}(if({enough}, {near}, {far}), {chars}))")
 
 
 def tokenize(notes: DataFrame, keys: Sequence[str], text: str) -> DataFrame:
@@ -123,8 +109,8 @@ def tokenize(notes: DataFrame, keys: Sequence[str], text: str) -> DataFrame:
         split_pieces(notes, keys, text)
         .withColumn("_w", _tokens(F.col("piece"), 1))
         .withColumn("_s", _tokens(F.col("piece"), 0))
-        .withColumn("_l", F.transform("_s", F.length))
-        .withColumn("_o", running_start(F.col("_l"), chunk=16))
+        .withColumn("_l", F.expr("transform(_s, s -> length(s))"))
+        .withColumn("_o", running_start("_l", chunk=16))
         .select(*keys, "piece_no", "offset", F.posexplode_outer(F.arrays_zip(F.col("_w").alias("w"), F.col("_o").alias("o"))).alias("i", "_t"))
         .where(F.col("_t.w") != " ")
         .select(
@@ -290,54 +276,28 @@ def resolve_overlaps(spans: DataFrame, keys: Sequence[str]) -> DataFrame:
             F.collect_list(F.struct("start", "end", "n_tokens", *payload)).alias("_all"),
         )
     )
-    single = F.size("_all") == 1
-    candidates = F.array_sort(
-        F.array_distinct(
-            F.transform(
-                "_all",
-                lambda s: F.struct((-s["n_tokens"]).alias("rank"), s["start"].alias("start"), s["end"].alias("end")),
-            )
-        )
-    )
+    candidates = "array_sort(array_distinct(transform(_all, s -> struct(-s.n_tokens as rank, s.start as start, s.`end` as `end`))))"
+    kept = f"filter(_all, s -> {_CHOSEN})"
     return (
-        members.withColumn("_c", F.when(~single, candidates))
-        .withColumn("_mask", F.when(~single, _choose(F.col("_c"), F.col("_base"), F.col("_top"))))
-        .withColumn(
-            "_kept",
-            F.when(single, F.col("_all")).otherwise(
-                F.filter("_all", lambda s: _chosen(F.col("_mask"), s["start"] - F.col("_base"), s["end"] - s["start"]))
-            ),
-        )
+        members.withColumn("_mask", F.expr(f"if(size(_all) = 1, null, {_CHOOSE.format(candidates=candidates)})"))
+        .withColumn("_kept", F.expr(f"if(size(_all) = 1, _all, {kept})"))
         .select(*keys, F.explode_outer("_kept").alias("_r"))  # an island keeps at least one span
         .select(*keys, "_r.start", "_r.end", "_r.n_tokens", *[F.col(f"_r.{c}").alias(c) for c in payload])
     )
 
 
-_FREE, _HEAD, _BODY = b"0", b"1", b"2"
-
-
-def _fill(byte: bytes, count: Column) -> Column:
-    return F.repeat(F.lit(byte.decode()), count.cast("int")).cast("binary")
-
-
-def _choose(candidates: Column, base: Column, top: Column) -> Column:
-    """Mask of an island: head and body bytes of the chosen spans."""
-
-    def step(mask: Column, s: Column) -> Column:
-        at = (s["start"] - base + 1).cast("int")
-        width = (s["end"] - s["start"]).cast("int")
-        free = F.substring(mask, at, width) == _fill(_FREE, width)
-        mark = F.concat(F.lit(_HEAD.decode()).cast("binary"), _fill(_BODY, width - 1))
-        return F.when(free, F.overlay(mask, mark, at, width)).otherwise(mask)
-
-    return F.aggregate(candidates, _fill(_FREE, top - base), step)
-
-
-def _chosen(mask: Column, at: Column, width: Column) -> Column:
-    here = F.substring(mask, at.cast("int") + 1, width.cast("int") + 1)
-    want = F.concat(F.lit(_HEAD.decode()).cast("binary"), _fill(_BODY, width - 1))
-    stops = F.substring(here, (width + 1).cast("int"), F.lit(1)) != F.lit(_BODY.decode()).cast("binary")
-    return (F.substring(here, F.lit(1), width.cast("int")) == want) & stops
+# The mask of an island has a byte per character: 0 free, 1 first of a chosen
+# span, 2 further in one.
+_MARK = "concat('1', repeat('2', s.`end` - s.start - 1))"
+_CHOOSE = (
+    "aggregate({candidates}, cast(repeat('0', _top - _base) as binary), (mask, s) -> "
+    "if(substring(mask, s.start - _base + 1, s.`end` - s.start) = cast(repeat('0', s.`end` - s.start) as binary), "
+    f"overlay(mask placing cast({_MARK} as binary) from s.start - _base + 1 for s.`end` - s.start), mask))"
+)
+_CHOSEN = (
+    f"substring(_mask, s.start - _base + 1, s.`end` - s.start) = cast({_MARK} as binary)"
+    " and substring(_mask, s.`end` - _base + 1, 1) <> cast('2' as binary)"
+)
 
 
 def find_mentions(notes: DataFrame, lexicon: DataFrame, keys: Sequence[str], text: str) -> DataFrame:
