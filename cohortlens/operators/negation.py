@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from ..functions.arrays import running_start
-from .text import MENTION_KIND, _tokens, compile_lexicon, match_phrases, phrase_table, resolve_overlaps, split_pieces
+from .text import CUT_KIND, MENTION_KIND, _tokens, compile_lexicon, match_phrases, phrase_table, resolve_overlaps, split_pieces
 
 # --- fixed values: cue phrases ----------------------------------------------
 PRECEDING_CUES = (
@@ -34,7 +34,7 @@ FOLLOWING_CUES = (
 TERMINATION_WORDS = ("but", "however", "though", "except")
 # -----------------------------------------------------------------------------
 
-MENTION, PRECEDING, FOLLOWING, TERMINATION = MENTION_KIND, "preceding", "following", "termination"
+MENTION, PRECEDING, FOLLOWING, TERMINATION = MENTION_KIND, "preceding", "following", CUT_KIND
 
 #: characters per bucket of the span-to-piece range join
 ALIGN_BUCKET = 2048
@@ -66,19 +66,25 @@ def cue_lexicon_rows(cues: DataFrame) -> DataFrame:
     return cues.select("kind", F.col("kind").alias("category"), "phrase").unionByName(words).dropDuplicates()
 
 
+def mark_cut_spans(events: DataFrame, keys: Sequence[str]) -> DataFrame:
+    """Sets ``split`` where a termination word starts inside a span.
+
+    For spans that do not come from a lexicon; matching knows it already.
+    """
+    after = Window.partitionBy(*keys, "sentence").orderBy(F.desc("start")).rangeBetween(Window.unboundedPreceding, -1)
+    next_cut = F.min(F.when(F.col("kind") == TERMINATION, F.col("start"))).over(after)
+    return events.withColumn("_cut", next_cut).withColumn(
+        "split", F.col("split") | F.coalesce(F.col("_cut") < F.col("end"), F.lit(False))
+    ).drop("_cut")
+
+
 def scopes(events: DataFrame, keys: Sequence[str]) -> DataFrame:
-    """Adds ``scope`` and ``scope_end`` to events of a sentence.
+    """Adds ``scope``: a sentence cut again where a termination word starts.
 
-    A scope is a sentence cut again where a termination word starts; the word
-    opens the new scope.  ``scope_end`` is where the next one starts, if any.
+    The word opens the new scope.
     """
-    sentence = Window.partitionBy(*keys, "sentence")
-    cut = F.col("kind") == TERMINATION
-    upto = sentence.orderBy("start").rangeBetween(Window.unboundedPreceding, 0)
-    after = sentence.orderBy(F.desc("start")).rangeBetween(Window.unboundedPreceding, -1)
-    return events.withColumn("scope", F.sum(cut.cast("int")).over(upto)).withColumn(
-        "scope_end", F.min(F.when(cut, F.col("start"))).over(after)
-    )
+    upto = Window.partitionBy(*keys, "sentence").orderBy("start").rangeBetween(Window.unboundedPreceding, 0)
+    return events.withColumn("scope", F.sum((F.col("kind") == TERMINATION).cast("int")).over(upto))
 
 
 def flag_negated(events: DataFrame, keys: Sequence[str]) -> DataFrame:
@@ -91,15 +97,13 @@ def flag_negated(events: DataFrame, keys: Sequence[str]) -> DataFrame:
     inside = Window.partitionBy(*keys, "sentence", "scope")
     first_pre = F.min(F.when(F.col("kind") == PRECEDING, F.col("start"))).over(inside)
     last_fol = F.max(F.when(F.col("kind") == FOLLOWING, F.col("end"))).over(inside)
-    whole = ~F.col("split") & (F.col("scope_end").isNull() | (F.col("scope_end") >= F.col("end")))
     hit = F.coalesce(F.col("_pre") < F.col("start"), F.lit(False)) | F.coalesce(F.col("_fol") > F.col("end"), F.lit(False))
     return (
         scopes(events, keys)
-        .withColumn("_pre", first_pre)
-        .withColumn("_fol", last_fol)
+        .withColumns({"_pre": first_pre, "_fol": last_fol})
         .where(F.col("kind") == MENTION)
-        .withColumn("negated", whole & hit)
-        .drop("_pre", "_fol", "scope", "scope_end", "sentence", "split", "kind")
+        .withColumn("negated", ~F.col("split") & hit)
+        .drop("_pre", "_fol", "scope", "sentence", "split", "kind")
     )
 
 
@@ -200,7 +204,7 @@ def negate_spans(
         .unionByName(judged.withColumn("kind", F.lit(MENTION)).select(columns))
         .repartition(*keys)
     )
-    flags = flag_negated(events, keys).select(
+    flags = flag_negated(mark_cut_spans(events, keys), keys).select(
         *keys, F.col("start").alias("token_start"), F.col("end").alias("token_end"), "negated"
     )
     return aligned.join(flags, [*keys, "token_start", "token_end"], "left").withColumn(

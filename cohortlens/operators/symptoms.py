@@ -99,9 +99,18 @@ def grade_pattern(grade: int) -> str:
     )
 
 
-def infer_grade(context: Column) -> Column:
-    """Highest grade named in the context, null if none."""
-    return F.coalesce(*[F.when(F.regexp_like(context, F.lit(grade_pattern(g))), F.lit(g)) for g in (4, 3, 2, 1)])
+def infer_grade(context: str) -> Column:
+    """Highest grade named in a context column, null if none.
+
+    A plain search for the words spares most contexts the pattern.
+    """
+    low = F.lower(context)
+
+    def named(grade: int) -> Column:
+        word = F.lit(GRADE_WORDS[grade].split("[")[0])
+        return (F.contains(low, word) | F.contains(low, F.lit("grade"))) & F.regexp_like(context, F.lit(grade_pattern(grade)))
+
+    return F.coalesce(*[F.when(named(g), F.lit(g)) for g in (4, 3, 2, 1)])
 
 
 def symptom_mentions(
@@ -124,13 +133,13 @@ def symptom_mentions(
     if apply_negation:
         rows = rows.unionByName((cues if cues is not None else cue_table(spark)).select("kind", "category", "phrase"))
     hits = match_phrases(notes, compile_lexicon(rows), keys, text, context_chars=GRADE_CONTEXT if with_grade else 0)
-    grade = F.when(F.col("kind") == MENTION, infer_grade(F.col("context"))) if with_grade else F.lit(None).cast("int")
+    grade = F.when(F.col("kind") == MENTION, infer_grade("context")) if with_grade else F.lit(None).cast("int")
     events = hits.withColumn("grade", grade).drop("context").repartition(*keys)
     if apply_negation:
         found = flag_negated(events, keys)
     else:
         found = events.drop("kind", "sentence", "split").withColumn("negated", F.lit(False))
-    return resolve_overlaps(resolve_overlaps(found, [*keys, "category"]), keys)
+    return resolve_overlaps(found, keys, within="category")
 
 
 def note_rollup(

@@ -21,7 +21,7 @@ from ..functions.grammar import KEY_SEP, PIECE, PIECE_ENDS, PIECE_TOKENS, SENTEN
 #: whole phrases are joined by key across the cluster
 BROADCAST_LEXICON_ROWS = 500_000
 
-MENTION_KIND = "mention"
+MENTION_KIND, CUT_KIND = "mention", "termination"
 LEXICON_COLUMNS = ("n_tokens", "first_token", "phrase_key", "inner_end")
 
 
@@ -193,14 +193,16 @@ def match_phrases(
 
     ``lexicon`` comes from :func:`compile_lexicon`; its payload columns are
     kept.  Adds ``start``, ``end``, ``text`` (as written), ``n_tokens``,
-    ``sentence``, ``split`` (the span runs over a sentence end) and, with
-    ``context_chars``, the text around the span as ``context``.
+    ``sentence``, ``split`` (the span runs over a sentence end, or a phrase of
+    kind ``termination`` starts inside it) and, with ``context_chars``, the text
+    around the span as ``context``.
     """
     payload = [c for c in lexicon.columns if c not in LEXICON_COLUMNS]
     size = lexicon.agg(
         F.count(F.lit(1)).alias("rows"),
         F.max(F.length("phrase_key")).alias("chars"),
         F.collect_set("n_tokens").alias("lengths"),
+        F.collect_set(F.when(F.col("kind") == CUT_KIND, F.struct("n_tokens", "phrase_key")) if "kind" in payload else F.lit(None)).alias("cuts"),
     ).first()
     reach = (size["chars"] or 0) + 1  # a span has as many inner blanks as the key has separators, or fewer
 
@@ -239,7 +241,7 @@ def match_phrases(
         F.col("span").alias("text"),
         "n_tokens",
         "sentence",
-        (F.col("inner_end") | (F.col("ended") & (F.col("stop") > F.length("piece")))).alias("split"),
+        (F.col("inner_end") | (F.col("ended") & (F.col("stop") > F.length("piece"))) | _cut_inside(size["cuts"])).alias("split"),
     ]
     if context_chars:
         around = F.concat("before", "piece", "ahead")
@@ -249,16 +251,27 @@ def match_phrases(
     return out.select(*columns)
 
 
+def _cut_inside(cuts: Iterable) -> Column:
+    """Whether one of the (n_tokens, phrase_key) phrases starts after the span's first token."""
+    out = F.lit(False)
+    for tokens, key in sorted(cuts):
+        later = _joined(F.col("_w"), F.col("_i") + 2, F.col("n_tokens") + (tokens - 2), KEY_SEP)
+        out = out | F.contains(F.lower(F.concat(F.lit(KEY_SEP), later, F.lit(KEY_SEP))), F.lit(f"{KEY_SEP}{key}{KEY_SEP}"))
+    return (F.col("n_tokens") > 1) & out
+
+
 # --------------------------------------------------------------------------
 # overlap resolution
 # --------------------------------------------------------------------------
 
 
-def resolve_overlaps(spans: DataFrame, keys: Sequence[str]) -> DataFrame:
+def resolve_overlaps(spans: DataFrame, keys: Sequence[str], within: str | None = None) -> DataFrame:
     """Keep the longest spans, earlier first on ties, so that none overlap.
 
     ``spans`` needs ``start``, ``end`` and ``n_tokens``; a span that occurs
     several times under one key is one candidate and all its rows are kept.
+    With ``within`` the spans of each value of that column are resolved first,
+    then what is left of all.
     Spans are cut into islands that do not touch each other; inside an island
     the choice is made over a byte mask of the island, so a step costs a copy
     of the mask and not a search through the spans chosen so far.
@@ -276,27 +289,34 @@ def resolve_overlaps(spans: DataFrame, keys: Sequence[str]) -> DataFrame:
             F.collect_list(F.struct("start", "end", "n_tokens", *payload)).alias("_all"),
         )
     )
-    candidates = "array_sort(array_distinct(transform(_all, s -> struct(-s.n_tokens as rank, s.start as start, s.`end` as `end`))))"
-    kept = f"filter(_all, s -> {_CHOSEN})"
+    if within:
+        groups = f"array_distinct(transform(_all, s -> s.{within}))"
+        kept = f"flatten(transform({groups}, g -> {_kept_of(f'filter(_all, s -> s.{within} = g)')}))"
+        members = members.withColumn("_all", F.expr(f"if(size(_all) = 1, _all, {kept})"))
     return (
-        members.withColumn("_mask", F.expr(f"if(size(_all) = 1, null, {_CHOOSE.format(candidates=candidates)})"))
-        .withColumn("_kept", F.expr(f"if(size(_all) = 1, _all, {kept})"))
+        members.withColumn("_kept", F.expr(f"if(size(_all) = 1, _all, {_kept_of('_all')})"))
         .select(*keys, F.explode_outer("_kept").alias("_r"))  # an island keeps at least one span
         .select(*keys, "_r.start", "_r.end", "_r.n_tokens", *[F.col(f"_r.{c}").alias(c) for c in payload])
     )
 
 
+def _kept_of(spans: str) -> str:
+    """SQL array of the spans that are kept; mask and spans are bound once."""
+    return f"transform(array({spans}), a -> transform(array({_CHOOSE}), mask -> filter(a, s -> {_CHOSEN}))[0])[0]"
+
+
 # The mask of an island has a byte per character: 0 free, 1 first of a chosen
 # span, 2 further in one.
 _MARK = "concat('1', repeat('2', s.`end` - s.start - 1))"
+_CANDIDATES = "array_sort(array_distinct(transform(a, s -> struct(-s.n_tokens as rank, s.start as start, s.`end` as `end`))))"
 _CHOOSE = (
-    "aggregate({candidates}, cast(repeat('0', _top - _base) as binary), (mask, s) -> "
-    "if(substring(mask, s.start - _base + 1, s.`end` - s.start) = cast(repeat('0', s.`end` - s.start) as binary), "
-    f"overlay(mask placing cast({_MARK} as binary) from s.start - _base + 1 for s.`end` - s.start), mask))"
+    f"aggregate({_CANDIDATES}, cast(repeat('0', _top - _base) as binary), (m, s) -> "
+    "if(substring(m, s.start - _base + 1, s.`end` - s.start) = cast(repeat('0', s.`end` - s.start) as binary), "
+    f"overlay(m placing cast({_MARK} as binary) from s.start - _base + 1 for s.`end` - s.start), m))"
 )
 _CHOSEN = (
-    f"substring(_mask, s.start - _base + 1, s.`end` - s.start) = cast({_MARK} as binary)"
-    " and substring(_mask, s.`end` - _base + 1, 1) <> cast('2' as binary)"
+    f"substring(mask, s.start - _base + 1, s.`end` - s.start) = cast({_MARK} as binary)"
+    " and substring(mask, s.`end` - _base + 1, 1) <> cast('2' as binary)"
 )
 
 
