@@ -124,7 +124,8 @@ class FeaturePlan:
 
     @property
     def columns(self) -> list[str]:
-        hot = [f"{c}={v}" for c, values in self.categories.items() for v in values[1:]]
+        # in the order of CATEGORICAL, whatever order the plan was stored in
+        hot = [f"{c}={v}" for c in CATEGORICAL for v in self.categories.get(c, ())[1:]]
         return [*NUMERIC, *hot, *NOTE_FLAGS, *DEMOGRAPHIC]
 
     def assemble(self, features: DataFrame, keep: Sequence[str]) -> DataFrame:

@@ -160,7 +160,7 @@ def test_align_and_negate_free_spans(spark):
 # ---- random texts --------------------------------------------------------------------
 
 WORDS = ["no", "pain", "burning", "but", "absent", ".", "!", "(", ")", " ", "\n", "hand", "the", "not present", "3.5", "é", "Dr."]
-PHRASES = {"a": ["pain", "burning pain", "the the", "pain the"], "b": ["the hand", "burning pain", "hand. the", "the the the"]}
+PHRASES = {"a": ["pain", "burning pain", "the the", "pain the"], "b": ["the hand", "burning pain", "hand. the", "the the the", "pain but the"]}
 
 
 def random_texts(count, seed):
