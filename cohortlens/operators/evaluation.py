@@ -109,7 +109,7 @@ def _judged_groups(scored: DataFrame, y: str, p: str, dimensions: Sequence[str])
 def subgroup_auroc(
     scored: DataFrame, y: str = "y", p: str = "p", dimensions: Sequence[str] = AUROC_DIMENSIONS
 ) -> DataFrame:
-    return _judged_groups(scored, y, p, dimensions).select("dimension", "group", F.round("auroc", 4).alias("auroc"))
+    return _judged_groups(scored, y, p, dimensions).select("dimension", "group", F.bround("auroc", 4).alias("auroc"))
 
 
 def subgroup_table(
@@ -121,8 +121,8 @@ def subgroup_table(
         "group",
         "n",
         "n_pos",
-        F.round(F.col("n_pos") / F.col("n"), 4).alias("ae_rate"),
-        *[F.round(m, 4).alias(m) for m in ("auroc", "auprc", "brier")],
+        F.bround(F.col("n_pos") / F.col("n"), 4).alias("ae_rate"),
+        *[F.bround(m, 4).alias(m) for m in ("auroc", "auprc", "brier")],
     )
 
 
@@ -159,10 +159,10 @@ def threshold_table(
     f1 = 2 * F.col("_p") * F.col("_r") / F.greatest(F.col("_p") + F.col("_r"), F.lit(1e-9))
     return table.select(
         "threshold",
-        F.round("_p", 4).alias("precision"),
-        F.round("_r", 4).alias("recall"),
-        F.round(f1, 4).alias("f1"),
-        F.round(tn / F.greatest(tn + fp, one), 4).alias("specificity"),
+        F.bround("_p", 4).alias("precision"),
+        F.bround("_r", 4).alias("recall"),
+        F.bround(f1, 4).alias("f1"),
+        F.bround(tn / F.greatest(tn + fp, one), 4).alias("specificity"),
         (tp + fp).alias("n_alerted"),
         "true_positives",
         "false_positives",
@@ -176,7 +176,7 @@ def best_threshold(table: DataFrame) -> DataFrame:
 
 def metric_summary(scored: DataFrame, y: str = "y", p: str = "p") -> DataFrame:
     """Headline metrics, four digits."""
-    return ranking_metrics(scored, y, p).select(*[F.round(m, 4).alias(m) for m in ("auroc", "auprc", "brier")])
+    return ranking_metrics(scored, y, p).select(*[F.bround(m, 4).alias(m) for m in ("auroc", "auprc", "brier")])
 
 
 def model_report(scored: DataFrame, model: str, y: str = "y", p: str = "p") -> DataFrame:
@@ -257,9 +257,9 @@ def extraction_prf(cases: DataFrame, expected: DataFrame, predicted: DataFrame)
         "true_positives",
         "predicted",
         "expected",
-        F.round(precision, 4).alias("extraction_precision"),
-        F.round(recall, 4).alias("extraction_recall"),
-        F.round(f1, 4).alias("extraction_f1"),
+        F.bround(precision, 4).alias("extraction_precision"),
+        F.bround(recall, 4).alias("extraction_recall"),
+        F.bround(f1, 4).alias("extraction_f1"),
     )
 
 
@@ -296,8 +296,8 @@ def mapping_topk(cases: DataFrame, expected: DataFrame, predicted: DataFrame, ca
         "mapping_total",
         "top1_correct",
         "top3_correct",
-        F.round(_ratio(F.col("top1_correct"), F.col("mapping_total")), 4).alias("top1_accuracy"),
-        F.round(_ratio(F.col("top3_correct"), F.col("mapping_total")), 4).alias("top3_accuracy"),
+        F.bround(_ratio(F.col("top1_correct"), F.col("mapping_total")), 4).alias("top1_accuracy"),
+        F.bround(_ratio(F.col("top3_correct"), F.col("mapping_total")), 4).alias("top3_accuracy"),
     )
 
 
@@ -317,7 +317,7 @@ def negation_fp(cases: DataFrame, expected: DataFrame, predicted: DataFrame) ->
         .agg(F.count(F.lit(1)).alias("negation_total"), F.count_if(~F.col("_negated")).alias("negation_false_positives"))
     )
     return judged.withColumn(
-        "negation_fp_rate", F.round(_ratio(F.col("negation_false_positives"), F.col("negation_total")), 4)
+        "negation_fp_rate", F.bround(_ratio(F.col("negation_false_positives"), F.col("negation_total")), 4)
     )
 
 

@@ -226,5 +226,5 @@ def stratified_cv(
 
 def cv_summary(scores: DataFrame) -> DataFrame:
     return scores.agg(
-        F.round(F.avg("auroc"), 4).alias("cv_auroc_mean"), F.round(F.stddev_pop("auroc"), 4).alias("cv_auroc_std")
+        F.bround(F.avg("auroc"), 4).alias("cv_auroc_mean"), F.bround(F.stddev_pop("auroc"), 4).alias("cv_auroc_std")
     )

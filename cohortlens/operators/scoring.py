@@ -100,7 +100,7 @@ def score_patients(
         raw = F.coalesce("_model", "_rules")
         used = F.when(F.col("_model").isNotNull(), name).otherwise(HEURISTIC_FALLBACK)
     return scored.withColumns(
-        {"risk_tier": risk_tier(raw, high, medium), "model_used": used, "risk_probability": F.round(raw, 4)}
+        {"risk_tier": risk_tier(raw, high, medium), "model_used": used, "risk_probability": F.bround(raw, 4)}
     ).drop("_rules", "_model")
 
 

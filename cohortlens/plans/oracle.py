@@ -215,19 +215,19 @@ def _mapping_queries() -> dict[str, str]:
       {_search(f"select text mention_text, embedding from ({_encoded('select distinct mention as text from kept')})",
                f"select vector_idx, hpo_id, c.text, embedding from concept c join ({_encoded('select distinct text from concept')}) v on v.text = c.text", 3)},
       nested as (select mention_text, string_agg(hpo_id, ',' order by rank) ids from ranked group by mention_text)
-      select id patient_id, s, e, mention, negated, hpo_id, hpo_label, round(confidence, 5) confidence, ids candidate_ids
+      select id patient_id, s, e, mention, negated, hpo_id, hpo_label, confidence, ids candidate_ids
       from kept k join ranked r on r.mention_text = k.mention and rank = 1 join nested n on n.mention_text = k.mention"""
     return {
         "normalize_vectors": """select vec_id, cast(generate_subscripts(embedding, 1) - 1 as int) i,
             round(unnest(list_transform(embedding, lambda x: cast(cast(2 * x as float) / sqrt(list_sum(list_transform(embedding, lambda y: power(cast(2 * y as double), 2)))) as float)))::double, 5) x from embeddings""",
-        "nearest": f"with {search(3)} select mention_text, vector_idx, round(score, 6) score from hits",
-        "dedupe_concepts": f"with {search(3)} select mention_text, hpo_id, hpo_label, round(score, 6) score from best",
-        "rank_candidates": f"with {search(10)} select mention_text, rank, hpo_id, hpo_label, round(confidence, 6) confidence from ranked",
-        "confidence_band": f"""with {search(10)} select mention_text, rank, case when round(confidence, 9) >= {mp.HIGH_CONFIDENCE} then 'high'
-            when round(confidence, 9) >= {mp.MODERATE_CONFIDENCE} then 'moderate' else 'low' end band from ranked""",
+        "nearest": f"with {search(3)} select mention_text, vector_idx, score from hits",
+        "dedupe_concepts": f"with {search(3)} select mention_text, hpo_id, hpo_label, score from best",
+        "rank_candidates": f"with {search(10)} select mention_text, rank, hpo_id, hpo_label, confidence from ranked",
+        "confidence_band": f"""with {search(10)} select mention_text, rank, case when confidence >= {mp.HIGH_CONFIDENCE} then 'high'
+            when confidence >= {mp.MODERATE_CONFIDENCE} then 'moderate' else 'low' end band from ranked""",
         "map_mentions": f"""with {search(3)}, m as ({_VECTOR_MENTIONS}),
             nested as (select mention_text, cast(count(*) as int) n, string_agg(hpo_id, ',' order by rank) ids from ranked group by 1)
-            select note_id, m.text, coalesce(hpo_id, '') hpo_id, coalesce(hpo_label, '') hpo_label, round(coalesce(confidence, 0.0), 6) confidence, negated,
+            select note_id, m.text, coalesce(hpo_id, '') hpo_id, coalesce(hpo_label, '') hpo_label, coalesce(confidence, 0.0::double) confidence, negated,
             coalesce(n, 0) n_candidates, coalesce(ids, '') candidate_ids
             from m left join ranked r on r.mention_text = m.text and rank = 1 left join nested on nested.mention_text = m.text""",
         "empty_index": f"select note_id, text, '' hpo_id, '' hpo_label, cast(0 as double) confidence from ({_VECTOR_MENTIONS})",
@@ -336,7 +336,7 @@ _LABS = "concat_ws(', ', " + ", ".join(
 
 def _scored(patients: str, notes: str) -> str:
     return f"""{_rollup(notes, _CATS)},
-      scored as (select *, {_TIER} risk_tier, round(raw, 4) risk_probability from (
+      scored as (select *, {_TIER} risk_tier, round_even(raw, 4) risk_probability from (
         select p.*, r.* exclude (id), {_RISK} raw from ({patients}) p join rolled r on r.id = p.patient_id))"""
 
 
@@ -408,8 +408,8 @@ _BAND = "case when age <= 50 then '<50' when age <= 65 then '50-65' when age <=
 
 def _thresholds(rows: str) -> str:
     values = ", ".join(f"({t}::double)" for t in ev.THRESHOLDS)
-    return f"""select threshold, round(pr, 4) as precision, round(re, 4) as recall, round(2 * pr * re / greatest(pr + re, 1e-9), 4) f1,
-      round(tn / greatest(tn + fp, 1)::double, 4) specificity, tp + fp n_alerted, tp true_positives, fp false_positives, fn false_negatives from (
+    return f"""select threshold, round_even(pr, 4) as precision, round_even(re, 4) as recall, round_even(2 * pr * re / greatest(pr + re, 1e-9), 4) f1,
+      round_even(tn / greatest(tn + fp, 1)::double, 4) specificity, tp + fp n_alerted, tp true_positives, fp false_positives, fn false_negatives from (
       select *, tp / greatest(tp + fp, 1)::double pr, tp / greatest(tp + fn, 1)::double re from (
         select threshold, count(*) filter (p >= threshold and y = 1) tp, count(*) filter (p >= threshold and y = 0) fp,
           count(*) filter (p < threshold and y = 1) fn, count(*) filter (p < threshold and y = 0) tn
@@ -440,33 +440,33 @@ def _evaluation_queries() -> dict[str, str]:
       neg as (select count(*) negation_total, count(*) filter (not p.negated) negation_false_positives
         from expected e left join predicted p on p.case_id = e.case_id and lower(p.text) = lower(e.text)
         where e.negated and e.case_id in (select case_id from cases where status = 'ok'))"""
-    top1 = "round(top1_correct / mapping_total::double, 4)"
-    prf = "round(a, 4) extraction_precision, round(b, 4) extraction_recall, round(2 * a * b / (a + b), 4) extraction_f1"
+    top1 = "round_even(top1_correct / mapping_total::double, 4)"
+    prf = "round_even(a, 4) extraction_precision, round_even(b, 4) extraction_recall, round_even(2 * a * b / (a + b), 4) extraction_f1"
     profile = f"""with p as ({_PATIENTS}), t as (select count(*) n from p)
       select 'cohort' section, 'patients' item, n, 1::double share from t
-      union all select 'cohort', 'adverse_event', count(*) filter (adverse_event), round(count(*) filter (adverse_event) / count(*)::double, 9) from p
-      union all select 'ae_type', ae_type, count(*), round(count(*) / (select n from t)::double, 9) from p where ae_type is not null group by ae_type
-      union all select 'cancer_type', cancer_type, count(*), round(count(*) / (select n from t)::double, 9) from p group by cancer_type"""
+      union all select 'cohort', 'adverse_event', count(*) filter (adverse_event), round_even(count(*) filter (adverse_event) / count(*)::double, 9) from p
+      union all select 'ae_type', ae_type, count(*), round_even(count(*) / (select n from t)::double, 9) from p where ae_type is not null group by ae_type
+      union all select 'cancer_type', cancer_type, count(*), round_even(count(*) / (select n from t)::double, 9) from p group by cancer_type"""
     return {
-        "auroc": f"select round(auroc, 9) auroc from ({_ranking(one, 'g')})",
-        "auprc": f"select round(auprc, 9) auprc from ({_ranking(one, 'g')})",
-        "brier": f"select round(avg(power(p - toxic, 2)), 9) brier from ({_SCORES})",
-        "calibration_curve": f"""select cast(least(greatest(ceil(p * 10) - 1, 0), 9) as int) bin, round(avg(y), 9) fraction_positive,
-            round(avg(p), 9) mean_predicted, count(*) n from ({_SCORES}) group by 1""",
+        "auroc": f"select round_even(auroc, 9) auroc from ({_ranking(one, 'g')})",
+        "auprc": f"select round_even(auprc, 9) auprc from ({_ranking(one, 'g')})",
+        "brier": f"select round_even(avg(power(p - toxic, 2)), 9) brier from ({_SCORES})",
+        "calibration_curve": f"""select cast(least(greatest(ceil(p * 10) - 1, 0), 9) as int) bin, round_even(avg(y), 9) fraction_positive,
+            round_even(avg(p), 9) mean_predicted, count(*) n from ({_SCORES}) group by 1""",
         "threshold_table": _thresholds(_SCORES),
         "best_threshold": f"""select threshold, "precision", recall, f1 from ({_thresholds(f'select toxic y, p from ({_SCORES})')}) order by f1 desc, threshold limit 1""",
         "report_round_trip": f"select * from ({_thresholds(_SCORES)}) union all select * from ({_thresholds(_SCORES)})",
         "age_groups": f"select {_BAND} age_group, count(*) n, min(age) youngest, max(age) oldest from ({_PATIENTS}) group by 1",
-        "subgroup_auroc": f"""{grouped} select dimension, "group", round(auroc, 4) auroc from ({metrics(ev.AUROC_DIMENSIONS)})""",
-        "subgroup_table": f"""{grouped} select dimension, "group", cast(n as bigint) n, cast(n_pos as bigint) n_pos, round(n_pos / n::double, 4) ae_rate,
-            round(auroc, 4) auroc, round(auprc, 4) auprc, round(brier, 4) brier from ({metrics(ev.TABLE_DIMENSIONS)})""",
+        "subgroup_auroc": f"""{grouped} select dimension, "group", round_even(auroc, 4) auroc from ({metrics(ev.AUROC_DIMENSIONS)})""",
+        "subgroup_table": f"""{grouped} select dimension, "group", cast(n as bigint) n, cast(n_pos as bigint) n_pos, round_even(n_pos / n::double, 4) ae_rate,
+            round_even(auroc, 4) auroc, round_even(auprc, 4) auprc, round_even(brier, 4) brier from ({metrics(ev.TABLE_DIMENSIONS)})""",
         "cohort_profile": profile,
         "extraction_prf": f"with {gold} select true_positives, predicted, expected, {prf} from prf",
-        "mapping_topk": f"with {gold} select mapping_total, top1_correct, top3_correct, {top1} top1_accuracy, round(top3_correct / mapping_total::double, 4) top3_accuracy from topk",
-        "negation_fp": f"with {gold} select negation_total, negation_false_positives, round(negation_false_positives / negation_total::double, 4) negation_fp_rate from neg",
+        "mapping_topk": f"with {gold} select mapping_total, top1_correct, top3_correct, {top1} top1_accuracy, round_even(top3_correct / mapping_total::double, 4) top3_accuracy from topk",
+        "negation_fp": f"with {gold} select negation_total, negation_false_positives, round_even(negation_false_positives / negation_total::double, 4) negation_fp_rate from neg",
         "failed_cases": f"with {gold} select status, count(*) expected_mentions, count(distinct case_id) cases from expected join cases using (case_id) group by status",
-        "evaluate_extraction": f"""with {gold} select {prf}, {top1} top1_accuracy, round(top3_correct / mapping_total::double, 4) top3_accuracy,
-            round(negation_false_positives / negation_total::double, 4) negation_fp_rate, (select count(*) from cases) total_cases from prf, topk, neg""",
+        "evaluate_extraction": f"""with {gold} select {prf}, {top1} top1_accuracy, round_even(top3_correct / mapping_total::double, 4) top3_accuracy,
+            round_even(negation_false_positives / negation_total::double, 4) negation_fp_rate, (select count(*) from cases) total_cases from prf, topk, neg""",
         "regression_gate": f"with {gold} select 'top1_accuracy' metric, {top1} as value, 0.7::double threshold, {top1} >= 0.7 passed from topk",
     }
 

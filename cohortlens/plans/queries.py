@@ -168,13 +168,13 @@ def normalize_vectors(spark: SparkSession, sf: str) -> DataFrame:
 
 def nearest(spark: SparkSession, sf: str) -> DataFrame:
     return mp.nearest(_vector_queries(spark, sf), _concepts(spark, sf)).select(
-        "mention_text", "vector_idx", F.round("score", 6).alias("score")
+        "mention_text", "vector_idx", "score"
     )
 
 
 def dedupe_concepts(spark: SparkSession, sf: str) -> DataFrame:
     hits = mp.nearest(_vector_queries(spark, sf), _concepts(spark, sf))
-    return mp.dedupe_concepts(hits).select("mention_text", "hpo_id", "hpo_label", F.round("score", 6).alias("score"))
+    return mp.dedupe_concepts(hits).select("mention_text", "hpo_id", "hpo_label", "score")
 
 
 def _candidates(spark: SparkSession, sf: str, top_k: int) -> DataFrame:
@@ -182,12 +182,12 @@ def _candidates(spark: SparkSession, sf: str, top_k: int) -> DataFrame:
 
 
 def rank_candidates(spark: SparkSession, sf: str) -> DataFrame:
-    return _candidates(spark, sf, 10).withColumn("confidence", F.round("confidence", 6))
+    return _candidates(spark, sf, 10)
 
 
 def confidence_band(spark: SparkSession, sf: str) -> DataFrame:
     return _candidates(spark, sf, 10).select(
-        "mention_text", "rank", mp.confidence_band(F.round("confidence", 9)).alias("band")
+        "mention_text", "rank", mp.confidence_band(F.col("confidence")).alias("band")
     )
 
 
@@ -205,7 +205,7 @@ def _vector_mentions(spark: SparkSession, sf: str) -> DataFrame:
 def map_mentions(spark: SparkSession, sf: str) -> DataFrame:
     mapped = mp.map_mentions(_vector_mentions(spark, sf), _candidates(spark, sf, 3), ["note_id"])
     return mapped.select(
-        "note_id", "text", "hpo_id", "hpo_label", F.round("confidence", 6).alias("confidence"), "negated",
+        "note_id", "text", "hpo_id", "hpo_label", "confidence", "negated",
         F.coalesce(F.size("candidates"), F.lit(0)).alias("n_candidates"),
         F.coalesce(F.array_join(F.col("candidates.hpo_id"), ","), F.lit("")).alias("candidate_ids"),
     )
@@ -246,7 +246,7 @@ def _note_concepts(spark: SparkSession) -> DataFrame:
 
 def _flat_enriched(found: DataFrame) -> DataFrame:
     return _spans(found).select(
-        "patient_id", "s", "e", "mention", "negated", "hpo_id", "hpo_label", F.round("confidence", 5).alias("confidence"),
+        "patient_id", "s", "e", "mention", "negated", "hpo_id", "hpo_label", "confidence",
         F.array_join(F.col("candidates.hpo_id"), ",").alias("candidate_ids"),
     )
 
