@@ -109,7 +109,9 @@ def nearest(
     spark = queries.sparkSession
     fetch = OVERFETCH * check_top_k(top_k)
     size = concepts.where(F.col("embedding").isNotNull()).agg(
-        F.count(F.lit(1)).alias("rows"), F.max(F.size("embedding")).alias("dim")
+        F.count(F.lit(1)).alias("rows"),
+        F.max(F.size("embedding")).alias("dim"),
+        F.sum(F.coalesce(F.octet_length("text"), F.lit(0)) + F.coalesce(F.octet_length("hpo_id"), F.lit(0))).alias("label_bytes"),
     ).first()
     if not size["rows"]:
         return spark.createDataFrame([], _HITS)
@@ -118,7 +120,7 @@ def nearest(
     known = concepts.where(_usable(concepts, dim)).select(
         "vector_idx", "hpo_id", F.col("text").alias("hpo_label"), F.col("embedding").cast("array<float>").alias("embedding")
     )
-    if size["rows"] * dim * 8 <= broadcast_bytes:
+    if size["rows"] * dim * 8 + size["label_bytes"] <= broadcast_bytes:
         return _nearest_broadcast(wanted, known, dim, fetch)
     return _nearest_blocks(wanted, known, dim, fetch, size["rows"], block)
 

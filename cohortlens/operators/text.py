@@ -17,9 +17,12 @@ from pyspark.sql import functions as F
 from ..functions.arrays import running_start
 from ..functions.grammar import KEY_SEP, PIECE, PIECE_ENDS, PIECE_TOKENS, SENTENCE_ENDERS, TOKEN
 
-#: a lexicon up to this many rows is probed in a broadcast hash join; beyond it
-#: whole phrases are joined by key across the cluster
+#: a lexicon up to this size is probed in a broadcast hash join; beyond it whole
+#: phrases are joined by key across the cluster
 BROADCAST_LEXICON_ROWS = 500_000
+BROADCAST_LEXICON_BYTES = 128 << 20
+#: copies of a lexicon row that occurrences of a hot phrase are spread over
+PHRASE_SALTS = 8
 
 MENTION_KIND, CUT_KIND = "mention", "termination"
 LEXICON_COLUMNS = ("n_tokens", "first_token", "phrase_key", "inner_end")
@@ -188,6 +191,7 @@ def match_phrases(
     text: str,
     context_chars: int = 0,
     broadcast_rows: int = BROADCAST_LEXICON_ROWS,
+    broadcast_bytes: int = BROADCAST_LEXICON_BYTES,
 ) -> DataFrame:
     """Every occurrence of every lexicon phrase, overlaps included.
 
@@ -198,9 +202,11 @@ def match_phrases(
     around the span as ``context``.
     """
     payload = [c for c in lexicon.columns if c not in LEXICON_COLUMNS]
+    texts = [c for c, t in lexicon.dtypes if t == "string" and c in payload]
     size = lexicon.agg(
         F.count(F.lit(1)).alias("rows"),
         F.max(F.length("phrase_key")).alias("chars"),
+        F.sum(sum((F.coalesce(F.octet_length(c), F.lit(0)) for c in [*texts, "first_token", "phrase_key"]), F.lit(64))).alias("bytes"),
         F.collect_set("n_tokens").alias("lengths"),
         F.collect_set(F.when(F.col("kind") == CUT_KIND, F.struct("n_tokens", "phrase_key")) if "kind" in payload else F.lit(None)).alias("cuts"),
     ).first()
@@ -218,37 +224,43 @@ def match_phrases(
             F.posexplode_outer("_own").alias("_i", "_t"),
         )
     )
-    if size["rows"] <= broadcast_rows:
-        found = tokens.join(F.broadcast(lexicon), F.lower("_t") == F.col("first_token")).where(
-            F.lower(_joined(F.col("_w"), F.col("_i") + 1, F.col("n_tokens"), KEY_SEP)) == F.col("phrase_key")
-        )
+    def located(rows: DataFrame, extra: Sequence[Column | str]) -> DataFrame:
+        """Spans of ``n_tokens`` tokens from token ``_i`` of a piece."""
+        at = F.length(_joined(F.col("_s"), F.lit(1), F.col("_i"), ""))
+        span = F.rtrim(_joined(F.col("_s"), F.col("_i") + 1, F.col("n_tokens"), ""))
+        placed = rows.withColumn("at", at).withColumn("span", span).withColumn("stop", F.col("at") + F.length("span"))
+        columns = [
+            *keys,
+            *extra,
+            (F.col("offset") + F.col("at")).alias("start"),
+            (F.col("offset") + F.col("stop")).alias("end"),
+            F.col("span").alias("text"),
+            "n_tokens",
+            "sentence",
+            ((F.col("ended") & (F.col("stop") > F.length("piece"))) | _cut_inside(size["cuts"])).alias("split"),
+        ]
+        if context_chars:
+            around = F.concat("before", "piece", "ahead")
+            first = F.greatest(F.length("before") + F.col("at") - context_chars, F.lit(0))
+            last = F.length("before") + F.col("stop") + context_chars
+            columns.append(F.substring(around, first + 1, last - first).alias("context"))
+        return placed.select(*columns)
+
+    key_at = F.lower(_joined(F.col("_w"), F.col("_i") + 1, F.col("n_tokens"), KEY_SEP))
+    if size["rows"] <= broadcast_rows and (size["bytes"] or 0) <= broadcast_bytes:
+        hits = tokens.join(F.broadcast(lexicon), F.lower("_t") == F.col("first_token")).where(key_at == F.col("phrase_key"))
+        found = located(hits, [*payload, "inner_end"])
     else:
+        # spans of every phrase length go to their phrase as narrow rows; a
+        # phrase that is everywhere is spread over copies of its row
         lengths = F.array(*[F.lit(n) for n in sorted(size["lengths"])])
-        found = (
-            tokens.where(F.col("_t") != " ")
-            .select("*", F.explode(lengths).alias("_n"))
-            .withColumn("_k", F.lower(_joined(F.col("_w"), F.col("_i") + 1, F.col("_n"), KEY_SEP)))
-            .join(lexicon, (F.col("_k") == F.col("phrase_key")) & (F.col("_n") == F.col("n_tokens")))
-        )
-    span = F.rtrim(_joined(F.col("_s"), F.col("_i") + 1, F.col("n_tokens"), ""))
-    at = F.length(_joined(F.col("_s"), F.lit(1), F.col("_i"), ""))
-    out = found.withColumn("at", at).withColumn("span", span).withColumn("stop", F.col("at") + F.length("span"))
-    columns = [
-        *keys,
-        *payload,
-        (F.col("offset") + F.col("at")).alias("start"),
-        (F.col("offset") + F.col("stop")).alias("end"),
-        F.col("span").alias("text"),
-        "n_tokens",
-        "sentence",
-        (F.col("inner_end") | (F.col("ended") & (F.col("stop") > F.length("piece"))) | _cut_inside(size["cuts"])).alias("split"),
-    ]
-    if context_chars:
-        around = F.concat("before", "piece", "ahead")
-        first = F.greatest(F.length("before") + F.col("at") - context_chars, F.lit(0))
-        last = F.length("before") + F.col("stop") + context_chars
-        columns.append(F.substring(around, first + 1, last - first).alias("context"))
-    return out.select(*columns)
+        salt = F.pmod(F.xxhash64(*keys, "offset", "_i"), F.lit(PHRASE_SALTS)).cast("int")
+        spans = tokens.where(F.col("_t") != " ").select("*", F.explode(lengths).alias("n_tokens"))
+        copies = lexicon.drop("first_token").withColumn("_salt", F.explode(F.sequence(F.lit(0), F.lit(PHRASE_SALTS - 1))))
+        narrow = located(spans, [key_at.alias("phrase_key"), salt.alias("_salt")])
+        # a span at the end of a text has fewer tokens than asked for, so the count is joined too
+        found = narrow.join(copies, ["phrase_key", "n_tokens", "_salt"]).drop("phrase_key", "_salt")
+    return found.withColumn("split", F.col("split") | F.col("inner_end")).drop("inner_end")
 
 
 def _cut_inside(cuts: Iterable) -> Column:
