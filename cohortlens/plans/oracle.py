@@ -427,6 +427,28 @@ def _evaluation_queries() -> dict[str, str]:
     def metrics(dims: Sequence[str]) -> str:
         return f"select * from ({_ranking(long(dims), 'dimension, \"group\"')}) where n >= 10 and n_pos >= 2 and n_pos < n"
 
+    def cells(source: str, section: str, item: str, names: Sequence[str]) -> str:
+        return " union all ".join(
+            f"select '{section}' section, {item} item, '{m}' metric, cast(\"{m}\" as double) as value from {source}" for m in names
+        )
+
+    at = "printf('%.2f', threshold)"
+    alerts = ["precision", "recall", "f1", "specificity", "n_alerted", "true_positives", "false_positives", "false_negatives"]
+    shown = ", ".join(f"{t}::double" for t in ev.SHOWN_THRESHOLDS)
+    overall = ["auroc", "auprc", "brier"]
+    report = " union all ".join(
+        [
+            cells(f"(select {', '.join(f'round_even({m}, 4) {m}' for m in overall)} from ({_ranking('select 1 g, y, p from rows', 'g')}))", "metrics", "'all'", overall),
+            cells("(select * from t order by f1 desc, threshold limit 1)", "best_threshold", at, alerts[:3]),
+            cells("t", "threshold_analysis", at, alerts),
+            cells(f"(select * from t where threshold in ({shown}))", "threshold_display", at, [*alerts[:3], "n_alerted", "true_positives", "false_positives"]),
+            cells(
+                f"(select *, round_even(n_pos / n::double, 4) ae_rate from (select dimension, \"group\", n, n_pos, "
+                f"{', '.join(f'round_even({m}, 4) {m}' for m in overall)} from ({metrics(ev.TABLE_DIMENSIONS)})))",
+                "subgroup_analysis", "concat(dimension, '=', \"group\")", ["n", "n_pos", "ae_rate", *overall],
+            ),
+        ]
+    )
     gold = f"""cases as ({duck(d.CASES_SQL)}), expected as ({duck(d.EXPECTED_SQL)}), predicted as ({duck(d.PREDICTED_SQL)}),
       pe as (select distinct case_id, lower(text) text from expected where case_id in (select case_id from cases where status = 'ok')),
       pp as (select distinct case_id, lower(text) text from predicted where case_id in (select case_id from cases where status = 'ok')),
@@ -460,6 +482,8 @@ def _evaluation_queries() -> dict[str, str]:
         "subgroup_auroc": f"""{grouped} select dimension, "group", round_even(auroc, 4) auroc from ({metrics(ev.AUROC_DIMENSIONS)})""",
         "subgroup_table": f"""{grouped} select dimension, "group", cast(n as bigint) n, cast(n_pos as bigint) n_pos, round_even(n_pos / n::double, 4) ae_rate,
             round_even(auroc, 4) auroc, round_even(auprc, 4) auprc, round_even(brier, 4) brier from ({metrics(ev.TABLE_DIMENSIONS)})""",
+        "model_report": f"""{grouped}, t as ({_thresholds('select y, p from rows')})
+            select 'heuristic' model, section, item, metric, value from ({report})""",
         "cohort_profile": profile,
         "extraction_prf": f"with {gold} select true_positives, predicted, expected, {prf} from prf",
         "mapping_topk": f"with {gold} select mapping_total, top1_correct, top3_correct, {top1} top1_accuracy, round_even(top3_correct / mapping_total::double, 4) top3_accuracy from topk",
