@@ -44,6 +44,10 @@ def _docs(spark: SparkSession, sf: str) -> DataFrame:
     return fill_cores(d.table(spark, sf, "documents").select("doc_id", "text"))
 
 
+def _notes(spark: SparkSession, sf: str) -> DataFrame:
+    return fill_cores(d.notes(spark, sf))
+
+
 def _doc_lexicon(spark: SparkSession) -> DataFrame:
     return tx.phrase_table(spark, DOC_TERMS, tx.MENTION_KIND)
 
@@ -102,12 +106,12 @@ def align_spans(spark: SparkSession, sf: str) -> DataFrame:
             )
         ),
     )
-    found = ng.align_spans(docs.select("doc_id", "text"), spans, ["doc_id"], "text")
+    found = ng.align_spans(_docs(spark, sf), spans, ["doc_id"], "text")
     return found.select("doc_id", F.col("start").alias("s"), F.col("end").alias("e"), "token_start", "token_end", "n_tokens")
 
 
 def negate_spans(spark: SparkSession, sf: str) -> DataFrame:
-    notes = d.notes(spark, sf)
+    notes = _notes(spark, sf)
     spans = notes.where(F.length("clinical_note") > 0).select(
         "patient_id", (F.length("clinical_note") % 23).alias("start"), (F.length("clinical_note") % 23 + 6).alias("end")
     )
@@ -116,7 +120,7 @@ def negate_spans(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def _symptoms(spark: SparkSession, sf: str, **how) -> tuple[DataFrame, DataFrame]:
-    notes = d.notes(spark, sf)
+    notes = _notes(spark, sf)
     return notes, sy.symptom_mentions(notes, ["patient_id"], "clinical_note", **how)
 
 
@@ -145,7 +149,7 @@ def extend_vocabulary(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def batch_flags(spark: SparkSession, sf: str) -> DataFrame:
-    return sy.batch_flags(d.notes(spark, sf))
+    return sy.batch_flags(_notes(spark, sf))
 
 
 # ---- mapping ----------------------------------------------------------------------
@@ -252,7 +256,7 @@ def _flat_enriched(found: DataFrame) -> DataFrame:
 
 
 def enrich_notes(spark: SparkSession, sf: str) -> DataFrame:
-    return _flat_enriched(mp.enrich_notes(d.notes(spark, sf), _note_concepts(spark), ["patient_id"], "clinical_note"))
+    return _flat_enriched(mp.enrich_notes(_notes(spark, sf), _note_concepts(spark), ["patient_id"], "clinical_note"))
 
 
 # ---- ontology ----------------------------------------------------------------------
@@ -321,7 +325,7 @@ def validate_patients(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def _flags(spark: SparkSession, sf: str) -> DataFrame:
-    return sy.batch_flags(d.notes(spark, sf), apply_negation=True)
+    return sy.batch_flags(_notes(spark, sf), apply_negation=True)
 
 
 def _prepared(spark: SparkSession, sf: str) -> DataFrame:
@@ -373,7 +377,7 @@ def stratified_folds(spark: SparkSession, sf: str) -> DataFrame:
 
 def split_flags(spark: SparkSession, sf: str) -> DataFrame:
     split = ft.stratified_split(d.patients(spark, sf), "adverse_event")
-    flags = sy.batch_flags(d.notes(spark, sf))
+    flags = sy.batch_flags(_notes(spark, sf))
     return ft.split_flags(flags, split.where(F.col("split") == "test")).select("patient_id", "symptom_count")
 
 
@@ -620,13 +624,13 @@ def _streamed(spark: SparkSession, start, *args, name: str, **kw) -> DataFrame:
 
 
 def stream_phenotypes_notes(spark: SparkSession, sf: str) -> DataFrame:
-    rows = _arriving(spark, d.notes(spark, sf))
+    rows = _arriving(spark, _notes(spark, sf))
     found = _streamed(spark, stream_phenotypes, rows, _note_concepts(spark), ["patient_id"], "clinical_note", name="mentions")
     return _flat_enriched(found)
 
 
 def stream_concepts_notes(spark: SparkSession, sf: str) -> DataFrame:
-    rows = _arriving(spark, d.notes(spark, sf))
+    rows = _arriving(spark, _notes(spark, sf))
     found = _streamed(spark, stream_concepts, rows, ["patient_id"], "clinical_note", name="mentions")
     return _spans(found).select("patient_id", "category", "s", "e", "mention", "grade", "negated")
 
