@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import atexit
 import tempfile
 import uuid
 
@@ -23,7 +24,9 @@ def shared_dir(spark: SparkSession) -> str:
     if not spark.sparkContext.master.startswith("local"):
         raise RuntimeError("set spark.checkpoint.dir to a folder all executors share")
     if _local_dir is None:
-        _local_dir = tempfile.mkdtemp(prefix="cohortlens-")
+        held = tempfile.TemporaryDirectory(prefix="cohortlens-", ignore_cleanup_errors=True)
+        atexit.register(held.cleanup)
+        _local_dir = held.name
     return _local_dir
 
 
@@ -31,6 +34,12 @@ def new_folder(spark: SparkSession, name: str) -> str:
     return f"{shared_dir(spark)}/{name}-{uuid.uuid4().hex}"
 
 
+def remove(spark: SparkSession, path: str) -> None:
+    """Delete a folder of the shared store, whatever file system it is on."""
+    where = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    where.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(where, True)
+
+
 def staged(df: DataFrame, name: str) -> DataFrame:
     """Write the frame once and go on from the written table.
 
@@ -41,3 +50,37 @@ def staged(df: DataFrame, name: str) -> DataFrame:
     path = new_folder(spark, name)
     df.write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)
+
+
+class Scratch:
+    """Staged tables of one run, each removable as soon as the next one is written.
+
+    Used as a context manager it removes what is left at the end; a run whose
+    result still reads from its tables keeps them until ``close``.
+    """
+
+    def __init__(self, spark: SparkSession, name: str):
+        self.spark = spark
+        self.folder = new_folder(spark, name)
+
+    def table(self, df: DataFrame, name: str) -> DataFrame:
+        path = f"{self.folder}/{name}-{uuid.uuid4().hex}"
+        df.write.option("compression", "zstd").parquet(path)
+        out = self.spark.read.schema(df.schema).parquet(path)
+        out._staged_at = path  # keeps the frame and its path together
+        return out
+
+    def drop(self, *tables: DataFrame) -> None:
+        for t in tables:
+            path = getattr(t, "_staged_at", None)
+            if path:
+                remove(self.spark, path)
+
+    def close(self) -> None:
+        remove(self.spark, self.folder)
+
+    def __enter__(self) -> Scratch:
+        return self
+
+    def __exit__(self, *_: object) -> None:
+        self.close()
