@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from cohortlens.llm.near_duplicates import near_duplicates
+from cohortlens.llm.substrings import drop_repeats
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -16,6 +17,12 @@ def op4_near_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_duplicates(_table(spark, sf_dir, "documents"), shingle=3, percent=85)
 
 
+def op7_drop_repeats(spark: SparkSession, sf_dir: str) -> DataFrame:
+    cut = drop_repeats(_table(spark, sf_dir, "documents"))
+    return cut.select("doc_id", "n_words", "n_removed", F.sha2("kept_text", 256).alias("kept_sha256"))
+
+
 QUERIES = {
     "op4_near_duplicates": op4_near_duplicates,
+    "op7_drop_repeats": op7_drop_repeats,
 }
