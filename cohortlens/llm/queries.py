@@ -2,10 +2,13 @@
 
 from __future__ import annotations
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from cohortlens.llm.near_duplicates import near_duplicates
+from cohortlens.llm.packing import pack
+from cohortlens.llm.quality import quality_rules
 from cohortlens.llm.substrings import drop_repeats
 
 
@@ -22,7 +25,17 @@ def op7_drop_repeats(spark: SparkSession, sf_dir: str) -> DataFrame:
     return cut.select("doc_id", "n_words", "n_removed", F.sha2("kept_text", 256).alias("kept_sha256"))
 
 
+def op1_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pack(_table(spark, sf_dir, "documents"), public_tokenizers.path("word_bpe_49k.json"))
+
+
+def op2_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return quality_rules(_table(spark, sf_dir, "documents")).drop("distance2")
+
+
 QUERIES = {
+    "op1_packing": op1_packing,
+    "op2_quality_rules": op2_quality_rules,
     "op4_near_duplicates": op4_near_duplicates,
     "op7_drop_repeats": op7_drop_repeats,
 }
