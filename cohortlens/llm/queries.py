@@ -6,9 +6,11 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from cohortlens.llm.mixing import mix
 from cohortlens.llm.near_duplicates import near_duplicates
 from cohortlens.llm.packing import pack
 from cohortlens.llm.quality import quality_rules
+from cohortlens.llm.sharding import shard
 from cohortlens.llm.substrings import drop_repeats
 
 
@@ -33,9 +35,30 @@ def op2_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality_rules(_table(spark, sf_dir, "documents")).drop("distance2")
 
 
+def op6_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return shard(_table(spark, sf_dir, "documents")).select(
+        "doc_id", "size", "text_crc32", F.lit("rows").alias("law"), "shard", "slot", F.lit(None).cast("int").alias("grown_shard")
+    )
+
+
+#: sources by the last digit of their number; weights of domains and languages
+MIX = {
+    "domain": "case when source rlike '[0-3]$' then 'web' when source rlike '[4-6]$' then 'books' else 'forum' end",
+    "weights": {"domain": {"web": 2, "books": 2, "forum": 1}, "lang": {"en": 5, "de": 2, "fr": 2, "es": 1}},
+    "share": 0.8,
+    "epochs": 2,
+}
+
+
+def op8_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return mix(_table(spark, sf_dir, "documents"), **MIX).drop("text_crc32")
+
+
 QUERIES = {
     "op1_packing": op1_packing,
     "op2_quality_rules": op2_quality_rules,
     "op4_near_duplicates": op4_near_duplicates,
+    "op6_sharding": op6_sharding,
     "op7_drop_repeats": op7_drop_repeats,
+    "op8_mixing": op8_mixing,
 }

@@ -2,21 +2,68 @@
 
 from __future__ import annotations
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from cohortlens.functions.storage import staged
+from cohortlens.llm.mixing import mix
 from cohortlens.llm.near_duplicates import near_duplicates
+from cohortlens.llm.packing import pack
+from cohortlens.llm.quality import quality_rules
+from cohortlens.llm.queries import MIX
+from cohortlens.llm.substrings import drop_repeats
+
+
+def _only(docs: DataFrame, kept: DataFrame) -> DataFrame:
+    """Rows whose key is in ``kept``; a null key is a key."""
+    keys = kept.select(F.col("doc_id").alias("kept_id")).distinct()
+    return docs.join(keys, docs["doc_id"].eqNullSafe(keys["kept_id"]), "left_semi")
+
+
+def reject_outliers(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents that the quality rules reject go."""
+    return _only(docs, quality_rules(docs).where("kept"))
 
 
 def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document of each group of near-duplicates stays."""
-    kept = near_duplicates(docs, shingle=5, percent=80).where("kept").select("doc_id").distinct()
-    return docs.join(kept, "doc_id", "left_semi")
+    return _only(docs, near_duplicates(docs, shingle=5, percent=80).where("kept"))
+
+
+def drop_repeated_passages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Repeated passages go; a document without any keeps its text as it is, one that is all repeats goes."""
+    cut = drop_repeats(docs.withColumn("original", F.col("text")), carry=("original", "lang", "source", "n_chars"))
+    changed = F.col("n_removed") > 0
+    return cut.where("n_removed < n_words or n_words = 0").select(
+        "doc_id", F.when(changed, F.col("kept_text")).otherwise(F.col("original")).alias("text"), "lang", "source",
+        F.when(changed, F.length("kept_text").cast("long")).otherwise(F.col("n_chars")).alias("n_chars"),
+    )
+
+
+def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents in the numbers that the mixture takes them, repeated where it takes a second epoch."""
+    taken = mix(docs, **MIX)
+    times = taken.groupBy(F.col("doc_id").alias("taken_id"), "text_crc32").agg(F.countDistinct("epoch").alias("times"))
+    marked = docs.withColumn("crc", F.crc32(F.encode(F.coalesce("text", F.lit("")), "UTF-8")))
+    joined = marked.join(times, F.col("doc_id").eqNullSafe(F.col("taken_id")) & (F.col("crc") == F.col("text_crc32")))
+    return joined.withColumn("epoch", F.explode(F.sequence(F.lit(1).cast("long"), F.col("times")))).select(*docs.columns)
+
+
+def pack_sequences(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Pieces of the documents in sequences of 2048 tokens."""
+    return pack(docs, public_tokenizers.path("word_bpe_49k.json"))
 
 
-STAGES = [("near duplicates", drop_near_duplicates)]
+STAGES = [
+    ("quality rules", reject_outliers),
+    ("near duplicates", drop_near_duplicates),
+    ("substring dedup", drop_repeated_passages),
+    ("mixing", mix_sources),
+    ("packing", pack_sequences),
+]
 
+#: near-duplicate search and tokenizers are beyond SQL
 ORACLE_SQL: str | None = None
 
 
