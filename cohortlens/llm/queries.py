@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 
 from cohortlens.llm.mixing import mix
 from cohortlens.llm.near_duplicates import near_duplicates
+from cohortlens.llm.neighbours import nearest_vectors
 from cohortlens.llm.packing import pack
 from cohortlens.llm.quality import quality_rules
 from cohortlens.llm.sharding import shard
@@ -35,6 +36,11 @@ def op2_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality_rules(_table(spark, sf_dir, "documents")).drop("distance2")
 
 
+def op5_neighbours(spark: SparkSession, sf_dir: str) -> DataFrame:
+    vectors = _table(spark, sf_dir, "embeddings")
+    return nearest_vectors(vectors, vectors.where("vec_id % 20 = 0"))
+
+
 def op6_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     return shard(_table(spark, sf_dir, "documents")).select(
         "doc_id", "size", "text_crc32", F.lit("rows").alias("law"), "shard", "slot", F.lit(None).cast("int").alias("grown_shard")
@@ -58,6 +64,7 @@ QUERIES = {
     "op1_packing": op1_packing,
     "op2_quality_rules": op2_quality_rules,
     "op4_near_duplicates": op4_near_duplicates,
+    "op5_neighbours": op5_neighbours,
     "op6_sharding": op6_sharding,
     "op7_drop_repeats": op7_drop_repeats,
     "op8_mixing": op8_mixing,
