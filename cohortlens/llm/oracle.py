@@ -1,3 +1,116 @@
 """DuckDB twins of the queries that SQL can express."""
 
-ORACLE: dict[str, str] = {}
+from __future__ import annotations
+
+from cohortlens.llm.licenses import PERCENT, SHINGLE, TEMPLATES
+from cohortlens.llm.queries import MIX
+from cohortlens.llm.revisits import TRACKING
+
+_WORDS = r"regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+')"
+_LOWER = "translate({}, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
+
+
+def _revisits() -> str:
+    host = _LOWER.format(r"regexp_extract(url, '^[a-z]+://([^/?#]*)', 1)")
+    day = "concat('day ', page_id % 7)"
+    records = f"""
+        select page_id * 5 record_id, url, page_id * 1000 as tm, true as isfull, md5(html) etag, {day} modified, md5(html) digest, strlen(html) len from pages
+        union all select page_id * 5 + 1, regexp_replace(url, '^http:', 'https:'), page_id * 1000 + 500, false, md5(html), null, null, null from pages
+        union all select page_id * 5 + 2, url || '#top', page_id * 1000 + 700, false, 'stale', {day}, null, null from pages
+        union all select page_id * 5 + 3, url, page_id * 1000 - 1, false, null, {day}, null, null from pages
+        union all select page_id * 5 + 4, 'http://' || {host} || '/', page_id * 1000 + 250, page_id % 50 = 0, concat('v', (page_id // 50) % 4), null,
+            case when page_id % 50 = 0 then md5(html) end, case when page_id % 50 = 0 then strlen(html) end from pages"""
+    bare = "regexp_replace(regexp_replace(url, '#.*$', ''), '^[A-Za-z][A-Za-z0-9+.-]*://', '')"
+    site = rf"regexp_replace(regexp_replace({_LOWER.format("regexp_extract(bare, '^([^/?]*)', 1)")}, '^www\.', ''), ':(80|443)$', '')"
+    path = "regexp_replace(regexp_extract(bare, '^[^/?]*([^?]*)', 1), '/+$', '')"
+    asked = rf"""list_sort(list_filter(string_split(regexp_extract(bare, '^[^?]*\?(.*)$', 1), '&'),
+        lambda p: p <> '' and not regexp_matches(p, '{TRACKING}')))"""
+    return f"""with records as ({records}),
+        bared as (select *, {bare} bare from records),
+        named as (select * exclude (url, bare), {site} || {path} || case when len({asked}) > 0 then '?' || array_to_string({asked}, '&') else '' end url
+            from bared),
+        found as (select *, last_value(case when isfull then record_id end ignore nulls) over (partition by url
+            order by tm, isfull, record_id rows between unbounded preceding and 1 preceding) response_id from named),
+        joined as (select r.record_id, r.url, r.tm, r.response_id, b.record_id base_id, b.digest, b.len, b.tm base_at,
+            coalesce(r.etag = b.etag, r.modified = b.modified, r.digest = b.digest) agrees, b.record_id % 5 = 0 page
+            from found r left join named b on r.response_id = b.record_id and b.isfull where not r.isfull),
+        told as (select *, case when base_id is null then 'no response' when agrees is null then 'unverified' when agrees then 'resolved'
+            else 'mismatch' end outcome from joined)
+        select record_id, url, outcome, response_id,
+            case when outcome = 'resolved' then concat('cache-control=no-cache;content-type=text/html;date=', tm, case when page then ';server=a' else '' end) end headers,
+            case when outcome = 'resolved' then digest end digest, case when outcome = 'resolved' then len end as length from told"""
+
+
+def _near_duplicates() -> str:
+    return rf"""with recursive words as (select doc_id, regexp_extract_all({_LOWER.format("coalesce(text, '')")}, '[^\x20\x09-\x0D]+') w from documents),
+        single as (select distinct doc_id, case when len(w) < 3 then array_to_string(w, ' ') else array_to_string(w[i:i + 2], ' ') end s
+            from words, unnest(range(1, greatest(len(w) - 1, 2))) t(i) where len(w) > 0),
+        sizes as (select doc_id, count(*) n from single group by doc_id),
+        common as (select a.doc_id u, b.doc_id v, count(*) c from single a join single b on a.s = b.s and a.doc_id <> b.doc_id group by 1, 2),
+        links as (select u, v from common join sizes x on u = x.doc_id join sizes y on v = y.doc_id where 100 * c >= 85 * (x.n + y.n - c)),
+        reach as (select doc_id, doc_id least from documents union select u, least from reach join links on doc_id = v)
+        select doc_id, coalesce(n, 0) n_shingles, min(least) component_id, doc_id = min(least) kept
+            from reach left join sizes using (doc_id) group by doc_id, n"""
+
+
+def _drop_repeats() -> str:
+    return rf"""with words as (select doc_id, {_WORDS} w from documents),
+        windows as (select doc_id, i, md5(array_to_string(w[i:i + 19], ' ')) s from words, unnest(range(1, len(w) - 18)) t(i)),
+        late as (select doc_id, i from windows qualify row_number() over (partition by s order by doc_id, i) > 1),
+        gone as (select distinct doc_id, i + k p from late, range(20) r(k)),
+        lists as (select doc_id, list(p) p from gone group by doc_id)
+        select doc_id, len(w)::bigint n_words, coalesce(len(p), 0)::bigint n_removed,
+            sha256(coalesce(array_to_string(case when p is null then w else list_transform(list_filter(range(1, len(w) + 1), lambda j: not list_contains(p, j)), lambda j: w[j]) end, ' '), ''))
+            kept_sha256 from words left join lists using (doc_id)"""
+
+
+def _mixing() -> str:
+    domain = MIX["domain"].replace("source rlike '", "regexp_matches(source, '").replace("$' then", "$') then")
+    weight = lambda name: "(case " + " ".join(f"when {name} = '{k}' then {w}" for k, w in MIX["weights"].get(name, {"": 1}).items()) + " else 1 end)::double"
+
+    def level(no: int, name: str, parent: list[str]) -> str:
+        keys = ", ".join([*parent, name])
+        by = f"partition by {', '.join(parent) or '0'}"
+        join = f"join given{no - 1} using ({', '.join(parent)})" if parent else "cross join given0"
+        return f"""
+        caps{no} as (select {keys}, sum(cap) cap, {weight(name)} weight from leaves group by all),
+        ranked{no} as (select c.*, budget, row_number() over (w) rank,
+            (budget - coalesce(sum(cap) over (w rows between unbounded preceding and 1 preceding), 0)) / sum(weight) over (w rows between current row and unbounded following) lvl
+            from caps{no} c {join} window w as ({by} order by cap / weight, {name})),
+        first{no} as (select *, min(case when cap > lvl * weight then rank end) over ({by}) first from ranked{no}),
+        given{no} as (select {keys}, case when first is not null and rank >= first
+            then max(case when rank = first then lvl end) over ({by}) * weight else cap end budget from first{no})"""
+
+    return f"""with rows as (select doc_id, {domain} as domain, coalesce(lang, '') lang, coalesce(source, '') source, len({_WORDS})::bigint n_tokens from documents),
+        held as (from rows where n_tokens > 0),
+        leaves as (select domain, lang, source, sum(n_tokens)::bigint tokens, (sum(n_tokens) * {MIX['epochs']})::double cap from held group by all),
+        given0 as (select least(floor(sum(tokens) * {MIX['share']}::double)::double, sum(cap)) budget from leaves),
+        {level(1, 'domain', [])}, {level(2, 'lang', ['domain'])}, {level(3, 'source', ['domain', 'lang'])},
+        quota as (select domain, lang, source, floor(budget)::bigint // tokens whole, floor(budget)::bigint % tokens rest from given3 join leaves using (domain, lang, source)),
+        placed as (select *, coalesce(sum(n_tokens) over (partition by domain, lang, source order by md5(concat_ws(':', '8', whole, doc_id)), n_tokens
+            rows between unbounded preceding and 1 preceding), 0) before from held join quota using (domain, lang, source))
+        select doc_id, domain, lang, source, n_tokens, e::int epoch from placed, unnest(range(whole)) t(e)
+        union all select doc_id, domain, lang, source, n_tokens, whole::int from placed where before < rest"""
+
+
+def _licenses() -> str:
+    sought = ", ".join(f"('{name}', '{notice}')" for name, notice in TEMPLATES.items())
+    words = lambda c: rf"list_filter(string_split(regexp_replace({_LOWER.format(c)}, '[^\p{{L}}\p{{N}}]+', ' ', 'g'), ' '), lambda x: x <> '')"
+    return f"""with sought as (select license, {words('notice')} w from (values {sought}) t(license, notice)),
+        wanted as (select distinct license, len(w) l, array_to_string(w[i:i + {SHINGLE - 1}], ' ') s from sought, unnest(range(1, len(w) - {SHINGLE - 2})) t(i)),
+        sizes as (select license, count(*) n from wanted group by license),
+        docs as (select doc_id, {words("coalesce(text, '')")} w from documents),
+        single as (select doc_id, i - 1 p, array_to_string(w[i:i + {SHINGLE - 1}], ' ') s from docs, unnest(range(1, len(w) - {SHINGLE - 2})) t(i)),
+        hits as (select doc_id, license, l, p, s, p // (l + 1) - back j from single join wanted using (s), (values (0), (1)) b(back)),
+        held as (select doc_id, license, j * (l + 1) first_word, count(distinct s) c from hits where j >= 0 and p - j * (l + 1) < 2 * l - {SHINGLE - 1} group by all)
+        select doc_id, license, count(*) n_windows, min(first_word) first_word, max(100 * c // n) as percent
+            from held join sizes using (license) where 100 * c >= {PERCENT} * n group by doc_id, license"""
+
+
+ORACLE: dict[str, str] = {
+    "op3_revisits": _revisits(),
+    "op4_near_duplicates": _near_duplicates(),
+    "op7_drop_repeats": _drop_repeats(),
+    "op8_mixing": _mixing(),
+    "op9_licenses": _licenses(),
+}
