@@ -12,8 +12,9 @@ last settled symbols is the window's anchor.  Equal windows have equal anchors.
 1. Texts are put into blocks of a few megabytes, compressed, written once.
 2. Each block sends the names of its anchors, each once; names met twice
    anywhere come back to the blocks that have them.
-3. Windows on such names are verified: a block sends a 96-bit hash of each
-   distinct one with its place; all but the globally first come back.
+3. Windows on such names are verified: a block sends an 80-bit hash of each
+   distinct one with its place to a part named by another hash; all but the
+   globally first come back.
 4. Blocks drop the words of these windows.
 
 A block settles its own repeats first and sends one record for each name or
@@ -129,7 +130,7 @@ def _to_blocks(block_bytes: int):
     def written(rows: list[pa.RecordBatch]) -> bytes:
         sink = pa.BufferOutputStream()
         whole = pa.Table.from_batches(rows).combine_chunks()
-        with pa.ipc.new_stream(sink, whole.schema, options=pa.ipc.IpcWriteOptions(compression="zstd")) as out:
+        with pa.ipc.new_stream(sink, whole.schema, options=pa.ipc.IpcWriteOptions(compression=pa.Codec("zstd", 6))) as out:
             out.write_table(whole)
         return sink.getvalue().to_pybytes()
 
@@ -209,6 +210,7 @@ def _send_names(width: int, n_parts: int):
             of = (found % np.uint64(n_parts)).astype(np.int64)
             order = np.argsort(of, kind="stable")
             cut = np.flatnonzero(np.append(True, of[order][1:] != of[order][:-1]))
+            found = (found >> np.uint64(32)).astype(np.uint32)  # the part has told some bits already
             data = [
                 b"".join((len(x).to_bytes(4, "little"), found[x].tobytes(), (times[x] > 1).tobytes()))
                 for x in np.split(order, cut[1:])
@@ -222,33 +224,39 @@ def _met_twice(group: pa.Table) -> pa.Table:
     blocks, names, many = [], [], []
     for d in group["data"].to_pylist():
         n = int.from_bytes(d[:4], "little")
-        names.append(np.frombuffer(d, np.uint64, n, 4))
-        many.append(np.frombuffer(d, bool, n, 4 + 8 * n))
+        names.append(np.frombuffer(d, np.uint32, n, 4))
+        many.append(np.frombuffer(d, bool, n, 4 + 4 * n))
     flat = np.concatenate(names)
     found, of, times = np.unique(flat, return_inverse=True, return_counts=True)
     often = times > 1
     often[of[np.concatenate(many)]] = True
     hit, begin, data = often[of], 0, []
+    part = group["part"][0].as_py().to_bytes(8, "little")
     for block, x in zip(group["block"].to_pylist(), names, strict=True):
         mine = x[hit[begin : begin + len(x)]]
         begin += len(x)
         if len(mine):
             blocks.append(block)
-            data.append(mine.tobytes())
+            data.append(part + mine.tobytes())
     return pa.table({"block": pa.array(blocks, pa.int64()), "data": pa.array(data, pa.binary())})
 
 
+def _told(data: bytes) -> np.ndarray:
+    return np.uint64(int.from_bytes(data[:8], "little") << 32) | np.frombuffer(data, np.uint32, -1, 8).astype(np.uint64)
+
+
 def _send_windows(width: int, n_parts: int):
     def run(parts: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for r in _rows(parts):
             block = _Block(r["payload"], width)
             hashes, doc, inside = block.hashed()
             name, _ = anchors(hashes, doc, width)
-            often = np.sort(np.frombuffer(b"".join(r["names"]), np.uint64))
-            spot = np.minimum(np.searchsorted(often, name), len(often) - 1)
-            at = np.flatnonzero(inside & (often[spot] == name))
+            often = np.sort(np.concatenate([_told(d) for d in r["names"]]))
+            asked = (name % np.uint64(n_parts) << np.uint64(32)) | (name >> np.uint64(32))
+            spot = np.minimum(np.searchsorted(often, asked), len(often) - 1)
+            at = np.flatnonzero(inside & (often[spot] == asked))
             h1 = window_hashes(hashes, width, 3)[at]
-            h2 = (window_hashes(hashes, width, 4)[at] >> np.uint64(32)).astype(np.uint32)
+            h2 = (window_hashes(hashes, width, 4)[at] >> np.uint64(48)).astype(np.uint16)
             order = np.lexsort((h2, h1))  # stable: the first of equals is the earliest
             again = np.append(False, (h1[order][1:] == h1[order][:-1]) & (h2[order][1:] == h2[order][:-1]))
             local = np.sort(at[order[again]])
@@ -256,7 +264,7 @@ def _send_windows(width: int, n_parts: int):
                 yield _sent([-1 - r["block"] % n_parts], r["block"], [_pack(local.astype(np.int32))])
             first = np.sort(order[~again])
             h1, h2, at = h1[first], h2[first], at[first]
-            of = (h1 % np.uint64(n_parts)).astype(np.int64)
+            of = (window_hashes(hashes, width, 5)[at] % np.uint64(n_parts)).astype(np.int64)
             order = np.argsort(of, kind="stable")
             cut = np.flatnonzero(np.append(True, of[order][1:] != of[order][:-1]))
             data = []
@@ -280,8 +288,8 @@ def _not_first(group: pa.Table) -> pa.Table:
     for i, d in enumerate(group["data"].to_pylist()):
         n = int.from_bytes(d[:4], "little")
         h1.append(np.frombuffer(d, np.uint64, n, 4))
-        h2.append(np.frombuffer(d, np.uint32, n, 4 + 8 * n))
-        steps = _unpack(d[4 + 12 * n :], "<i8")
+        h2.append(np.frombuffer(d, np.uint16, n, 4 + 8 * n))
+        steps = _unpack(d[4 + 10 * n :], "<i8")
         key.append(np.cumsum(steps[:n]))
         at.append(np.cumsum(steps[n:]))
         of.append(np.full(n, i))
