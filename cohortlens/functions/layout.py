@@ -4,15 +4,18 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame
 
+#: larger tables are never shuffled for this, however many cores there are
+MOST_BYTES = 2 << 30
+
 
 def fill_cores(df: DataFrame) -> DataFrame:
     """Spread a table too small for its file splits to use every core.
 
-    A table with a split or more per core is returned as it is, so nothing
-    large is ever shuffled for this.  The size is the optimizer's estimate.
+    A table with a split or more per core, or of more than ``MOST_BYTES``, is
+    returned as it is.  The size is the optimizer's estimate.
     """
     spark = df.sparkSession
     cores = spark.sparkContext.defaultParallelism
-    split = int(spark.conf.get("spark.sql.files.maxPartitionBytes").rstrip("b"))
+    split = spark._jsparkSession.sessionState().conf().filesMaxPartitionBytes()  # reads 64m as well as 67108864
     size = int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
-    return df.repartition(cores) if size < split * cores else df
+    return df.repartition(cores) if size < min(split * cores, MOST_BYTES) else df

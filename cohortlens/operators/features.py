@@ -65,14 +65,14 @@ def join_flags(patients: DataFrame, flags: DataFrame | None, key: str = "patient
 def prepare_features(
     patients: DataFrame, flags: DataFrame | None = None, key: str = "patient_id", keep: Sequence[str] = ()
 ) -> DataFrame:
-    """The feature columns, nulls filled, with ``key`` and the ``keep`` columns."""
+    """The feature columns, nulls and NaN filled, with ``key`` and the ``keep`` columns."""
     joined = join_flags(patients, flags, key).withColumns(
         {"stage_ordinal": stage_ordinal(F.col("stage")), "sex_binary": sex_binary(F.col("sex"))}
     )
     return joined.select(
         key,
         *keep,
-        *[F.coalesce(F.col(c).cast("double"), F.lit(0.0)).alias(c) for c in NUMERIC],
+        *[F.coalesce(F.nanvl(F.col(c).cast("double"), F.lit(None)), F.lit(0.0)).alias(c) for c in NUMERIC],
         *[F.coalesce(F.col(c).cast("int"), F.lit(0)).alias(c) for c in (*NOTE_FLAGS, *DEMOGRAPHIC)],
         *[F.coalesce(c, F.lit(NO_CATEGORY)).alias(c) for c in CATEGORICAL if c not in keep],
     )
@@ -95,8 +95,16 @@ def scale_numeric(features: DataFrame, scaler: Mapping[str, tuple[float, float]]
     return features.withColumns({c: (F.col(c) - F.lit(m)) / F.lit(s) for c, (m, s) in scaler.items()})
 
 
+#: each category becomes a column
+MAX_CATEGORIES = 1000
+
+
 def fit_categories(features: DataFrame, columns: Sequence[str] = CATEGORICAL) -> dict[str, list[str]]:
-    """Sorted categories per column, of columns whose values are a short fixed list."""
+    """Sorted categories per column; more than ``MAX_CATEGORIES`` of one column are an error."""
+    counts = features.agg(*[F.count_distinct(c).alias(c) for c in columns]).first()
+    wide = [c for c in columns if counts[c] > MAX_CATEGORIES]
+    if wide:
+        raise ValueError(f"more than {MAX_CATEGORIES} categories: {wide}")
     row = features.agg(*[F.array_sort(F.collect_set(c)).alias(c) for c in columns]).first()
     return {c: list(row[c]) for c in columns}
 

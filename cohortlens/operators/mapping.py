@@ -89,8 +89,14 @@ def _hit_batches(texts: pa.Array, queries: np.ndarray, concepts: tuple, fetch: i
         )
 
 
+def _finite() -> Column:
+    """Not null, not empty, and every element a finite number."""
+    good = F.forall("embedding", lambda x: x.isNotNull() & ~F.isnan(x) & (F.abs(x) < float("inf")))
+    return F.col("embedding").isNotNull() & (F.size("embedding") > 0) & F.coalesce(good, F.lit(False))
+
+
 def _usable(vectors: DataFrame, dim: int) -> Column:
-    return F.col("embedding").isNotNull() & (F.size("embedding") == dim) & ~F.exists("embedding", lambda x: x.isNull())
+    return _finite() & (F.size("embedding") == dim)
 
 
 def nearest(
@@ -104,18 +110,23 @@ def nearest(
 
     ``queries``: ``mention_text, embedding``, one row per text.  ``concepts``:
     ``vector_idx, hpo_id, text, embedding``.  Rows with no usable vector take
-    no part.  Ties go to the lower ``vector_idx``.
+    no part: null, empty, or with a null, NaN or infinite element.  The usable
+    concepts must have one length, else there is an error; a query of another
+    length has no candidates.  Ties go to the lower ``vector_idx``.
     """
     spark = queries.sparkSession
     fetch = OVERFETCH * check_top_k(top_k)
-    size = concepts.where(F.col("embedding").isNotNull()).agg(
+    size = concepts.where(_finite()).agg(
         F.count(F.lit(1)).alias("rows"),
         F.max(F.size("embedding")).alias("dim"),
+        F.min(F.size("embedding")).alias("least"),
         F.sum(F.coalesce(F.octet_length("text"), F.lit(0)) + F.coalesce(F.octet_length("hpo_id"), F.lit(0))).alias("label_bytes"),
     ).first()
     if not size["rows"]:
         return spark.createDataFrame([], _HITS)
     dim = size["dim"]
+    if size["least"] != dim:
+        raise ValueError(f"concept vectors have several lengths, {size['least']} to {dim}")
     wanted = queries.where(_usable(queries, dim)).select("mention_text", F.col("embedding").cast("array<float>"))
     known = concepts.where(_usable(concepts, dim)).select(
         "vector_idx", "hpo_id", F.col("text").alias("hpo_label"), F.col("embedding").cast("array<float>").alias("embedding")

@@ -13,15 +13,25 @@ PREFIX_DIGITS = 3
 RANGES = 128
 
 
+def join_null_safe(left: DataFrame, right: DataFrame, on: Sequence[str]) -> DataFrame:
+    """Inner join on columns of the same names where a null meets a null."""
+    named = right.withColumnsRenamed({c: f"_on_{i}" for i, c in enumerate(on)})
+    meet = F.lit(True)
+    for i, c in enumerate(on):
+        meet = meet & F.col(c).eqNullSafe(F.col(f"_on_{i}"))
+    return left.join(named, meet).drop(*[f"_on_{i}" for i in range(len(on))])
+
+
 def split_hash(seed: int, key: str) -> Column:
-    return F.md5(F.concat(F.lit(f"{seed}|"), F.col(key).cast("string")))
+    return F.md5(F.concat(F.lit(f"{seed}|"), F.coalesce(F.col(key).cast("string"), F.lit(""))))
 
 
 def stratified_rank(df: DataFrame, strata: Sequence[str], key: str, seed: int) -> DataFrame:
     """Adds ``stratum_rank`` (from 1, in hash order) and ``stratum_size``.
 
     Hash prefixes cut every stratum into even buckets.  Buckets are counted
-    first; rows are then numbered inside their bucket only.
+    first; rows are then numbered inside their bucket only.  A null stratum is
+    a stratum of its own, and a null key is hashed as an empty one.
     """
     hashed = df.withColumn("_h", split_hash(seed, key)).withColumn("_b", F.left("_h", F.lit(PREFIX_DIGITS)))
     counts = hashed.groupBy(*strata, "_b").count()
@@ -35,8 +45,7 @@ def stratified_rank(df: DataFrame, strata: Sequence[str], key: str, seed: int) -
     )
     place = F.row_number().over(Window.partitionBy(*strata, "_b").orderBy("_h", key))
     return (
-        hashed.withColumn("_place", place)
-        .join(bases, [*strata, "_b"])
+        join_null_safe(hashed.withColumn("_place", place), bases, [*strata, "_b"])
         .withColumn("stratum_rank", F.col("_base") + F.col("_place"))
         .drop("_h", "_b", "_place", "_base")
     )
@@ -47,14 +56,14 @@ def running_totals(counts: DataFrame, groups: Sequence[str], order: str, values:
 
     ``counts`` has one row per group and ``order`` value.  The order column is
     cut at its quantiles; range sums are summed up per group, rows only within
-    their range.
+    their range.  A null group is a group of its own.
     """
     cuts = [i / RANGES for i in range(1, RANGES)]
     shape = F.struct(
         F.percentile_approx(order, cuts, 1000).alias("cuts"), *[F.sum(v).alias(f"{v}_total") for v in values]
     )
     if groups:
-        shaped = counts.join(counts.groupBy(*groups).agg(shape.alias("_shape")), list(groups))
+        shaped = join_null_safe(counts, counts.groupBy(*groups).agg(shape.alias("_shape")), groups)
     else:
         shaped = counts.withColumn("_shape", counts.agg(shape.alias("_shape")).scalar())
     # the shape is read once per row and its cuts are searched, so keep it a column
@@ -63,9 +72,9 @@ def running_totals(counts: DataFrame, groups: Sequence[str], order: str, values:
     earlier = Window.partitionBy(*groups).orderBy("_r").rowsBetween(Window.unboundedPreceding, -1)
     bases = sums.select(*groups, "_r", *[F.coalesce(F.sum(f"_{v}").over(earlier), F.lit(0)).alias(f"_{v}_base") for v in values])
     inside = Window.partitionBy(*groups, "_r").orderBy(order).rowsBetween(Window.unboundedPreceding, -1)
+    placed = ranged.withColumns({f"_{v}_in": F.coalesce(F.sum(v).over(inside), F.lit(0)) for v in values})
     return (
-        ranged.withColumns({f"_{v}_in": F.coalesce(F.sum(v).over(inside), F.lit(0)) for v in values})
-        .join(bases, [*groups, "_r"])
+        join_null_safe(placed, bases, [*groups, "_r"])
         .select(
             *counts.columns,
             *[(F.col(f"_{v}_base") + F.col(f"_{v}_in")).alias(f"{v}_before") for v in values],

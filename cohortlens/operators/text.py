@@ -285,8 +285,7 @@ def resolve_overlaps(spans: DataFrame, keys: Sequence[str], within: str | None =
     With ``within`` the spans of each value of that column are resolved first,
     then what is left of all.
     Spans are cut into islands that do not touch each other; inside an island
-    the choice is made over a byte mask of the island, so a step costs a copy
-    of the mask and not a search through the spans chosen so far.
+    the choice is made length by length, each in one pass.
     """
     payload = [c for c in spans.columns if c not in (*keys, "start", "end", "n_tokens")]
     earlier = Window.partitionBy(*keys).orderBy("start", "end").rowsBetween(Window.unboundedPreceding, -1)
@@ -317,15 +316,56 @@ def _kept_of(spans: str) -> str:
     return f"transform(array({spans}), a -> transform(array({_CHOOSE}), mask -> filter(a, s -> {_CHOSEN}))[0])[0]"
 
 
-# The mask of an island has a byte per character: 0 free, 1 first of a chosen
-# span, 2 further in one.
-_MARK = "concat('1', repeat('2', s.`end` - s.start - 1))"
-_CANDIDATES = "array_sort(array_distinct(transform(a, s -> struct(-s.n_tokens as rank, s.start as start, s.`end` as `end`))))"
-_CHOOSE = (
-    f"aggregate({_CANDIDATES}, cast(repeat('0', _top - _base) as binary), (m, s) -> "
-    "if(substring(m, s.start - _base + 1, s.`end` - s.start) = cast(repeat('0', s.`end` - s.start) as binary), "
-    f"overlay(m placing cast({_MARK} as binary) from s.start - _base + 1 for s.`end` - s.start), m))"
+# Spans are chosen by length, longest first.  Of one length, those that touch no
+# chosen span are taken from left to right, which needs only the end of the last
+# one taken; so a length costs one pass over the island, whatever it holds.  The
+# mask of an island has a byte per character: 0 free, 1 first of a chosen span, 2
+# further in one.
+
+def _bind(name: str, value: str, body: str) -> str:
+    return f"transform(array({value}), {name} -> {body})[0]"
+
+
+# array_distinct compares structs pair by pair, so equals are found as neighbours
+_CANDIDATES = _bind(
+    "sorted",
+    "sort_array(transform(a, s -> struct(s.start as start, s.`end` as `end`, s.n_tokens as n)))",
+    "filter(sorted, (s, i) -> i = 0 or s <> get(sorted, i - 1))",
+)
+
+_MASK = (
+    "cast(concat(array_join(transform(chosen, (s, i) -> concat(repeat('0', s.start - if(i = 0, _base, get(chosen, i - 1).`end`)),"
+    " '1', repeat('2', s.`end` - s.start - 1))), ''),"
+    " repeat('0', _top - if(size(chosen) = 0, _base, get(chosen, size(chosen) - 1).`end`))) as binary)"
 )
+#: spans folded at once; appending copies, so a long fold is cut into short ones
+_CHUNK = 64
+_LEFT_TO_RIGHT = (
+    f"aggregate(transform(sequence(0, (size(x) - 1) div {_CHUNK}), i -> slice(x, i * {_CHUNK} + 1, {_CHUNK})),"
+    " struct(x[0].start as e, array(slice(x, 1, 0)) as o), (acc, c) -> "
+    + _bind(
+        "r",
+        "aggregate(c, struct(acc.e as e, slice(x, 1, 0) as f),"
+        " (t, s) -> if(s.start >= t.e, struct(s.`end` as e, array_append(t.f, s) as f), t))",
+        "struct(r.e as e, array_append(acc.o, r.f) as o)",
+    )
+    + ", acc -> flatten(acc.o))"
+)
+_FREE = (
+    "filter(all, s -> s.n = -minus and"
+    " substring(mask, s.start - _base + 1, s.`end` - s.start) = cast(repeat('0', s.`end` - s.start) as binary))"
+)
+_CHOOSE = _bind(
+    "all",
+    _CANDIDATES,
+    "aggregate(sort_array(array_distinct(transform(all, s -> -s.n))), slice(all, 1, 0), (chosen, minus) -> "
+    + _bind(
+        "x", _bind("mask", _MASK, _FREE),
+        f"if(size(x) = 0, chosen, sort_array(concat(chosen, {_LEFT_TO_RIGHT})))",
+    )
+    + f", chosen -> {_MASK})",
+)
+_MARK = "concat('1', repeat('2', s.`end` - s.start - 1))"
 _CHOSEN = (
     f"substring(mask, s.start - _base + 1, s.`end` - s.start) = cast({_MARK} as binary)"
     " and substring(mask, s.`end` - _base + 1, 1) <> cast('2' as binary)"

@@ -57,7 +57,7 @@ def validate_patients(patients: DataFrame) -> DataFrame:
         "cycle_number": F.col("cycle_number").between(*CYCLE_RANGE),
         "ecog_score": F.col("ecog_score").between(*ECOG_RANGE),
     }
-    checks |= {c: F.col(c) >= 0 for c in LABS}
+    checks |= {c: (F.col(c) >= 0) & ~F.isnan(F.col(c).cast("double")) for c in LABS}  # NaN >= 0 holds in Spark
     checks |= {c: F.col(c).between(*SCORE_RANGE) for c in SCORES}
     checks["clinical_note"] = F.col("clinical_note").isNull() | (F.length("clinical_note") <= MAX_NOTE_CHARS)
     return scored.withColumn("reasons", _reasons(checks))

@@ -94,3 +94,17 @@ def test_notes_to_concepts(spark):
     digest = {r.id: r.digest for r in mp.term_digest(notes, found, ["id"]).collect()}
     assert digest[1] == "- seizures (HP:1)\n- Hypotonia (HP:2)"
     assert digest[2] == digest[3] == f"{mp.NO_FINDINGS} {mp.DIGEST_DISCLAIMER}"
+
+
+def test_a_concept_of_another_length_is_an_error(spark):
+    concepts = spark.createDataFrame([(0, "A", "a", [1.0, 0.0]), (1, "B", "b", [1.0, 0.0, 0.0])], CONCEPTS)
+    queries = spark.createDataFrame([("q", [1.0, 0.0])], "mention_text string, embedding array<float>")
+    with pytest.raises(ValueError):
+        mp.nearest(queries, concepts)
+
+
+def test_concepts_with_nan_take_no_place(spark):
+    rows = [(0, "A", "a", [1.0, 0.0]), (1, "B", "b", [float("nan"), 0.0]), (2, "C", "c", [0.0, 1.0])]
+    queries = spark.createDataFrame([("q", [1.0, 0.0])], "mention_text string, embedding array<float>")
+    got = mp.nearest(queries, spark.createDataFrame(rows, CONCEPTS), top_k=1).collect()
+    assert {r.hpo_id for r in got} == {"A", "C"}

@@ -254,3 +254,19 @@ def test_kept_spans_are_disjoint_in_one_long_island(spark):
     found = sorted((r.start, r.end) for r in tx.find_mentions(notes_df(spark, {1: text}), lexicon, ["id"], "t").collect())
     assert len(found) == 3000 and all(a[1] <= b[0] for a, b in zip(found, found[1:]))
     assert all(re.fullmatch("the the the", text[s:e]) for s, e in found)
+
+
+def test_overlaps_of_a_repetitive_text_take_time_in_proportion(spark):
+    import time
+
+    lexicon = tx.phrase_table(spark, {"m": ["the", "the the", "the the of", "of the", "of"]}, tx.MENTION_KIND)
+
+    def seconds(repeats: int) -> float:
+        notes = spark.createDataFrame([(1, "the of the " * repeats)], "id int, text string")
+        start = time.perf_counter()
+        assert tx.find_mentions(notes, tx.compile_lexicon(lexicon), ["id"], "text").count() >= repeats
+        return time.perf_counter() - start
+
+    seconds(100)
+    small, large = seconds(10_000), seconds(40_000)
+    assert large < 8 * max(small, 1.0)
