@@ -289,8 +289,15 @@ def _ontology_queries() -> dict[str, str]:
             case when length(text) > 10000 then 'note_too_long' end) reasons from documents""",
         "validate_patients": f"select patient_id, {_patient_reasons()} reasons from ({_PATIENTS})",
         "terms_round_trip": f"with recursive {_TERMS} select id, label, synonyms, definition, '2024-04-26' as release, (select count(*) from terms) term_count from terms",
-        "vectors_round_trip": f"select vector_idx, hpo_id, text, cast(len(embedding) as int) dim from ({_CONCEPTS})",
-        "patients_round_trip": f"select patient_id, clinical_note, ae_grade, anc csv_anc, age csv_age from ({_PATIENTS})",
+        "vectors_round_trip": f"select vector_idx, hpo_id, text, cast(i - 1 as int) pos, embedding[i] as element from ({_CONCEPTS}), unnest(range(1, len(embedding) + 1)) t(i)",
+        "patients_round_trip": f"select *, anc csv_anc, age csv_age from ({_PATIENTS})",
+        "read_ontology": f"""select 'node' what, id, type kind, lbl as name, syn synonyms, def definition from ({duck(d.NODES_SQL)})
+            union all select 'edge', sub, pred, obj, null, null from ({duck(d.EDGES_SQL)})""",
+        "read_cues": """select case when p_partkey % 2 = 0 then 'preceding' else 'following' end kind, concat(p_name, ' ', p_partkey) phrase from part
+            where p_partkey % 2 = 0 or (p_partkey // 500) % 3 <> 0""",
+        "read_gold": f"""select concat('note ', vector_idx // 10) note, text, hpo_id, vector_idx % 3 = 0 negated from ({_CONCEPTS}) where vector_idx % 70 >= 10
+            union all select distinct concat('note ', vector_idx // 10), null, null, null::boolean from ({_CONCEPTS}) where vector_idx % 70 < 10""",
+        "read_notes": f"select clinical_note || chr(10) as text, true named from ({_PATIENTS}) where clinical_note is not null",
     }
 
 
@@ -381,7 +388,8 @@ def _feature_queries() -> dict[str, str]:
         "risk_summary": f"""with {_scored(_OVERRIDDEN, f'select patient_id id, clinical_note t from ({_OVERRIDDEN})')}
             select patient_id, {_SUMMARY} summary from scored""",
         "stream_risk_patients": f"""with {_scored(valid, f'select patient_id id, clinical_note t from ({valid})')}
-            select patient_id, risk_probability, risk_tier, {_SUMMARY} summary from scored""",
+            select patient_id, risk_probability, risk_tier, {_SUMMARY} summary, null reasons from scored
+            union all select patient_id, null, null, null, {_patient_reasons()} from ({_PATIENTS}) where {_patient_reasons()} <> ''""",
     }
 
 

@@ -580,9 +580,7 @@ def patients_round_trip(spark: SparkSession, sf: str) -> DataFrame:
     sources.write_patients(d.patients(spark, sf), f"{path}/parquet", f"{path}/csv")
     back = spark.read.schema(schemas.PATIENTS).option("header", True).option("multiLine", True).option("escape", "\\").csv(f"{path}/csv")
     rows = back.select("patient_id", F.col("anc").alias("csv_anc"), F.col("age").alias("csv_age"))
-    return sources.read_patients(spark, f"{path}/parquet").join(rows, "patient_id").select(
-        "patient_id", "clinical_note", "ae_grade", "csv_anc", "csv_age"
-    )
+    return sources.read_patients(spark, f"{path}/parquet").join(rows, "patient_id")
 
 
 def terms_round_trip(spark: SparkSession, sf: str) -> DataFrame:
@@ -597,7 +595,71 @@ def terms_round_trip(spark: SparkSession, sf: str) -> DataFrame:
 def vectors_round_trip(spark: SparkSession, sf: str) -> DataFrame:
     path = new_folder(spark, "vectors")
     _concepts(spark, sf).write.parquet(path)
-    return sources.read_concept_vectors(spark, path).select("vector_idx", "hpo_id", "text", F.size("embedding").alias("dim"))
+    back = sources.read_concept_vectors(spark, path)
+    return back.select("vector_idx", "hpo_id", "text", F.posexplode("embedding").alias("pos", "element"))
+
+
+#: rows that go into one document of a written collection
+DOCUMENT_ROWS = 500
+
+
+def _json_files(documents: DataFrame, spark: SparkSession, name: str) -> str:
+    """A folder with one JSON file per row of ``documents``: ``doc`` numbers them, ``body`` is the text."""
+    path = new_folder(spark, name)
+    documents.write.partitionBy("doc").text(path)
+    return path
+
+
+def read_ontology(spark: SparkSession, sf: str) -> DataFrame:
+    """Nodes and edges read back from ontology documents of a few hundred nodes each."""
+    nodes = _nodes(spark, sf)
+    count = -(-nodes.count() // DOCUMENT_ROWS)
+    nodes = nodes.groupBy(F.expr(f"ord div {DOCUMENT_ROWS}").alias("doc")).agg(F.collect_list(F.struct("id", "type", "lbl", "meta")).alias("nodes"))
+    edges = _edges(spark, sf).groupBy(F.pmod(F.crc32("sub"), F.lit(count)).alias("doc")).agg(
+        F.collect_list(F.struct("sub", "pred", "obj")).alias("edges")
+    )
+    graph = F.struct(F.coalesce("nodes", F.array()).alias("nodes"), F.coalesce("edges", F.array()).alias("edges"))
+    body = F.to_json(F.struct(F.array(graph).alias("graphs")))
+    read = sources.read_ontology(spark, _json_files(nodes.join(edges, "doc", "full").select("doc", body.alias("body")), spark, "ontology"))
+    synonyms = F.array_join(F.transform("meta.synonyms", lambda s: s["val"]), "|")
+    return read.nodes.select(
+        F.lit("node").alias("what"), "id", F.col("type").alias("kind"), F.col("lbl").alias("name"), synonyms.alias("synonyms"),
+        F.col("meta.definition.val").alias("definition"),
+    ).unionByName(
+        read.edges.select(F.lit("edge").alias("what"), F.col("sub").alias("id"), F.col("pred").alias("kind"), F.col("obj").alias("name")),
+        allowMissingColumns=True,
+    )
+
+
+def read_cues(spark: SparkSession, sf: str) -> DataFrame:
+    """Cue lists read back; every third document has no list of following cues."""
+    rows = d.table(spark, sf, "part").select(
+        F.expr(f"p_partkey div {DOCUMENT_ROWS}").alias("doc"), F.col("p_partkey") % 2 == 0, F.concat_ws(" ", "p_name", F.col("p_partkey").cast("string"))
+    ).toDF("doc", "first", "phrase")
+    lists = rows.groupBy("doc").agg(
+        F.collect_list(F.when(F.col("first"), F.col("phrase"))).alias("preceding_negations"),
+        F.collect_list(F.when(~F.col("first"), F.col("phrase"))).alias("following_negations"),
+    )
+    after = F.when(F.col("doc") % 3 != 0, F.col("following_negations")).alias("following_negations")
+    body = F.to_json(F.struct("preceding_negations", after))
+    return sources.read_cues(spark, _json_files(lists.select("doc", body.alias("body")), spark, "cues"))
+
+
+def read_gold(spark: SparkSession, sf: str) -> DataFrame:
+    """Gold cases of ten mentions each read back; mentions that are not negated leave that to the default."""
+    rows = d.derive(spark, sf, d.CONCEPTS_SQL, "embeddings").withColumn("case", F.expr("vector_idx div 10"))
+    mention = F.struct("text", "hpo_id", F.when(F.col("vector_idx") % 3 == 0, F.lit(True)).alias("negated"))
+    cases = rows.groupBy("case").agg(F.collect_list(F.when(F.col("vector_idx") % 70 >= 10, mention)).alias("expected_mentions"))
+    case = F.struct(F.concat(F.lit("note "), F.col("case").cast("string")).alias("note"), "expected_mentions")
+    files = cases.groupBy(F.expr("case div 50").alias("doc")).agg(F.to_json(F.collect_list(case)).alias("body"))
+    return sources.read_gold(spark, _json_files(files, spark, "gold")).select("note", "text", "hpo_id", "negated")
+
+
+def read_notes(spark: SparkSession, sf: str) -> DataFrame:
+    """Every note as a text file of its own, read back whole; names are the writer's, so they are counted."""
+    notes = d.notes(spark, sf).where(F.col("clinical_note").isNotNull())
+    path = _json_files(notes.select(F.col("patient_id").alias("doc"), F.col("clinical_note").alias("body")), spark, "notes")
+    return sources.read_notes(spark, path).select("text", F.col("note_id").endswith(".txt").alias("named"))
 
 
 def report_round_trip(spark: SparkSession, sf: str) -> DataFrame:
@@ -616,11 +678,15 @@ def _arriving(spark: SparkSession, rows: DataFrame, files: int = 4) -> DataFrame
     return spark.readStream.schema(rows.schema).option("maxFilesPerTrigger", 1).parquet(path)
 
 
-def _streamed(spark: SparkSession, start, *args, name: str, **kw) -> DataFrame:
+def _run_stream(spark: SparkSession, start, *args, **kw) -> str:
+    """Runs a stream to its end; the folder of its outputs."""
     out = new_folder(spark, "streamed")
-    query = start(*args, out=f"{out}/data", checkpoint=f"{out}/checkpoint", **kw)
-    query.awaitTermination()
-    return spark.read.parquet(f"{out}/data/{name}")
+    start(*args, out=f"{out}/data", checkpoint=f"{out}/checkpoint", **kw).awaitTermination()
+    return f"{out}/data"
+
+
+def _streamed(spark: SparkSession, start, *args, name: str, **kw) -> DataFrame:
+    return spark.read.parquet(f"{_run_stream(spark, start, *args, **kw)}/{name}")
 
 
 def stream_phenotypes_notes(spark: SparkSession, sf: str) -> DataFrame:
@@ -637,7 +703,12 @@ def stream_concepts_notes(spark: SparkSession, sf: str) -> DataFrame:
 
 def stream_risk_patients(spark: SparkSession, sf: str) -> DataFrame:
     rows = _arriving(spark, d.patients(spark, sf))
-    return _streamed(spark, stream_risk, rows, name="risk").select("patient_id", "risk_probability", "risk_tier", "summary")
+    out = _run_stream(spark, stream_risk, rows)
+    scored, rejected = spark.read.parquet(f"{out}/risk"), spark.read.parquet(f"{out}/quarantine")
+    told = F.array_join("reasons", ",").alias("reasons")
+    return scored.select("patient_id", "risk_probability", "risk_tier", "summary").unionByName(
+        rejected.select("patient_id", told), allowMissingColumns=True
+    )
 
 
 def train_report_patients(spark: SparkSession, sf: str) -> DataFrame:
@@ -659,7 +730,7 @@ _NAMED = (
     auroc, auprc, brier, calibration_curve, threshold_table, best_threshold, age_groups, subgroup_auroc, subgroup_table,
     model_report, cohort_profile, extraction_prf, mapping_topk, negation_fp, failed_cases, evaluate_extraction,
     regression_gate, train_report_patients,
-    patients_round_trip, terms_round_trip, vectors_round_trip, report_round_trip,
+    read_ontology, read_cues, read_gold, read_notes, patients_round_trip, terms_round_trip, vectors_round_trip, report_round_trip,
     stream_phenotypes_notes, stream_concepts_notes, stream_risk_patients,
 )
 
