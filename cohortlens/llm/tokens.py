@@ -10,6 +10,8 @@ from __future__ import annotations
 
 import os
 
+import numpy as np
+
 from cohortlens.llm.words import words_of
 
 os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")
@@ -20,8 +22,18 @@ REMEMBERED = 350_000
 TOGETHER = 1 << 20
 
 
+#: punctuation that may be cut off the end of a word: the tokenizers split there anyway
+_PUNCTUATION = b"!#$%&()*+,-./:;=?@[]^_{|}~\"'"
+
+
 class WordIds:
-    """Ids as little-endian unsigned 32-bit numbers, for a tokenizer that treats words alone."""
+    """Ids as little-endian unsigned 32-bit numbers, for a tokenizer that treats words alone.
+
+    It must lower-case, split runs of letters from punctuation, and mark the
+    last token of a run with ``</w>``.  Unknown words are looked up again in
+    lower case and without final punctuation; runs of letters still unknown are
+    encoded in one go and told apart by their last tokens.
+    """
 
     def __init__(self, path: str, remembered: int = REMEMBERED):
         from tokenizers import Tokenizer
@@ -30,22 +42,58 @@ class WordIds:
         self._remembered = remembered
         self._new: dict[bytes, bytes] = {}
         self._old: dict[bytes, bytes] = {}
+        vocabulary = self._tokenizer.get_vocab()
+        self._ends = np.zeros(max(vocabulary.values()) + 1, bool)
+        self._ends[[i for t, i in vocabulary.items() if t.endswith("</w>")]] = True
+
+    def _each(self, words: list[bytes]) -> list[bytes]:
+        encoded = self._tokenizer.encode_batch_fast([w.decode() for w in words], add_special_tokens=False)
+        return [np.array(e.ids, "<u4").tobytes() for e in encoded]
+
+    def _letters(self, words: list[bytes]) -> list[bytes]:
+        """Ids of words that are one run of letters each."""
+        ids = self._tokenizer.encode_batch_fast([b" ".join(words).decode()], add_special_tokens=False)[0].ids
+        ids = np.array(ids, "<u4")
+        cuts = np.flatnonzero(self._ends[ids]) + 1
+        if len(cuts) != len(words) or (len(ids) and cuts[-1] != len(ids)):
+            return self._each(words)
+        data, at = ids.tobytes(), (4 * cuts).tolist()
+        return [data[i:j] for i, j in zip([0, *at], at, strict=False)]
+
+    def _add(self, words: list[bytes], ids: list[bytes]) -> None:
+        self._new.update(zip(words, ids, strict=True))
 
     def _learn(self, missing: set[bytes]) -> None:
         if len(self._new) > self._remembered:
             self._old, self._new = self._new, {}
-        unknown = []
+        new, old, parts = self._new, self._old, {}
         for w in missing:
-            ids = self._old.get(w)
-            if ids is None:
-                unknown.append(w)
+            ids = old.get(w)
+            if ids is not None:
+                new[w] = ids
+            elif b"<|" in w:  # may hold a special token, which is taken as written
+                parts[w] = (w, b"")
+            else:
+                stem = w.rstrip(_PUNCTUATION)
+                parts[w] = (stem.lower(), w[len(stem) :])
+        letters, others = [], []
+        for part in {p for both in parts.values() for p in both if p}:
+            if part in new:
+                continue
+            ids = old.get(part)
+            if ids is not None:
+                new[part] = ids
+            elif part.decode().lower().isalpha():
+                letters.append(part)
             else:
-                self._new[w] = ids
-        encoded = self._tokenizer.encode_batch_fast(
-            [w.decode("utf-8", "replace") for w in unknown], add_special_tokens=False
-        )
-        for w, e in zip(unknown, encoded, strict=True):
-            self._new[w] = b"".join(i.to_bytes(4, "little") for i in e.ids)
+                others.append(part)
+        if letters:
+            self._add(letters, self._letters(letters))
+        if others:
+            self._add(others, self._each(others))
+        new[b""] = b""
+        for w, (stem, end) in parts.items():
+            new[w] = new[stem] + new[end]
 
     def encode(self, texts: list[str | None]) -> list[bytes]:
         out: list[bytes] = []
