@@ -104,12 +104,19 @@ def score_patients(
     ).drop("_rules", "_model")
 
 
+def plain_digits(x: Column) -> Column:
+    """A double as text without an exponent, for any size a lab value may have."""
+    usual = (F.abs(x) >= 1e-3) & (F.abs(x) < 1e7) | (x == 0)
+    fixed = F.regexp_replace(F.regexp_replace(x.cast("decimal(38,12)").cast("string"), "0+$", ""), r"\.$", ".0")
+    return F.when(usual, x.cast("string")).otherwise(fixed)
+
+
 def abnormal_labs() -> Column:
     """Texts of the lab values beyond their limit, in fixed order."""
 
     def finding(lab: str, side: str, limit: float) -> Column:
         beyond = F.col(lab) < limit if side == "below" else F.col(lab) > limit
-        text = F.concat(F.lit(f"{lab} "), F.col(lab).cast("string"), F.lit(f" ({side} threshold {limit})"))
+        text = F.concat(F.lit(f"{lab} "), plain_digits(F.col(lab).cast("double")), F.lit(f" ({side} threshold {limit})"))
         return F.when(beyond, text)
 
     return F.filter(F.array(*[finding(*row) for row in LAB_LIMITS]), lambda x: x.isNotNull())
@@ -165,8 +172,9 @@ def summarize_risk(
     noted = patients.withColumn("clinical_note", F.coalesce(note, F.lit("")))
     mentions = symptom_mentions(noted, ["patient_id"], "clinical_note")
     rolled = note_rollup(noted, mentions, ["patient_id"], tuple(VOCABULARY))
-    lists = rolled.select("patient_id", "categories_present", "max_grade")
-    scored = score_patients(noted, rolled, models).join(lists, "patient_id")
+    found = [c for c in rolled.columns if c != "patient_id"]
+    rolled = rolled.withColumns({c: F.col(c).cast("int") for c in found if c.startswith("has_")})
+    scored = score_patients(noted.drop(*found).join(rolled, "patient_id"), None, models)
     return scored.select(
         "patient_id",
         *keep,

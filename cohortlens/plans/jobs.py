@@ -19,7 +19,7 @@ def train_report(
     patients: DataFrame,
     label: str = "adverse_event",
     fits: Mapping[str, md.Fit] | None = None,
-    cv_models: Sequence[str] = (md.LOGISTIC,),
+    cv_models: Sequence[str] | None = None,
     save_to: str | None = None,
     apply_negation: bool = True,
     seed: int = ft.SEED,
@@ -27,8 +27,8 @@ def train_report(
     """Split, extract flags, train all models, and report on the test rows.
 
     Returns the long report of every model: headline metrics, thresholds and
-    subgroups, the calibration curve, cross-validated AUROC where asked for,
-    and ``best_model``.  With ``save_to`` models and report are stored.
+    subgroups, the calibration curve, cross-validated AUROC (of every model, or
+    of ``cv_models``), and ``best_model``.  With ``save_to`` models and report are stored.
     """
     spark = patients.sparkSession
     fits = fits if fits is not None else {md.LOGISTIC: md.fit_logistic, md.BOOSTED: md.fit_boosted}
@@ -46,7 +46,7 @@ def train_report(
         scores = models.predict(test, flags, name).withColumnRenamed("probability", "p")
         scored = staged(labels.join(scores, "patient_id"), f"scores-{name}")
         parts = [ev.model_report(scored, name), _calibration(scored, name)]
-        if name in cv_models:
+        if cv_models is None or name in cv_models:
             cv = md.cv_summary(md.stratified_cv(train, flags, label, fits[name], seed=seed))
             parts.append(_rows(cv, name, "cross_validation", ["cv_auroc_mean", "cv_auroc_std"]))
         models.metrics[name] = ev.metric_summary(scored).first().asDict()

@@ -712,9 +712,7 @@ def stream_risk_patients(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def train_report_patients(spark: SparkSession, sf: str) -> DataFrame:
-    return train_report(
-        d.patients(spark, sf), fits={md.LOGISTIC: md.fit_logistic, md.BOOSTED: _boosted}, cv_models=()
-    )
+    return train_report(d.patients(spark, sf), fits={md.LOGISTIC: md.fit_logistic, md.BOOSTED: _boosted})
 
 
 _NAMED = (

@@ -83,3 +83,9 @@ def test_note_checks(spark):
     notes = spark.createDataFrame([(None,), ("",), ("x",), ("x" * 10_000,), ("x" * 10_001,)], "text string")
     assert [r.reasons for r in va.validate_notes(notes).collect()] == [["note_missing"], ["note_empty"], [], [], ["note_too_long"]]
     assert [r.reasons for r in va.validate_notes(notes, optional=True).collect()] == [[], [], [], [], ["note_too_long"]]
+
+
+def test_lab_values_are_told_in_plain_digits(spark):
+    df = spark.createDataFrame([(0.0005,), (1e7,), (2.5,), (0.0,), (12345678.25,)], "x double")
+    got = [r[0] for r in df.select(sc.plain_digits(F.col("x"))).collect()]
+    assert got == ["0.0005", "10000000.0", "2.5", "0.0", "12345678.25"]
