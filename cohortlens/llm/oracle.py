@@ -3,13 +3,79 @@
 from __future__ import annotations
 
 from cohortlens.llm.licenses import PERCENT, SHINGLE, TEMPLATES
-from cohortlens.llm.queries import MIX
+from cohortlens.llm.quality import BINS, CONSISTENCY, CUTOFF, DIMENSIONS, FLOORS, MIN_CELL, SHARE, STEPS
+from cohortlens.llm.queries import MIX, URL_RULES
 from cohortlens.llm.revisits import TRACKING
+from cohortlens.llm.url_templates import DEPTH, DIFFERENT, LABELLED, MANY, PRIOR, RARE, REJECT
 
 _WORDS = r"regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+')"
 _LOWER = "translate({}, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
 
 
+def _quality() -> str:
+    dims = range(DIMENSIONS)
+    pairs = [(i, j) for i in dims for j in range(i + 1)]
+    comma = ", ".join
+
+    def distance(no: int) -> str:
+        """Rows with their squared distance to the estimates e{no}, one substitution per step."""
+        steps, source = [], f"(select v.*, e.* exclude (cell) from vectors v join e{no} e using (cell))"
+        for i in dims:
+            rest = f"x{i} - m{i}" + "".join(f" - l{i}{j} * y{j}" for j in range(i))
+            source = f"(select *, ({rest}) / l{i}{i} y{i} from {source})"
+        return f"(select *, {' + '.join(['0.0::double', *(f'y{i} * y{i}' for i in dims)])} d2 from {source})"
+
+    def step(no: int) -> str:
+        sums = comma([f"sum(x{i}) t{i}" for i in dims] + [f"sum(x{i} * x{j}) q{i}{j}" for i, j in pairs])
+        names = ["n"] + [f"t{i}" for i in dims] + [f"q{i}{j}" for i, j in pairs]
+        source = f"(select cell, {comma(f'sum({c})::double {c}' for c in names)} from near{no} group by cell)"
+        cov = comma(
+            f"{CONSISTENCY}::double * (q{i}{j} / n - (t{i} / n) * (t{j} / n)) + {FLOORS[i] ** 2 if i == j else 0} c{i}{j}" for i, j in pairs
+        )
+        source = f"(select cell, {comma(f't{i} / n m{i}' for i in dims)}, {cov} from {source})"
+        for i, j in pairs:
+            rest = f"c{i}{j}" + "".join(f" - l{i}{k} * l{j}{k}" for k in range(j))
+            source = f"(select *, {f'sqrt({rest})' if i == j else f'({rest}) / l{j}{j}'} l{i}{j} from {source})"
+        return f"""
+        binned{no} as materialized (select cell, floor(least(sqrt(d2), 10000) * {BINS})::int bin, count(*) n, {sums} from {distance(no)} group by all),
+        near{no} as materialized (from (select *, coalesce(sum(n) over (partition by cell order by bin rows between unbounded preceding and 1 preceding), 0) ahead,
+            sum(n) over (partition by cell) total from binned{no}) where ahead < ceil({SHARE}::double * total)),
+        e{no + 1} as materialized (select cell, {comma(f'm{i}' for i in dims)}, {comma(f'l{i}{j}' for i, j in pairs)} from {source})"""
+
+    middle = lambda frame, value: f"""select cell, dim, min({value}) middle from (select cell, dim, {value}, sum(n) over (partition by cell, dim order by {value}) up_to,
+        sum(n) over (partition by cell, dim) total from (select cell, dim, {value}, sum(n) n from {frame} group by all)) where 2 * up_to >= total group by cell, dim"""
+    diagonal = comma(f"max(case when dim = {i} then s end) l{i}{j}" if i == j else f"0.0::double l{i}{j}" for i, j in pairs)
+    return rf"""with words as (select doc_id, lang, source, coalesce(text, '') body, {_WORDS} w from documents),
+        single as (select doc_id, unnest(w) word, generate_subscripts(w, 1) i from words),
+        triples as (select doc_id, i, count(*) over (partition by doc_id, s) c from (select doc_id, i, word || ' ' || lead(word) over d || ' ' || lead(word, 2) over d s
+            from single window d as (partition by doc_id order by i)) where s is not null),
+        again as (select doc_id, count(distinct i + k) n_repeat_words from triples, range(3) r(k) where c > 1 group by doc_id),
+        lines as (select doc_id, list_filter(string_split(body, chr(10)), lambda x: regexp_matches(x, '[^ 	-
+]')) l from words),
+        stats as materialized (select doc_id, lang, source, len(w)::bigint n_words, length(array_to_string(w, ''))::bigint word_chars,
+            (length(body) - length(regexp_replace(body, '[#*$%&|<>]', '', 'g')))::bigint n_symbols, len(l)::bigint n_lines,
+            (len(l) - len(list_distinct(l)))::bigint n_dup_lines, coalesce(n_repeat_words, 0)::bigint n_repeat_words
+            from words join lines using (doc_id) left join again using (doc_id)),
+        judged as materialized (select *, n_words < 50 or 100 * n_repeat_words > 50 * n_words base_failed from stats),
+        own as (select lang, source, count(*) n from judged where not base_failed group by all),
+        pooled as (select lang, sum(n) of_lang from own where n < {MIN_CELL} group by lang),
+        cells as (select o.lang, o.source, case when n >= {MIN_CELL} then struct_pack(l := o.lang, s := o.source, v := 0)
+            when of_lang >= {MIN_CELL} then struct_pack(l := o.lang, s := null, v := 1) else struct_pack(l := null, s := null, v := 2) end cell
+            from own o left join pooled p on o.lang is not distinct from p.lang),
+        vectors as materialized (select j.*, cell, round(1000 * ln(word_chars / n_words))::bigint x0, round(1000 * ln(1 + 20 * n_symbols / n_words))::bigint x1,
+            round(1000 * n_dup_lines / n_lines)::bigint x2, round(1000 * n_repeat_words / n_words)::bigint x3
+            from judged j join cells c on j.lang is not distinct from c.lang and j.source is not distinct from c.source where not base_failed),
+        long as (select cell, dim, value, count(*) n from (select cell, unnest(range({DIMENSIONS})) dim, unnest([{comma(f'x{i}' for i in dims)}]) as value from vectors) group by all),
+        med as materialized ({middle('long', 'value')}),
+        away as (select cell, dim, abs(value - middle) away, n from long join med using (cell, dim)),
+        mad as materialized ({middle('away', 'away')}),
+        spread as (select cell, dim, med.middle::double m, greatest(1.4826::double * mad.middle, ([{comma(map(str, FLOORS))}])[dim + 1])::double s from med join mad using (cell, dim)),
+        e0 as materialized (select cell, {comma(f'max(case when dim = {i} then m end) m{i}' for i in dims)}, {diagonal} from spread group by cell),
+        {comma(step(no) for no in range(STEPS))}
+        select doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base_failed, d2 <= {CUTOFF} kept from {distance(STEPS)}
+        union all select doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, true, false from judged where base_failed"""
+
+
 def _revisits() -> str:
     host = _LOWER.format(r"regexp_extract(url, '^[a-z]+://([^/?#]*)', 1)")
     day = "concat('day ', page_id % 7)"
@@ -107,10 +173,45 @@ def _licenses() -> str:
             from held join sizes using (license) where 100 * c >= {PERCENT} * n group by doc_id, license"""
 
 
+def _url_templates() -> str:
+    rule, verdict = "null", "null"
+    for what, host, path in sorted(URL_RULES, key=lambda r: len(r[1] + r[2])):
+        fits = f"(host = '{host}' or ends_with(host, '.{host}')) and starts_with(path, '{path}')"
+        rule, verdict = f"case when {fits} then '{host}{path}' else {rule} end", f"case when {fits} then '{what}' else {verdict} end"
+
+    def level(no: int) -> str:
+        return f"""
+        child{no} as (select host, template, shape[{no + 1}] segment, sum(n) n, sum(labelled) l, sum(bad) b from t{no} where len(shape) > {no} group by all),
+        both{no} as (select *, count(*) over p children, sum(n) over p total, sum(l) over p all_l, sum(b) over p all_b, all_l - l rest,
+            all_b::double / nullif(all_l, 0) pooled from child{no} window p as (partition by host, template)),
+        as{no} as materialized (select host, template, segment, case when not contains(segment, '#') and (children = 1 or coalesce(l >= {LABELLED} and rest >= {LABELLED}
+            and abs(b::double / nullif(l, 0) - (all_b - b)::double / nullif(rest, 0)) > {DIFFERENT} * sqrt(pooled * (1 - pooled) * (1.0::double / nullif(l, 0) + 1.0::double / nullif(rest, 0)))
+            and not (children > {MANY} and n < {RARE}::double * total), false)) then segment else '*' end name from both{no}),
+        t{no + 1} as materialized (select t.host, shape, n, labelled, bad, case when name is null then t.template else list_append(t.template, name) end template
+            from t{no} t left join as{no} a on t.host = a.host and t.template = a.template and a.segment = shape[{no + 1}])"""
+
+    rest = "case when contains(url, '://') then substr(url, strpos(url, '://') + 3) else '' end"
+    return f"""with cut as (select page_id, coalesce({rest}, '') rest from pages),
+        parts as (select page_id, {_LOWER.format("regexp_extract(rest, '^([^/?#]*)', 1)")} host, regexp_extract(rest, '^[^/?#]*([^?#]*)', 1) path from cut),
+        whole as (select *, list_filter(string_split(regexp_replace(path, '[0-9]+', '#', 'g'), '/'), lambda s: s <> '') s from parts),
+        rows as materialized (select page_id, host, path, case when len(s) <= {DEPTH} then s else list_append(s[1:{DEPTH}], '**') end shape from whole),
+        marked as (select page_id, max((quality = 0 or toxic = 1)::int) bad from rows join labels on try_cast(regexp_extract(path, '([0-9]+)', 1) as bigint) = labels.doc_id
+            where (quality = 0 or toxic = 1) is not null group by page_id),
+        t0 as materialized (select host, shape, count(*) n, count(bad) labelled, coalesce(sum(bad), 0) bad, []::varchar[] template from rows left join marked using (page_id) group by host, shape),
+        {", ".join(level(no) for no in range(DEPTH + 1))},
+        base as (select coalesce(sum(bad)::double / nullif(sum(labelled), 0), 0) base from t0),
+        pure as (select host, template, (sum(bad) + {PRIOR} * any_value(base)) / (sum(labelled) + {PRIOR}) purity from t{DEPTH + 1}, base group by host, template)
+        select page_id, rows.host, path, {rule.replace('host', 'rows.host')} as rule,
+            coalesce({verdict.replace('host', 'rows.host')}, case when purity >= {REJECT} then 'block' else 'allow' end) verdict
+            from rows join t{DEPTH + 1} t on rows.host = t.host and rows.shape = t.shape join pure on t.host = pure.host and t.template = pure.template"""
+
+
 ORACLE: dict[str, str] = {
+    "op2_quality_rules": _quality(),
     "op3_revisits": _revisits(),
     "op4_near_duplicates": _near_duplicates(),
     "op7_drop_repeats": _drop_repeats(),
     "op8_mixing": _mixing(),
     "op9_licenses": _licenses(),
+    "op10_url_templates": _url_templates(),
 }
