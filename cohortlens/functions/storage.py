@@ -4,11 +4,15 @@ from __future__ import annotations
 
 import atexit
 import tempfile
+import threading
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
 
 _local_dir: str | None = None
+_passing = threading.local()
 
 
 def shared_dir(spark: SparkSession) -> str:
@@ -31,7 +35,8 @@ def shared_dir(spark: SparkSession) -> str:
 
 
 def new_folder(spark: SparkSession, name: str) -> str:
-    return f"{shared_dir(spark)}/{name}-{uuid.uuid4().hex}"
+    within = getattr(_passing, "folder", None) or shared_dir(spark)
+    return f"{within}/{name}-{uuid.uuid4().hex}"
 
 
 def remove(spark: SparkSession, path: str) -> None:
@@ -40,6 +45,18 @@ def remove(spark: SparkSession, path: str) -> None:
     where.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(where, True)
 
 
+@contextmanager
+def passing_tables(spark: SparkSession, name: str) -> Iterator[None]:
+    """What this thread stages inside goes when the block ends, so its results must be written by then."""
+    before = getattr(_passing, "folder", None)
+    _passing.folder = new_folder(spark, name)
+    try:
+        yield
+    finally:
+        folder, _passing.folder = _passing.folder, before
+        remove(spark, folder)
+
+
 def staged(df: DataFrame, name: str) -> DataFrame:
     """Write the frame once and go on from the written table.
 

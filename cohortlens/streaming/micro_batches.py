@@ -13,6 +13,7 @@ from collections.abc import Callable, Mapping, Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql.streaming.query import StreamingQuery
 
+from ..functions.storage import passing_tables
 from ..operators.mapping import enrich_notes
 from ..operators.models import RiskModels
 from ..operators.scoring import summarize_risk
@@ -30,8 +31,9 @@ def run_stream(
     def write(batch: DataFrame, batch_id: int) -> None:
         held = batch.persist()
         try:
-            for name, frame in outputs(held).items():
-                frame.write.mode("overwrite").parquet(f"{out}/{name}/batch_id={batch_id}")
+            with passing_tables(batch.sparkSession, "batch"):
+                for name, frame in outputs(held).items():
+                    frame.write.mode("overwrite").parquet(f"{out}/{name}/batch_id={batch_id}")
         finally:
             held.unpersist()
 
