@@ -6,11 +6,14 @@ batch of signature values, and a pair goes as soon as the posterior probability
 (uniform prior) that its similarity reaches the threshold falls below ``miss``.
 Survivors are verified on their full shingle sets, so a link is never a guess.
 
-Groups are not expanded.  A bucket first meets one pivot only.  What that leaves
-in different components meets more pivots, four times as many in each round;
-a pair is skipped only when both are in one component already, so components
-are those of all links found by the bands.  The rounds end when no bucket holds
-two components that were not compared.
+Groups are not expanded.  A bucket first meets one pivot, which joins most of a
+group of copies into one component at a linear cost; buckets that still hold
+several components meet another.  What is left is compared in blocks: a task holds the signatures of at
+most two chunks of a bucket and compares only members of different components,
+with longer signatures of one byte a value; only survivors leave the task, each
+in the first band that its two members share.  A pair is skipped only when it is
+in one component already, so components are those of all links that the bands
+find.
 """
 
 from __future__ import annotations
@@ -35,6 +38,11 @@ ROWS = 4
 HASHES = 128
 BATCH = 32
 MISS = 1e-7
+#: one-byte values of the long signature, compared so many at a time
+LONG_HASHES = 2048
+LONG_BATCH = 64
+#: members of a bucket per chunk
+CHUNK = 2048
 
 
 def least_matches(hashes: int, batch: int, percent: int, miss: float) -> dict[int, int]:
@@ -49,7 +57,8 @@ def least_matches(hashes: int, batch: int, percent: int, miss: float) -> dict[in
         mass, m = 0.0, -1
         while mass < miss:
             m += 1
-            mass += math.comb(n + 1, m) * t**m * (1 - t) ** (n + 1 - m)
+            ways = math.lgamma(n + 2) - math.lgamma(m + 1) - math.lgamma(n + 2 - m)
+            mass += math.exp(ways + m * math.log(t) + (n + 1 - m) * math.log1p(-t))
         out[n] = m
     return out
 
@@ -59,7 +68,10 @@ def _multipliers(hashes: int) -> np.ndarray:
 
 
 def signature(sets: np.ndarray, multipliers: np.ndarray) -> np.ndarray:
-    """Least value under each hash, as 32-bit numbers; bounded memory for sets of any size."""
+    """Least value under each hash, as 32-bit numbers; bounded memory for sets of any size.
+
+    The low byte of such a number agrees at least as often as the number does.
+    """
     low = np.full(len(multipliers), np.iinfo(np.uint64).max, np.uint64)
     for i in range(0, len(sets), 1024):
         part = sets[i : i + 1024, None] * multipliers
@@ -87,21 +99,57 @@ def _signatures(key_type: str, width: int, hashes: int):
     return run, f"doc {key_type}, seq binary, n long, sig binary"
 
 
+def _band_keys(sigs: np.ndarray, bands: int, rows: int) -> np.ndarray:
+    key = np.zeros((len(sigs), bands), np.uint64) + np.arange(bands, dtype=np.uint64)
+    for r in range(rows):
+        key = scramble(key * np.uint64(0x9E3779B97F4A7C15) + sigs[:, r : bands * rows : rows].astype(np.uint64))
+    return key
+
+
 def _bands(bands: int, rows: int):
     def run(parts: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for nodes, sigs in batches(parts, "node", "sig"):
-            m = np.frombuffer(b"".join(sigs), "<u4").reshape(len(nodes), -1)
-            key = np.zeros((len(nodes), bands), np.uint64) + np.arange(bands, dtype=np.uint64)
-            for r in range(rows):
-                key = scramble(key * np.uint64(0x9E3779B97F4A7C15) + m[:, r : bands * rows : rows].astype(np.uint64))
+            key = _band_keys(np.frombuffer(b"".join(sigs), "<u4").reshape(len(nodes), -1), bands, rows)
             yield pa.RecordBatch.from_arrays(
-                [pa.array(key.ravel().view(np.int64)), pa.array(np.repeat(np.array(nodes, np.int64), bands))],
-                names=["bucket", "node"],
+                [
+                    pa.array(key.ravel().view(np.int64)), pa.array(np.tile(np.arange(bands, dtype=np.int32), len(nodes))),
+                    pa.array(np.repeat(np.array(nodes, np.int64), bands)),
+                ],
+                names=["bucket", "band", "node"],
             )
 
     return run
 
 
+def _compare_chunks(percent: int, need: dict[int, int]):
+    steps = sorted(need)
+
+    def run(group: pa.Table) -> pa.Table:
+        band = group["band"][0].as_py()
+        node, label, n, chunk = (group[c].to_numpy() for c in ("node", "label", "n", "chunk"))
+        keys = np.frombuffer(b"".join(group["band_keys"].to_pylist()), "<u4").reshape(len(node), -1)[:, :band]
+        long = np.frombuffer(b"".join(group["long_sig"].to_pylist()), np.uint8).reshape(len(node), -1)
+        across = chunk.min() != chunk.max()
+        out_a, out_b = [np.zeros(0, np.int64)], [np.zeros(0, np.int64)]
+        for i in range(len(node) - 1):
+            rest = np.arange(i + 1, len(node))
+            near = (label[rest] != label[i]) & (100 * np.minimum(n[rest], n[i]) >= percent * np.maximum(n[rest], n[i]))
+            rest = rest[near & (chunk[rest] != chunk[i])] if across else rest[near]
+            matches, start = np.zeros(len(rest), np.int64), 0
+            for end in steps:
+                if not len(rest):
+                    break
+                matches += (long[rest, start:end] == long[i, start:end]).sum(axis=1)
+                alive = matches >= need[end]
+                rest, matches, start = rest[alive], matches[alive], end
+            rest = rest[~(keys[rest] == keys[i]).any(axis=1)]  # told by an earlier band
+            out_a.append(np.minimum(node[rest], node[i]))
+            out_b.append(np.maximum(node[rest], node[i]))
+        return pa.table({"a": np.concatenate(out_a), "b": np.concatenate(out_b)})
+
+    return run
+
+
 def _prune(need: dict[int, int]):
     steps = sorted(need)
 
@@ -123,12 +171,21 @@ def _prune(need: dict[int, int]):
     return run
 
 
-def _sets(width: int):
+def _sets(width: int, bands: int, rows: int, hashes: int):
+    mult, short = _multipliers(LONG_HASHES), _multipliers(hashes)
+
     def run(parts: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for nodes, texts in batches(parts, "node", "text"):
-            found = [shingles(word_hashes(lower_words_of(t)), width).view(np.int64) for t in texts]
+            found = [shingles(word_hashes(lower_words_of(t)), width) for t in texts]
+            long = [signature(f, mult).astype(np.uint8).tobytes() for f in found]
+            keys = _band_keys(np.stack([signature(f, short) for f in found]), bands, rows).astype("<u4")
             yield pa.RecordBatch.from_arrays(
-                [pa.array(nodes, pa.int64()), pa.array(found, pa.list_(pa.int64()))], names=["node", "shingles"]
+                [
+                    pa.array(nodes, pa.int64()), pa.array([len(f) for f in found], pa.int64()),
+                    pa.array([f.view(np.int64) for f in found], pa.list_(pa.int64())), pa.array(long, pa.binary()),
+                    pa.array([k.tobytes() for k in keys], pa.binary()),
+                ],
+                names=["node", "n", "shingles", "long_sig", "band_keys"],
             )
 
     return run
@@ -178,7 +235,7 @@ def near_duplicates(
         "nodes",
     )
 
-    banded = nodes.select("node", "sig").mapInArrow(_bands(bands, rows), "bucket long, node long")
+    banded = nodes.select("node", "sig").mapInArrow(_bands(bands, rows), "bucket long, band int, node long")
     sizes = banded.groupBy("bucket").agg(F.count("*").alias("size"), F.min("node").alias("pivot")).where("size > 1")
     buckets = scratch.table(banded.join(sizes, "bucket"), "buckets")
 
@@ -188,58 +245,69 @@ def near_duplicates(
     firsts = same_text.where("doc <=> rep").select("node", "doc").distinct()
     once = rows_in.join(firsts, rows_in.doc.eqNullSafe(firsts.doc)).select("node", "text")
     sets = scratch.table(
-        once.mapInArrow(_sets(shingle), "node long, shingles array<long>")
-        .join(nodes.select("node", "n"), "node").where(F.size("shingles") == F.col("n")).select("node", "shingles"),
+        once.mapInArrow(
+            _sets(shingle, bands, rows, hashes), "node long, n long, shingles array<long>, long_sig binary, band_keys binary"
+        ),
         "sets",
     )
-    prune = _prune(least_matches(hashes, batch, percent, miss))
     signed = nodes.select("node", "n", "sig")
 
     def verified(pairs: DataFrame) -> DataFrame:
-        near = (
-            pairs.join(signed.select(F.col("node").alias("b"), F.col("n").alias("n_b"), F.col("sig").alias("sig_b")), "b")
-            .join(signed.select(F.col("node").alias("a"), F.col("n").alias("n_a"), F.col("sig").alias("sig_a")), "a")
-            .where(100 * F.least("n_a", "n_b") >= percent * F.greatest("n_a", "n_b"))
-            .select("a", "b", "sig_a", "sig_b")
-            .mapInArrow(prune, "a long, b long")
-        )
         both = F.size(F.array_intersect("set_a", "set_b"))
         return (
-            near.join(sets.select(F.col("node").alias("b"), F.col("shingles").alias("set_b")), "b")
+            pairs.join(sets.select(F.col("node").alias("b"), F.col("shingles").alias("set_b")), "b")
             .join(sets.select(F.col("node").alias("a"), F.col("shingles").alias("set_a")), "a")
             .where(100 * both >= percent * (F.size("set_a") + F.size("set_b") - both))
             .select(F.col("a").alias("u"), F.col("b").alias("v"))
         )
 
-    pairs = buckets.where("node <> pivot").select(F.col("pivot").alias("a"), F.col("node").alias("b")).distinct()
-    labels = scratch.table(components(verified(pairs), scratch), "labels")
-    # a fixed number in [0, 1) per node and bucket decides in which round it is a pivot
-    unit = F.pmod(F.xxhash64("bucket", "node"), F.lit(1 << 30)) / F.lit(float(1 << 30))
-    open_rows = buckets.where("node <> pivot").select("bucket", "size", "node", unit.alias("at"))
-    share = 16.0  # pivots expected in the next round
-    done = 0.0  # pivots expected so far; 0: the first pivot only
-    while True:
-        named = open_rows.where(F.col("at") * F.col("size") >= done).join(labels, "node", "left").select(
-            "bucket", "size", "node", "at", F.coalesce("label", "node").alias("label")
-        )
-        mixed = named.groupBy("bucket").agg(F.min("label").alias("lo"), F.max("label").alias("hi")).where("lo <> hi")
-        now = scratch.table(named.join(mixed.select("bucket"), "bucket"), "open")
-        if now.isEmpty():
-            break
-        heads = now.where(F.col("at") * F.col("size") < share).select(
-            "bucket", F.col("node").alias("a"), F.col("label").alias("label_a"), F.col("at").alias("at_a")
+    prune = _prune(least_matches(hashes, batch, percent, miss))
+
+    def near(pairs: DataFrame) -> DataFrame:
+        return (
+            pairs.join(signed.select(F.col("node").alias("b"), F.col("n").alias("n_b"), F.col("sig").alias("sig_b")), "b")
+            .join(signed.select(F.col("node").alias("a"), F.col("n").alias("n_a"), F.col("sig").alias("sig_a")), "a")
+            .where(100 * F.least("n_a", "n_b") >= percent * F.greatest("n_a", "n_b"))
+            .select("a", "b", "sig_a", "sig_b").mapInArrow(prune, "a long, b long")
         )
-        # of two pivots of this round the one with the smaller number leads
-        met = (
-            heads.join(now.select("bucket", F.col("node").alias("b"), "label", "at"), "bucket")
-            .where("label <> label_a and (at > at_a or (at = at_a and b > a))")
-            .select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
+
+    def mixed_rows(labels: DataFrame) -> DataFrame:
+        """Rows of buckets with more than one component, and the number of their members."""
+        named = buckets.where("node <> pivot").select("bucket", "band", "node").join(labels, "node", "left").withColumn(
+            "label", F.coalesce("label", "node")
         )
-        fresh = verified(met)
-        known = labels.where("node <> label").select(F.col("node").alias("u"), F.col("label").alias("v"))
-        newer = scratch.table(components(known.unionByName(fresh), scratch), "labels")
-        scratch.drop(labels)
-        labels, open_rows, done, share = newer, now.select("bucket", "size", "node", "at"), share, share * 4
+        several = named.groupBy("bucket").agg(F.min("label").alias("lo"), F.max("label").alias("hi"), F.count("*").alias("members"))
+        return named.join(several.where("lo <> hi").select("bucket", "members"), "bucket")
+
+    pairs = buckets.where("node <> pivot").select(F.col("pivot").alias("a"), F.col("node").alias("b")).distinct()
+    stars = scratch.table(verified(near(pairs)), "stars")
+    labels = scratch.table(components(stars, scratch), "labels")
+
+    # the first pivot may be a bad one: another, drawn by a hash
+    mixed = scratch.table(mixed_rows(labels), "mixed")
+    drawn = F.min_by(F.struct("node", "label"), F.xxhash64("bucket", "node"))
+    more = mixed.groupBy("bucket").agg(drawn.alias("p")).select("bucket", F.col("p.node").alias("a"), F.col("p.label").alias("label_a"))
+    pairs = mixed.join(more, "bucket").where("label <> label_a").select(
+        F.least("a", "node").alias("a"), F.greatest("a", "node").alias("b")
+    )
+    stars = stars.unionByName(scratch.table(verified(near(pairs.distinct())), "stars"))
+    newer = scratch.table(components(stars, scratch), "labels")
+    scratch.drop(labels, mixed)
+    labels = newer
+
+    mixed = mixed_rows(labels)
+    chunks = F.ceil(F.col("members") / CHUNK).cast("int")
+    mixed = mixed.withColumn("chunks", chunks).withColumn("chunk", F.pmod(F.hash("node"), F.col("chunks")))
+    mixed = mixed.join(sets.select("node", "n", "long_sig", "band_keys"), "node").withColumn(
+        "other", F.explode(F.sequence(F.lit(0), F.col("chunks") - 1))
+    )
+    mixed = mixed.withColumns({"i": F.least("chunk", "other"), "j": F.greatest("chunk", "other")})
+    compare = _compare_chunks(percent, least_matches(LONG_HASHES, LONG_BATCH, percent, miss))
+    met = mixed.groupBy("bucket", "i", "j").applyInArrow(compare, "a long, b long")
+    fresh = scratch.table(verified(met), "fresh")
+    if not fresh.isEmpty():
+        stars = stars.unionByName(fresh)
+        labels = scratch.table(components(stars, scratch), "labels")
 
     grouped = nodes.select("node", "seq", "rep").join(labels, "node", "left").withColumn("label", F.coalesce("label", "node"))
     least = grouped.groupBy("label").agg(F.min("rep").alias("component_id"))
