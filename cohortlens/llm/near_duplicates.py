@@ -175,8 +175,14 @@ def _sets(width: int, bands: int, rows: int, hashes: int):
     mult, short = _multipliers(LONG_HASHES), _multipliers(hashes)
 
     def run(parts: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for nodes, texts in batches(parts, "node", "text"):
-            found = [shingles(word_hashes(lower_words_of(t)), width) for t in texts]
+        for nodes, seqs, texts in batches(parts, "node", "seq", "text"):
+            words = [lower_words_of(t) for t in texts]
+            # keys may repeat: another text of the same key is not this node
+            own = [k for k, w in enumerate(words) if xxhash.xxh3_128_digest(b" ".join(w)) == seqs[k]]
+            if not own:
+                continue
+            nodes = [nodes[k] for k in own]
+            found = [shingles(word_hashes(words[k]), width) for k in own]
             long = [signature(f, mult).astype(np.uint8).tobytes() for f in found]
             keys = _band_keys(np.stack([signature(f, short) for f in found]), bands, rows).astype("<u4")
             yield pa.RecordBatch.from_arrays(
@@ -242,8 +248,8 @@ def near_duplicates(
     # texts of the nodes of buckets: a node's text is that of its first row
     wanted = buckets.select("node").distinct().join(nodes.select("node", "rep", "seq"), "node")
     same_text = described.where("n > 0").select("doc", "seq").join(wanted.select("node", "seq", "rep"), "seq")
-    firsts = same_text.where("doc <=> rep").select("node", "doc").distinct()
-    once = rows_in.join(firsts, rows_in.doc.eqNullSafe(firsts.doc)).select("node", "text")
+    firsts = same_text.where("doc <=> rep").select("node", "seq", "doc").distinct()
+    once = rows_in.join(firsts, rows_in.doc.eqNullSafe(firsts.doc)).select("node", "seq", "text")
     sets = scratch.table(
         once.mapInArrow(
             _sets(shingle, bands, rows, hashes), "node long, n long, shingles array<long>, long_sig binary, band_keys binary"

@@ -82,6 +82,14 @@ def test_near_duplicates(spark, odd, empty):
     assert near_duplicates.near_duplicates(empty).count() == 0
 
 
+def test_near_duplicates_with_repeated_keys(spark):
+    rng = random.Random(5)
+    a, b = sentence(rng, 100), sentence(rng, 140)
+    rows = [(1, a), (1, b), (2, a + " end"), (3, b + " end"), (3, b + " end")]
+    got = near_duplicates.near_duplicates(spark.createDataFrame(rows, "doc_id long, text string"), shingle=3, percent=85).collect()
+    assert sorted(((r.doc_id, r.n_shingles, r.component_id) for r in got), key=str) == brute_near(rows, 3, 85)
+
+
 def test_near_duplicates_of_a_drifting_group(spark):
     rng = random.Random(2)
     base = sentence(rng, 120, 5000).split()
