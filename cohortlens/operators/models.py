@@ -5,7 +5,9 @@ from __future__ import annotations
 import json
 from collections.abc import Callable, Mapping, Sequence
 from dataclasses import dataclass, field
+from multiprocessing.pool import ThreadPool
 
+from pyspark import inheritable_thread_target
 from pyspark.ml import Model
 from pyspark.ml.classification import (
     GBTClassificationModel,
@@ -18,7 +20,7 @@ from pyspark.ml.regression import IsotonicRegression, IsotonicRegressionModel
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..functions.storage import staged
+from ..functions.storage import shared_dir, staged
 from .evaluation import ranking_metrics
 from .features import FeaturePlan, SEED, class_weights, prepare_features, stratified_folds
 
@@ -30,8 +32,12 @@ TREE_DEPTH = 4
 TREE_RATE = 0.05
 ROW_SAMPLE = 0.8
 COLUMN_SAMPLE = 0.8
+#: rounds between checkpoints, which cut the lineage of the boosted residuals
+TREE_CHECKPOINT = 20
 CALIBRATION_FOLDS = 3
 CV_FOLDS = 5
+#: rows per task of a boosting round, whose jobs are short
+BOOST_ROWS = 20_000
 # --------------------------------------------------------------------------------------
 
 LOGISTIC, BOOSTED, ENSEMBLE = "logistic_regression", "gbt", "ensemble"
@@ -50,9 +56,17 @@ def fit_logistic(train: DataFrame, c: float = LOGISTIC_C, iterations: int = LOGI
 
 
 def fit_boosted(train: DataFrame, trees: int = TREES, seed: int = SEED) -> GBTClassificationModel:
-    """Boosted trees with the rarer class weighted up on ``features, label``."""
+    """Boosted trees with the rarer class weighted up on ``features, label``.
+
+    Rounds read a narrow staged table in tasks of about ``BOOST_ROWS`` rows.
+    """
     w = class_weights(train, "label").first()
-    weighted = train.withColumn("_w", F.when(F.col("label") == 1, F.lit(w["tree_weight_pos"])).otherwise(F.lit(1.0)))
+    weight = F.when(F.col("label") == 1, F.lit(w["tree_weight_pos"])).otherwise(F.lit(1.0))
+    tasks = -(-(w["n_pos"] + w["n_neg"]) // BOOST_ROWS) or 1
+    weighted = staged(train.select("features", "label", weight.alias("_w")), "boosted").coalesce(tasks)
+    context = train.sparkSession.sparkContext
+    if context.getCheckpointDir() is None:
+        context.setCheckpointDir(shared_dir(train.sparkSession))
     return GBTClassifier(
         maxIter=trees,
         maxDepth=TREE_DEPTH,
@@ -60,6 +74,7 @@ def fit_boosted(train: DataFrame, trees: int = TREES, seed: int = SEED) -> GBTCl
         subsamplingRate=ROW_SAMPLE,
         featureSubsetStrategy=str(COLUMN_SAMPLE),
         weightCol="_w",
+        checkpointInterval=TREE_CHECKPOINT,
         seed=seed,
     ).fit(weighted)
 
@@ -92,18 +107,21 @@ def calibrate_isotonic(train: DataFrame, fit: Fit, folds: int = CALIBRATION_FOLD
     """Fit on all folds but one and calibrate on the one, for each fold.
 
     ``train``: ``patient_id, features, label``.  Held-out rows are averaged per
-    distinct score before the isotonic fit, which gives the same map.
+    distinct score before the isotonic fit, which gives the same map.  Folds are
+    fitted side by side, since their jobs are many and short.
     """
-    dealt = stratified_folds(train, "label", folds, seed=seed)
-    pairs = []
-    for k in range(folds):
+    dealt = staged(stratified_folds(train, "label", folds, seed=seed), "folds")
+
+    def pair(k: int) -> tuple[Model, IsotonicRegressionModel]:
         model = fit(dealt.where(F.col("fold") != k).drop("fold"))
         held = _raw_score(model, dealt.where(F.col("fold") == k), "_raw")
         points = held.groupBy("_raw").agg(F.avg("label").alias("label"), F.count(F.lit(1)).cast("double").alias("_w"))
         isotonic = IsotonicRegression(featuresCol="_raw", labelCol="label", weightCol="_w").fit(points)
         isotonic.setFeaturesCol("_raw")
-        pairs.append((model, isotonic))
-    return CalibratedModel(pairs)
+        return model, isotonic
+
+    with ThreadPool(folds) as pool:
+        return CalibratedModel(pool.map(inheritable_thread_target(train.sparkSession)(pair), range(folds)))
 
 
 @dataclass

@@ -37,7 +37,6 @@ DOC_TERMS = {
 DOC_CUES = ["with", "for the", "que", "das", "no"]
 CHAT_CUES = ["that", "que le", "nicht"]
 EXTRA_VOCABULARY = {"labs": ["labs reviewed", "hémoglobine"], "fever": ["temp"]}
-TREES_HERE = 5  # boosted rounds in these queries; the library default is larger
 
 
 def _docs(spark: SparkSession, sf: str) -> DataFrame:
@@ -384,10 +383,6 @@ def split_flags(spark: SparkSession, sf: str) -> DataFrame:
 # ---- models ---------------------------------------------------------------------------
 
 
-def _boosted(train: DataFrame):
-    return md.fit_boosted(train, trees=TREES_HERE)
-
-
 def _labelled(spark: SparkSession, sf: str) -> tuple[DataFrame, DataFrame]:
     split = staged(ft.stratified_split(d.patients(spark, sf), "adverse_event"), "split")
     return split, staged(_flags(spark, sf), "flags")
@@ -415,7 +410,7 @@ def fit_logistic(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def fit_boosted(spark: SparkSession, sf: str) -> DataFrame:
-    return _test_scores(spark, sf, {md.BOOSTED: _boosted}, md.BOOSTED)
+    return _test_scores(spark, sf, {md.BOOSTED: md.fit_boosted}, md.BOOSTED)
 
 
 def calibrate_isotonic(spark: SparkSession, sf: str) -> DataFrame:
@@ -423,7 +418,7 @@ def calibrate_isotonic(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def predict_ensemble(spark: SparkSession, sf: str) -> DataFrame:
-    return _test_scores(spark, sf, {md.LOGISTIC: md.fit_logistic, md.BOOSTED: _boosted}, md.ENSEMBLE)
+    return _test_scores(spark, sf, {md.LOGISTIC: md.fit_logistic, md.BOOSTED: md.fit_boosted}, md.ENSEMBLE)
 
 
 def stratified_cv(spark: SparkSession, sf: str) -> DataFrame:
@@ -712,7 +707,7 @@ def stream_risk_patients(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def train_report_patients(spark: SparkSession, sf: str) -> DataFrame:
-    return train_report(d.patients(spark, sf), fits={md.LOGISTIC: md.fit_logistic, md.BOOSTED: _boosted})
+    return train_report(d.patients(spark, sf))
 
 
 _NAMED = (

@@ -85,3 +85,17 @@ def test_save_and_load(spark, rows, trained, tmp_path):
 def test_model_scores_name_their_source(rows, trained):
     got = sc.score_patients(rows[1], models=trained, model=md.LOGISTIC).select("model_used").distinct().collect()
     assert [r[0] for r in got] == [md.LOGISTIC]
+
+
+def test_registered_queries_boost_all_rounds(spark, monkeypatch):
+    from cohortlens.plans import queries
+
+    asked, whole = [], md.GBTClassifier
+    monkeypatch.setattr(md, "GBTClassifier", lambda **p: asked.append(p["maxIter"]) or whole(**(p | {"maxIter": 1})))
+    tests = ft.stratified_split(d.patients(spark, SF), "adverse_event").where("split = 'test'").count()
+    for name in ("fit_boosted", "predict_ensemble"):
+        assert queries.QUERIES[name](spark, SF).count() == tests
+    assert asked == [md.TREES] * 2 * md.CALIBRATION_FOLDS and md.TREES == 300
+    monkeypatch.setattr(queries, "train_report", lambda patients, fits=None, **_: fits)
+    fits = queries.QUERIES["train_report_patients"](spark, SF)
+    assert fits is None or fits[md.BOOSTED] is md.fit_boosted
