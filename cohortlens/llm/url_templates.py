@@ -1,11 +1,11 @@
 """URL filter: fixed rules first, then a tree of path templates per host.
 
 Method.  The segments of a path lead down a tree below its host; digits of a
-segment count as one shape from the start.  Level by level, a segment becomes a
-wildcard when it has digits, when it is one of many rare ones, or when its
-labelled share of bad pages does not differ significantly from that of its
-siblings together; a branch that differs stays as it is.  What is merged goes
-down as one branch.  The template at the end of a path is rejected when its bad
+segment count as one shape from the start.  Level by level, a segment whose
+labelled share of bad pages differs significantly from that of its siblings
+together stays as it is, digits or not and however rare; any other becomes a
+wildcard, but for an only child without digits.  What is merged goes down as one
+branch.  The template at the end of a path is rejected when its bad
 share, smoothed towards that of all labelled pages, reaches a threshold.
 
 Only DataFrame functions are used.  Pages are counted by host and shape before
@@ -23,8 +23,6 @@ from cohortlens.functions.storage import Scratch
 
 #: deeper segments are one branch
 DEPTH = 8
-#: more children than this, each with a smaller share than this: variable
-MANY, RARE = 50, 0.01
 #: standard errors by which a branch must differ from its siblings
 DIFFERENT = 3.0
 #: labelled pages a branch must have to stand for itself
@@ -65,16 +63,16 @@ def shape_of(path: str) -> Column:
 
 
 def templates(shapes: DataFrame, scratch: Scratch) -> DataFrame:
-    """``host, shape, template`` for the shapes ``host, shape, n, labelled, bad`` of all pages."""
+    """``host, shape, template`` for the shapes ``host, shape, labelled, bad`` of all pages."""
     now = shapes.withColumn("template", F.array().cast("array<string>"))
     depth = shapes.agg(F.max(F.size("shape"))).first()[0] or 0
     for level in range(depth):
         now = now.withColumn("segment", F.get("shape", F.lit(level)))
         child = now.where("segment is not null").groupBy("host", "template", "segment").agg(
-            F.sum("n").alias("n"), F.sum("labelled").alias("l"), F.sum("bad").alias("b")
+            F.sum("labelled").alias("l"), F.sum("bad").alias("b")
         )
         parent = child.groupBy("host", "template").agg(
-            F.count("*").alias("children"), F.sum("n").alias("of"), F.sum("l").alias("all_l"), F.sum("b").alias("all_b")
+            F.count("*").alias("children"), F.sum("l").alias("all_l"), F.sum("b").alias("all_b")
         )
         both = child.join(parent, ["host", "template"])
         share = lambda a, b: F.try_divide(a.cast("double"), b)  # noqa: E731  null where nothing is labelled
@@ -83,15 +81,13 @@ def templates(shapes: DataFrame, scratch: Scratch) -> DataFrame:
         gap = F.abs(share(F.col("b"), F.col("l")) - share(F.col("all_b") - F.col("b"), rest_l))
         # of an only child there is nothing to tell apart
         differs = (F.col("l") >= LABELLED) & (rest_l >= LABELLED) & (gap > DIFFERENT * error)
-        rare = (F.col("children") > MANY) & (F.col("n") < RARE * F.col("of"))
-        stays = differs & ~rare & ~F.col("segment").contains("#")
+        only = (F.col("children") == 1) & ~F.col("segment").contains("#")
         named = both.select(
             "host", "template", "segment",
-            F.when(F.coalesce(stays, F.lit(False)) | (F.col("children") == 1) & ~F.col("segment").contains("#"), F.col("segment"))
-            .otherwise("*").alias("as"),
+            F.when(F.coalesce(differs, F.lit(False)) | only, F.col("segment")).otherwise("*").alias("as"),
         )
         now = now.join(named, ["host", "template", "segment"], "left").select(
-            "host", "shape", "n", "labelled", "bad",
+            "host", "shape", "labelled", "bad",
             F.when(F.col("as").isNull(), F.col("template")).otherwise(F.concat("template", F.array("as"))).alias("template"),
         )
         now = scratch.table(now, "level")
@@ -126,7 +122,7 @@ def filter_urls(
         F.max(F.col("bad").cast("int")).alias("bad")
     )
     counted = rows.join(marked, F.col("key") == F.col("label_key"), "left").groupBy("host", "shape").agg(
-        F.count("*").alias("n"), F.count("bad").alias("labelled"), F.coalesce(F.sum("bad"), F.lit(0)).alias("bad")
+        F.count("bad").alias("labelled"), F.coalesce(F.sum("bad"), F.lit(0)).alias("bad")
     )
     counted = scratch.table(counted, "shapes")
     all_bad, all_labelled = counted.agg(F.sum("bad"), F.sum("labelled")).first()

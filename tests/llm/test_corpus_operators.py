@@ -315,6 +315,18 @@ def test_bad_templates_are_blocked(spark):
     assert len({got[i][0] for i in got if i >= 1000}) == 1
 
 
+def test_branches_that_differ_stay_though_rare_or_numbered(spark):
+    rows = [(i, f"http://big.org/dir-{'abcdefghij'[i % 10]}{'klmnopqrst'[i // 10 % 10]}/x", i % 2 == 0 and i % 7 == 0) for i in range(6000)]
+    rows += [(10_000 + i, "http://big.org/rare/x", True) for i in range(40)]
+    rows += [(20_000 + i, f"http://num.org/{('spam', 'doc', 'page')[i % 3]}-{i}", i % 3 == 0) for i in range(300)]
+    labels = spark.createDataFrame([(i, bad) for i, _, bad in rows], "page_id long, bad boolean")
+    df = spark.createDataFrame([r[:2] for r in rows], "page_id long, url string")
+    got = {r.page_id: (r.template, r.verdict) for r in url_templates.filter_urls(df, labels, ()).collect()}
+    assert {got[i] for i in got if 10_000 <= i < 20_000} == {("/rare/x", "block")}
+    assert {got[i] for i in got if i >= 20_000 and i % 3 == 2} == {("/spam-#", "block")}  # 20000 % 3 == 2
+    assert {got[i][1] for i in got if i < 10_000 or i >= 20_000 and i % 3 != 2} == {"allow"}
+
+
 def test_revisits(spark):
     def record(i, url, at, kind, etag=None, modified=None, headers=None):
         return (i, url, at, kind, etag, modified, None, 7 if kind == "response" else None, headers)
