@@ -6,8 +6,10 @@ from cohortlens.llm.licenses import PERCENT, SHINGLE, TEMPLATES
 from cohortlens.llm.quality import BINS, CONSISTENCY, CUTOFF, DIMENSIONS, FLOORS, MIN_CELL, SHARE, STEPS
 from cohortlens.llm.queries import MIX, URL_RULES
 from cohortlens.llm.revisits import TRACKING
-from cohortlens.llm.url_templates import DEPTH, DIFFERENT, LABELLED, PRIOR, REJECT
+from cohortlens.llm.url_templates import DIFFERENT, LABELLED, PRIOR, REJECT
 
+#: levels that the twin of op10 unrolls; the given tables have two
+DEPTH = 8
 #: the twin of op10 folds rare children, which the operator does no more
 MANY, RARE = 50, 0.01
 

@@ -21,8 +21,6 @@ from pyspark.sql import functions as F
 
 from cohortlens.functions.storage import Scratch
 
-#: deeper segments are one branch
-DEPTH = 8
 #: standard errors by which a branch must differ from its siblings
 DIFFERENT = 3.0
 #: labelled pages a branch must have to stand for itself
@@ -55,21 +53,18 @@ def rule_of(rules: Sequence[tuple[str, str, str]]) -> tuple[Column, Column]:
 
 
 def shape_of(path: str) -> Column:
-    """Segments of a path with each run of digits as ``#``; what is deeper than ``DEPTH`` is one ``**``."""
-    segments = F.filter(F.split(F.regexp_replace(F.col(path), r"[0-9]+", "#"), "/"), lambda s: s != "")
-    return F.when(F.size(segments) <= DEPTH, segments).otherwise(
-        F.concat(F.slice(segments, 1, DEPTH), F.array(F.lit("**")))
-    )
+    """Segments of a path with each run of digits as ``#``, at any depth."""
+    return F.filter(F.split(F.regexp_replace(F.col(path), r"[0-9]+", "#"), "/"), lambda s: s != "")
 
 
 def templates(shapes: DataFrame, scratch: Scratch) -> DataFrame:
     """``host, shape, template`` for the shapes ``host, shape, labelled, bad`` of all pages."""
-    now = shapes.withColumn("template", F.array().cast("array<string>"))
-    depth = shapes.agg(F.max(F.size("shape"))).first()[0] or 0
-    for level in range(depth):
-        now = now.withColumn("segment", F.get("shape", F.lit(level)))
+    now = shapes.withColumns({"template": F.array().cast("array<string>"), "ends": F.size("shape")})
+    level = 0
+    while (now.agg(F.max("ends")).first()[0] or 0) > level:
+        now = now.withColumn("segment", F.when(F.col("ends") > level, F.get("shape", F.lit(level))))
         child = now.where("segment is not null").groupBy("host", "template", "segment").agg(
-            F.sum("labelled").alias("l"), F.sum("bad").alias("b")
+            F.count("*").alias("shapes"), F.sum("labelled").alias("l"), F.sum("bad").alias("b")
         )
         parent = child.groupBy("host", "template").agg(
             F.count("*").alias("children"), F.sum("l").alias("all_l"), F.sum("b").alias("all_b")
@@ -82,15 +77,20 @@ def templates(shapes: DataFrame, scratch: Scratch) -> DataFrame:
         # of an only child there is nothing to tell apart
         differs = (F.col("l") >= LABELLED) & (rest_l >= LABELLED) & (gap > DIFFERENT * error)
         only = (F.col("children") == 1) & ~F.col("segment").contains("#")
+        stays = F.coalesce(differs, F.lit(False)) | only
+        # a shape alone in its branch meets only children from here on
+        alone = (F.col("shapes") == 1) & (stays | (F.col("children") == 1))
         named = both.select(
-            "host", "template", "segment",
-            F.when(F.coalesce(differs, F.lit(False)) | only, F.col("segment")).otherwise("*").alias("as"),
+            "host", "template", "segment", F.when(stays, F.col("segment")).otherwise("*").alias("as"), alone.alias("alone")
         )
+        tail = F.transform(F.slice("shape", level + 2, F.greatest(F.size("shape"), F.lit(1))), lambda s: F.when(s.contains("#"), "*").otherwise(s))
         now = now.join(named, ["host", "template", "segment"], "left").select(
-            "host", "shape", "labelled", "bad",
-            F.when(F.col("as").isNull(), F.col("template")).otherwise(F.concat("template", F.array("as"))).alias("template"),
+            "host", "shape", "labelled", "bad", F.when(F.col("alone"), 0).otherwise(F.col("ends")).alias("ends"),
+            F.when(F.col("as").isNull(), F.col("template")).when(F.col("alone"), F.concat("template", F.array("as"), tail))
+            .otherwise(F.concat("template", F.array("as"))).alias("template"),
         )
         now = scratch.table(now, "level")
+        level += 1
     return now
 
 

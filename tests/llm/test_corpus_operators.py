@@ -327,6 +327,18 @@ def test_branches_that_differ_stay_though_rare_or_numbered(spark):
     assert {got[i][1] for i in got if i < 10_000 or i >= 20_000 and i % 3 != 2} == {"allow"}
 
 
+def test_branches_at_any_depth_are_told_apart(spark):
+    deep = "/".join("abcdefghij")
+    rows = [(i, f"http://deep.org/{deep}/{('good', 'bad')[i % 2]}/p{i}/end", i % 2 == 1) for i in range(200)]
+    rows += [(1000, "http://one.org/" + "x/y7/" * 300, False), (1001, "http://one.org/", False), (1002, "http://deep.org/a/b", False)]
+    labels = spark.createDataFrame([(i, bad) for i, _, bad in rows], "page_id long, bad boolean")
+    df = spark.createDataFrame([r[:2] for r in rows], "page_id long, url string")
+    got = {r.page_id: (r.template, r.verdict) for r in url_templates.filter_urls(df, labels, ()).collect()}
+    assert {got[i] for i in range(1, 200, 2)} == {(f"/{deep}/bad/*/end", "block")}
+    assert {got[i] for i in range(0, 200, 2)} == {(f"/{deep}/good/*/end", "allow")}
+    assert got[1000] == ("/" + "/".join(["x/*"] * 300), "allow") and got[1001][0] == "/" and got[1002][0] == "/a/b"
+
+
 def test_revisits(spark):
     def record(i, url, at, kind, etag=None, modified=None, headers=None):
         return (i, url, at, kind, etag, modified, None, 7 if kind == "response" else None, headers)
