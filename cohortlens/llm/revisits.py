@@ -48,22 +48,22 @@ def merged_headers(old: str, new: str) -> Column:
 
 
 def latest_before(events: DataFrame, scratch: Scratch) -> DataFrame:
-    """``id, response_id`` of the events ``url, at, id, full`` that are not full: the latest full one before."""
-    order = ["url", "at", "full", "id"]
+    """``row, response_row`` of the events ``url, at, id, row, full`` that are not full: the latest full one before."""
+    order = ["url", "at", "full", "id", "row"]
     # at one time a revisit looks at what was there before: it sorts ahead of responses
     ranged = events.repartitionByRange(*order).sortWithinPartitions(*order)
     ranged = scratch.table(ranged.withColumn("place", F.monotonically_increasing_id()), "ranged")
     ranged = ranged.withColumn("part", F.shiftright("place", 33))
     here = Window.partitionBy("part", "url").orderBy("place").rowsBetween(Window.unboundedPreceding, -1)
-    inside = F.last(F.when(F.col("full"), F.col("id")), ignorenulls=True).over(here)
+    inside = F.last(F.when(F.col("full"), F.col("row")), ignorenulls=True).over(here)
     looked = ranged.withColumn("inside", inside)
-    ends = ranged.groupBy("url", "part").agg(F.max_by("id", F.when(F.col("full"), F.col("place"))).alias("end"))
+    ends = ranged.groupBy("url", "part").agg(F.max_by("row", F.when(F.col("full"), F.col("place"))).alias("end"))
     # as many rows per URL as ranges it spans
     before = Window.partitionBy("url").orderBy("part").rowsBetween(Window.unboundedPreceding, -1)
     carried = ends.select(F.col("url").alias("_url"), F.col("part").alias("_part"), F.last("end", ignorenulls=True).over(before).alias("carried"))
     carried = carried.where("carried is not null")
     asked = looked.where("not full").join(carried, (F.col("url") == F.col("_url")) & (F.col("part") == F.col("_part")), "left")
-    return asked.select("id", F.coalesce("inside", "carried").alias("response_id"))
+    return asked.select("row", F.coalesce("inside", "carried").alias("response_row"))
 
 
 def resolve_revisits(records: DataFrame) -> DataFrame:
@@ -71,7 +71,13 @@ def resolve_revisits(records: DataFrame) -> DataFrame:
 
     ``records``: ``record_id, url, at, kind ('response' or 'revisit'), etag,
     last_modified, digest, length, headers map<string,string>`` with header
-    names in lower case.  Record ids are unique.
+    names in lower case.
+
+    Record ids are only carried along and may repeat or be null: each row is a
+    record, so a revisit given k times has k rows, each with one response, and
+    ``response_id`` is null where the response found has no id (``outcome`` then
+    still tells that there is one).  Of responses to one URL at one time the one
+    of the greatest id serves, a null id being the least; of equal ids any one.
 
     ``outcome`` is ``resolved`` when a validator that both sides have agrees
     (entity tags first, then modification dates, then payload digests);
@@ -88,21 +94,22 @@ def resolve_revisits(records: DataFrame) -> DataFrame:
         "record_id", canonical_url("url").alias("url"), "at", (F.col("kind") == "response").alias("full"), "etag",
         "last_modified", "digest", "length", "headers",
     )
-    events = named.select("url", "at", "full", F.col("record_id").alias("id")).where("url is not null and at is not null")
-    found = latest_before(events, scratch).withColumnRenamed("id", "asked_id")
+    named = scratch.table(named.withColumn("row", F.monotonically_increasing_id()), "records")
+    events = named.select("url", "at", "full", F.col("record_id").alias("id"), "row").where("url is not null and at is not null")
+    found = latest_before(events, scratch).withColumnRenamed("row", "asked_row")
     asked = named.where("not full").drop("length", "full", "at")
     base = named.where("full").select(
-        F.col("record_id").alias("base_id"), F.col("etag").alias("base_etag"), F.col("last_modified").alias("base_modified"),
+        F.col("row").alias("base_row"), F.col("record_id").alias("response_id"), F.col("etag").alias("base_etag"), F.col("last_modified").alias("base_modified"),
         F.col("digest").alias("base_digest"), F.col("length").alias("base_length"), F.col("headers").alias("base_headers"),
     )
-    joined = asked.join(found, F.col("record_id") == F.col("asked_id"), "left").join(
-        base, F.col("response_id") == F.col("base_id"), "left"
+    joined = asked.join(found, F.col("row") == F.col("asked_row"), "left").join(
+        base, F.col("response_row") == F.col("base_row"), "left"
     )
     agrees = F.coalesce(
         F.col("etag") == F.col("base_etag"), F.col("last_modified") == F.col("base_modified"), F.col("digest") == F.col("base_digest")
     )
     outcome = (
-        F.when(F.col("base_id").isNull(), "no response").when(agrees.isNull(), "unverified").when(agrees, "resolved").otherwise("mismatch")
+        F.when(F.col("base_row").isNull(), "no response").when(agrees.isNull(), "unverified").when(agrees, "resolved").otherwise("mismatch")
     )
     good = F.col("outcome") == "resolved"
     return joined.withColumn("outcome", outcome).select(
