@@ -33,8 +33,8 @@ SHARE = 0.75
 STEPS = 5
 #: cells with fewer documents are put together, first by language, then all
 MIN_CELL = 100
-#: least standard deviations, in thousandths: log word length, log symbol rate, shares of repeated lines and words
-FLOORS = (45, 150, 120, 110)
+#: least standard deviations, in thousandths: the unit that the statistics are rounded to, which keeps scatter invertible
+FLOORS = (1, 1, 1, 1)
 #: chance of a regular document to be rejected, were statistics normal
 ALPHA = 1e-5
 DIMENSIONS = 4
