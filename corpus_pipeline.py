@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -14,21 +16,26 @@ from cohortlens.llm.quality import quality_rules
 from cohortlens.llm.queries import MIX
 from cohortlens.llm.substrings import drop_repeats
 
+#: key of a row within a stage
+ROW = "_row"
+
 
-def _only(docs: DataFrame, kept: DataFrame) -> DataFrame:
-    """Rows whose key is in ``kept``; a null key is a key."""
-    keys = kept.select(F.col("doc_id").alias("kept_id")).distinct()
-    return docs.join(keys, docs["doc_id"].eqNullSafe(keys["kept_id"]), "left_semi")
+def _kept(docs: DataFrame, verdicts: Callable[[DataFrame], DataFrame]) -> DataFrame:
+    """Rows that ``verdicts`` keeps by their key ``_row``, which is unique and in the order of keys, null ones last."""
+    rows = staged(docs.withColumn("_at", F.monotonically_increasing_id()), "rows")
+    own = F.struct(F.col("doc_id").isNull().alias("null_id"), "doc_id", "_at")
+    kept = verdicts(rows.withColumn(ROW, own)).where("kept").select(f"{ROW}._at")
+    return rows.join(kept, "_at", "left_semi").select(*docs.columns)
 
 
 def reject_outliers(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents that the quality rules reject go."""
-    return _only(docs, quality_rules(docs).where("kept"))
+    """Documents that the quality rules reject go, each row by its own verdict."""
+    return _kept(docs, lambda rows: quality_rules(rows, key=ROW))
 
 
 def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each group of near-duplicates stays."""
-    return _only(docs, near_duplicates(docs, shingle=5, percent=80).where("kept"))
+    """One row of each group of near-duplicates stays, that of the least key."""
+    return _kept(docs, lambda rows: near_duplicates(rows, key=ROW, shingle=5, percent=80))
 
 
 def drop_repeated_passages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
