@@ -19,7 +19,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from cohortlens.functions.storage import Scratch
-from cohortlens.llm.tokens import WordIds
+from cohortlens.llm.tokens import word_ids
 
 WINDOW = 2048
 OPEN = 64
@@ -119,7 +119,7 @@ def _first_pass(path: str, end_id: int, window: int, most: int, min_cut: int, wi
     def run(parts: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         home = TaskContext.get().partitionId()
         packer = _Packer(window, most, min_cut, home << 24)
-        words = WordIds(path)
+        words = word_ids(path)
         for b in parts:
             for i in range(0, b.num_rows, 256):
                 some = b.slice(i, 256)

@@ -1,38 +1,98 @@
 """Token ids of texts, word by word.
 
 The tokenizers used here drop white space and never look across it, so a text's
-ids are those of its words one after another.  Most words of a corpus are met
-again and again; their ids are kept as bytes, and a text costs a dictionary
-lookup per word.
+ids are those of its words one after another.  The words of some texts are made
+a dictionary, each distinct word is looked up or encoded once, and the ids of
+the texts are gathered from it as arrays.
 """
 
 from __future__ import annotations
 
 import os
+import re
+from collections.abc import Sequence
 
 import numpy as np
-
-from cohortlens.llm.words import words_of
+import pyarrow as pa
+import pyarrow.compute as pc
 
 os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")
 
 #: words kept per generation and worker; two generations are held (about 150 MB)
 REMEMBERED = 350_000
-#: bytes of texts whose unknown words are encoded together
-TOGETHER = 1 << 20
+#: bytes of texts whose words are looked up together
+TOGETHER = 1 << 22
+
+_LOWER = np.arange(256, dtype=np.uint8)
+_LOWER[65:91] += 32
+_BLANK, _PLAIN, _MARK = 1, 2, 4
+_KIND = np.zeros(256, np.uint8)
+_KIND[list(b" \t\n\x0b\x0c\r")] = _BLANK
+_KIND[list(b"abcdefghijklmnopqrstuvwxyz0123456789")] = _PLAIN
+_KIND[list(b"!#$%&()*+,-./:;=?@[]^_{|}~\"'")] = _MARK
+#: a capital with a combining mark: some such pairs make one character in lower case only
+_MARKED_CAPITAL = re.compile(rb"[A-Z][\xcc\xcd]")
+
+
+def _plain_words(texts: list[bytes]) -> pa.Array:
+    """Texts in lower case (A-Z only), with a blank before the ASCII marks that end a word.
+
+    A blank is put in only where an ASCII letter or digit stands before the
+    marks and a blank or the end after them.  Texts that may hold a special
+    token or a capital with a combining mark stay as they are.
+    """
+    sizes = np.fromiter(map(len, texts), np.int64, len(texts))
+    offsets = np.concatenate([[0], np.cumsum(sizes + 1)])  # each text ends with a line feed here
+    data = np.frombuffer(b"\n".join([*texts, b""]), np.uint8)
+    low = _LOWER[data]
+    kind = _KIND[low]
+    for k, t in enumerate(texts):
+        if b"<|" in t or _MARKED_CAPITAL.search(t):
+            low[offsets[k] : offsets[k + 1]] = data[offsets[k] : offsets[k + 1]]
+            kind[offsets[k] : offsets[k + 1]] = 0
+    mark = kind == _MARK
+    turns = np.flatnonzero(mark[1:] != mark[:-1]) + 1  # a run of marks begins, ends, begins ...
+    turns = turns[1:] if len(mark) and mark[0] else turns
+    begins, ends = turns[0::2], turns[1::2]
+    cuts = begins[(kind[begins - 1] == _PLAIN) & (kind[ends] == _BLANK)]
+    offsets += np.searchsorted(cuts, offsets)
+    return pa.LargeStringArray.from_buffers(len(texts), pa.py_buffer(offsets), pa.py_buffer(np.insert(low, cuts, 32)))
+
+
+def gathered(parts: Sequence[bytes], index: np.ndarray, offsets: np.ndarray, width: int) -> tuple[bytes, np.ndarray]:
+    """``parts[index]`` joined, and where the groups that begin at ``offsets`` of ``index`` begin in it.
+
+    Parts hold items of ``width`` bytes; places are in items.
+    """
+    sizes = np.fromiter(map(len, parts), np.int64, len(parts)) // width
+    flat = np.frombuffer(b"".join(parts), f"V{width}" if width not in (1, 4) else {1: np.uint8, 4: "<u4"}[width])
+    own = sizes[index]
+    ends = np.concatenate([[0], np.cumsum(own)])
+    shift = (np.cumsum(sizes) - sizes)[index] - ends[:-1]
+    return flat[np.repeat(shift, own) + np.arange(ends[-1])].tobytes(), ends[offsets]
 
 
-#: punctuation that may be cut off the end of a word: the tokenizers split there anyway
-_PUNCTUATION = b"!#$%&()*+,-./:;=?@[]^_{|}~\"'"
+_of_worker: dict[tuple[str, int], WordIds] = {}
+
+
+def word_ids(path: str, remembered: int | None = None) -> WordIds:
+    """The encoder of this worker process for a tokenizer file; words it has met stay known over tasks."""
+    which = (path, remembered or REMEMBERED)
+    if which not in _of_worker:
+        _of_worker[which] = WordIds(*which)
+    return _of_worker[which]
 
 
 class WordIds:
     """Ids as little-endian unsigned 32-bit numbers, for a tokenizer that treats words alone.
 
-    It must lower-case, split runs of letters from punctuation, and mark the
-    last token of a run with ``</w>``.  Unknown words are looked up again in
-    lower case and without final punctuation; runs of letters still unknown are
-    encoded in one go and told apart by their last tokens.
+    It must lower-case, split runs of letters or digits from punctuation, and
+    mark the last token of a run with ``</w>``.  Texts are lower-cased first
+    (A-Z only) and ASCII marks at the end of a word are cut off where an ASCII
+    letter or digit stands before them, so fewer words are distinct; texts that
+    may hold a special token or a capital with a combining mark are left as
+    they are.  Runs of letters are encoded in one go and told apart by their
+    last tokens.
     """
 
     def __init__(self, path: str, remembered: int = REMEMBERED):
@@ -40,19 +100,19 @@ class WordIds:
 
         self._tokenizer = Tokenizer.from_file(path)
         self._remembered = remembered
-        self._new: dict[bytes, bytes] = {}
-        self._old: dict[bytes, bytes] = {}
+        self._new: dict[str, bytes] = {"": b""}
+        self._old: dict[str, bytes] = {}
         vocabulary = self._tokenizer.get_vocab()
         self._ends = np.zeros(max(vocabulary.values()) + 1, bool)
         self._ends[[i for t, i in vocabulary.items() if t.endswith("</w>")]] = True
 
-    def _each(self, words: list[bytes]) -> list[bytes]:
-        encoded = self._tokenizer.encode_batch_fast([w.decode() for w in words], add_special_tokens=False)
+    def _each(self, words: list[str]) -> list[bytes]:
+        encoded = self._tokenizer.encode_batch_fast(words, add_special_tokens=False)
         return [np.array(e.ids, "<u4").tobytes() for e in encoded]
 
-    def _letters(self, words: list[bytes]) -> list[bytes]:
+    def _letters(self, words: list[str]) -> list[bytes]:
         """Ids of words that are one run of letters each."""
-        ids = self._tokenizer.encode_batch_fast([b" ".join(words).decode()], add_special_tokens=False)[0].ids
+        ids = self._tokenizer.encode_batch_fast([" ".join(words)], add_special_tokens=False)[0].ids
         ids = np.array(ids, "<u4")
         cuts = np.flatnonzero(self._ends[ids]) + 1
         if len(cuts) != len(words) or (len(ids) and cuts[-1] != len(ids)):
@@ -60,57 +120,42 @@ class WordIds:
         data, at = ids.tobytes(), (4 * cuts).tolist()
         return [data[i:j] for i, j in zip([0, *at], at, strict=False)]
 
-    def _add(self, words: list[bytes], ids: list[bytes]) -> None:
-        self._new.update(zip(words, ids, strict=True))
-
-    def _learn(self, missing: set[bytes]) -> None:
+    def _of_words(self, words: list[str]) -> list[bytes]:
+        """Ids of distinct words."""
         if len(self._new) > self._remembered:
-            self._old, self._new = self._new, {}
-        new, old, parts = self._new, self._old, {}
-        for w in missing:
-            ids = old.get(w)
-            if ids is not None:
-                new[w] = ids
-            elif b"<|" in w:  # may hold a special token, which is taken as written
-                parts[w] = (w, b"")
-            else:
-                stem = w.rstrip(_PUNCTUATION)
-                parts[w] = (stem.lower(), w[len(stem) :])
+            self._old, self._new = self._new, {"": b""}
+        new, old = self._new, self._old
         letters, others = [], []
-        for part in {p for both in parts.values() for p in both if p}:
-            if part in new:
-                continue
-            ids = old.get(part)
-            if ids is not None:
-                new[part] = ids
-            elif part.decode().lower().isalpha():
-                letters.append(part)
-            else:
-                others.append(part)
+        for w in words:
+            if w not in new:
+                ids = old.get(w)
+                if ids is not None:
+                    new[w] = ids
+                else:
+                    (letters if w.isalpha() else others).append(w)
         if letters:
-            self._add(letters, self._letters(letters))
+            new.update(zip(letters, self._letters(letters), strict=True))
         if others:
-            self._add(others, self._each(others))
-        new[b""] = b""
-        for w, (stem, end) in parts.items():
-            new[w] = new[stem] + new[end]
+            new.update(zip(others, self._each(others), strict=True))
+        return [new[w] for w in words]
 
-    def encode(self, texts: list[str | None]) -> list[bytes]:
+    def encode(self, texts: Sequence[str | None]) -> list[bytes]:
         out: list[bytes] = []
         held, size = [], 0
         for t in texts:
-            held.append(words_of(t))
-            size += len(t or "")
+            data = (t or "").encode("utf-8", "replace")
+            held.append(data)
+            size += len(data)
             if size > TOGETHER:
                 out += self._encode(held)
                 held, size = [], 0
         return out + self._encode(held)
 
-    def _encode(self, texts: list[list[bytes]]) -> list[bytes]:
-        # learning may start a new generation, so it is asked once for all words needed
-        needed = set().union(*texts)
-        missing = needed - self._new.keys()
-        if missing:
-            self._learn(missing if len(self._new) <= self._remembered else needed)
-        ids = self._new.__getitem__
-        return [b"".join(map(ids, words)) for words in texts]
+    def _encode(self, texts: list[bytes]) -> list[bytes]:
+        words = pc.ascii_split_whitespace(_plain_words(texts))
+        known = words.values.dictionary_encode()
+        ids, at = gathered(
+            self._of_words(known.dictionary.to_pylist()), known.indices.to_numpy(), words.offsets.to_numpy(), 4
+        )
+        at = (4 * at).tolist()
+        return [ids[i:j] for i, j in zip(at, at[1:], strict=False)]
