@@ -11,6 +11,7 @@ from cohortlens.llm.mixing import mix
 from cohortlens.llm.near_duplicates import near_duplicates
 from cohortlens.llm.neighbours import nearest_vectors
 from cohortlens.llm.packing import pack
+from cohortlens.llm.pieces import decode_pieces, encode_pieces
 from cohortlens.llm.quality import quality_rules
 from cohortlens.llm.revisits import resolve_revisits
 from cohortlens.llm.sharding import shard
@@ -128,6 +129,16 @@ def op10_url_templates(spark: SparkSession, sf_dir: str) -> DataFrame:
     return filter_urls(pages, labels, URL_RULES).drop("template", "purity")
 
 
+def op13_pieces(spark: SparkSession, sf_dir: str) -> DataFrame:
+    model = public_tokenizers.path("piece_bpe_32k.model")
+    encoded = encode_pieces(_table(spark, sf_dir, "documents"), model).select(
+        "doc_id", F.size("ids").cast("long").alias("n_tokens"),
+        F.sha2(F.array_join(F.col("ids").cast("array<string>"), " "), 256).alias("ids_sha256"), "ids",
+    )
+    decoded = decode_pieces(encoded, model)
+    return decoded.select("doc_id", "n_tokens", "ids_sha256", F.sha2("decoded", 256).alias("decoded_sha256"))
+
+
 QUERIES = {
     "op1_packing": op1_packing,
     "op2_quality_rules": op2_quality_rules,
@@ -139,4 +150,5 @@ QUERIES = {
     "op8_mixing": op8_mixing,
     "op9_licenses": op9_licenses,
     "op10_url_templates": op10_url_templates,
+    "op13_pieces": op13_pieces,
 }

@@ -59,17 +59,30 @@ def _plain_words(texts: list[bytes]) -> pa.Array:
     return pa.LargeStringArray.from_buffers(len(texts), pa.py_buffer(offsets), pa.py_buffer(np.insert(low, cuts, 32)))
 
 
-def gathered(parts: Sequence[bytes], index: np.ndarray, offsets: np.ndarray, width: int) -> tuple[bytes, np.ndarray]:
+#: items whose places are worked out together
+_BLOCK = 1 << 18
+
+
+def placed(flat: np.ndarray, begins: np.ndarray, sizes: np.ndarray) -> bytes:
+    """The stretches of ``flat`` that begin at ``begins`` and have ``sizes`` items, one after another."""
+    out = []
+    for i in range(0, len(begins), _BLOCK):
+        size = sizes[i : i + _BLOCK]
+        ends = np.cumsum(size)
+        shift = begins[i : i + _BLOCK] - ends + size
+        out.append(flat[np.repeat(shift, size) + np.arange(ends[-1])].tobytes())
+    return b"".join(out)
+
+
+def gathered(parts: Sequence[bytes], index: np.ndarray, offsets: np.ndarray) -> tuple[bytes, np.ndarray]:
     """``parts[index]`` joined, and where the groups that begin at ``offsets`` of ``index`` begin in it.
 
-    Parts hold items of ``width`` bytes; places are in items.
+    Parts hold 32-bit numbers, which places count.
     """
-    sizes = np.fromiter(map(len, parts), np.int64, len(parts)) // width
-    flat = np.frombuffer(b"".join(parts), f"V{width}" if width not in (1, 4) else {1: np.uint8, 4: "<u4"}[width])
+    sizes = np.fromiter(map(len, parts), np.int64, len(parts)) // 4
     own = sizes[index]
-    ends = np.concatenate([[0], np.cumsum(own)])
-    shift = (np.cumsum(sizes) - sizes)[index] - ends[:-1]
-    return flat[np.repeat(shift, own) + np.arange(ends[-1])].tobytes(), ends[offsets]
+    at = np.concatenate([[0], np.cumsum(own)])[offsets]
+    return placed(np.frombuffer(b"".join(parts), "<u4"), (np.cumsum(sizes) - sizes)[index], own), at
 
 
 _of_worker: dict[tuple[str, int], WordIds] = {}
@@ -155,7 +168,7 @@ class WordIds:
         words = pc.ascii_split_whitespace(_plain_words(texts))
         known = words.values.dictionary_encode()
         ids, at = gathered(
-            self._of_words(known.dictionary.to_pylist()), known.indices.to_numpy(), words.offsets.to_numpy(), 4
+            self._of_words(known.dictionary.to_pylist()), known.indices.to_numpy(), words.offsets.to_numpy()
         )
         at = (4 * at).tolist()
         return [ids[i:j] for i, j in zip(at, at[1:], strict=False)]
