@@ -211,6 +211,20 @@ def _url_templates() -> str:
             from rows join t{DEPTH + 1} t on rows.host = t.host and rows.shape = t.shape join pure on t.host = pure.host and t.template = pure.template"""
 
 
+def _lexical_search() -> str:
+    terms = rf"regexp_extract_all({_LOWER.format("coalesce(text, '')")}, '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+')"
+    return f"""with docs as materialized (select doc_id, t, len(t) n from (select doc_id, {terms} t from documents) where len(t) > 0),
+        totals as (select count(*) total, sum(n)::bigint length from docs),
+        asked as materialized (select distinct item_id, unnest({terms}) term from benchmark),
+        counts as materialized (select doc_id, n, term, count(*) tf from (select doc_id, n, unnest(t) term from docs)
+            where term in (select term from asked) group by all),
+        weights as (select term, floor(1000 * ln((2 * any_value(total) + 2) / (2 * count(*) + 1)))::bigint w from counts, totals group by term),
+        scores as (select item_id, doc_id, sum(w * ((1000000000 * tf) // (1000 * tf + 20 * (100 - 50 + ((50 * n * total) // length)))))::bigint score
+            from counts join weights using (term) join asked using (term), totals group by item_id, doc_id)
+        select item_id, row_number() over (partition by item_id order by score desc, doc_id)::int rank, doc_id, score from scores where score > 0
+            qualify row_number() over (partition by item_id order by score desc, doc_id) <= 50"""
+
+
 ORACLE: dict[str, str] = {
     "op2_quality_rules": _quality(),
     "op3_revisits": _revisits(),
@@ -219,4 +233,5 @@ ORACLE: dict[str, str] = {
     "op8_mixing": _mixing(),
     "op9_licenses": _licenses(),
     "op10_url_templates": _url_templates(),
+    "op11_lexical_search": _lexical_search(),
 }

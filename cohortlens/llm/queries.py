@@ -6,6 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from cohortlens.llm.lexical import rank_documents
 from cohortlens.llm.licenses import find_licenses
 from cohortlens.llm.mixing import mix
 from cohortlens.llm.near_duplicates import near_duplicates
@@ -17,6 +18,7 @@ from cohortlens.llm.revisits import resolve_revisits
 from cohortlens.llm.sharding import shard
 from cohortlens.llm.substrings import drop_repeats
 from cohortlens.llm.url_templates import filter_urls, url_parts
+from cohortlens.llm.whitening import whiten
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -129,6 +131,14 @@ def op10_url_templates(spark: SparkSession, sf_dir: str) -> DataFrame:
     return filter_urls(pages, labels, URL_RULES).drop("template", "purity")
 
 
+def op11_lexical_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return rank_documents(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "benchmark"))
+
+
+def op12_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return whiten(_table(spark, sf_dir, "embeddings")).withColumn("deviation", F.col("deviation").cast("long"))
+
+
 def op13_pieces(spark: SparkSession, sf_dir: str) -> DataFrame:
     model = public_tokenizers.path("piece_bpe_32k.model")
     encoded = encode_pieces(_table(spark, sf_dir, "documents"), model).select(
@@ -150,5 +160,7 @@ QUERIES = {
     "op8_mixing": op8_mixing,
     "op9_licenses": op9_licenses,
     "op10_url_templates": op10_url_templates,
+    "op11_lexical_search": op11_lexical_search,
+    "op12_whitening": op12_whitening,
     "op13_pieces": op13_pieces,
 }
