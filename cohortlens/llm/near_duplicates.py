@@ -10,7 +10,8 @@ Groups are not expanded.  A bucket first meets one pivot, which joins most of a
 group of copies into one component at a linear cost; buckets that still hold
 several components meet another.  What is left is compared in blocks: a task holds the signatures of at
 most two chunks of a bucket and compares only members of different components,
-with longer signatures of one byte a value; only survivors leave the task, each
+with longer signatures of one byte a value (made for such members alone); only
+survivors leave the task, each
 in the first band that its two members share.  A pair is skipped only when it is
 in one component already, so components are those of all links that the bands
 find.
@@ -27,6 +28,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from cohortlens.functions.bits import bit_table, marked
 from cohortlens.functions.storage import Scratch
 from cohortlens.llm.graph import components
 from cohortlens.llm.words import batches, lower_words_of, scramble, shingles, word_hashes
@@ -92,11 +94,14 @@ def _signatures(key_type: str, width: int, hashes: int):
                 counts.append(len(found))
                 sigs.append(signature(found, mult).tobytes() if words else None)
             yield pa.RecordBatch.from_arrays(
-                [b.column("doc"), pa.array(seqs, pa.binary()), pa.array(counts, pa.int64()), pa.array(sigs, pa.binary())],
-                names=["doc", "seq", "n", "sig"],
+                [
+                    b.column("doc"), b.column("text_hash"), pa.array(seqs, pa.binary()), pa.array(counts, pa.int64()),
+                    pa.array(sigs, pa.binary()),
+                ],
+                names=["doc", "text_hash", "seq", "n", "sig"],
             )
 
-    return run, f"doc {key_type}, seq binary, n long, sig binary"
+    return run, f"doc {key_type}, text_hash long, seq binary, n long, sig binary"
 
 
 def _band_keys(sigs: np.ndarray, bands: int, rows: int) -> np.ndarray:
@@ -171,27 +176,38 @@ def _prune(need: dict[int, int]):
     return run
 
 
-def _sets(width: int, bands: int, rows: int, hashes: int):
-    mult, short = _multipliers(LONG_HASHES), _multipliers(hashes)
-
+def _sets(width: int):
     def run(parts: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for nodes, seqs, texts in batches(parts, "node", "seq", "text"):
             words = [lower_words_of(t) for t in texts]
-            # keys may repeat: another text of the same key is not this node
+            # hashes of texts may agree by chance: another text is not this node
             own = [k for k, w in enumerate(words) if xxhash.xxh3_128_digest(b" ".join(w)) == seqs[k]]
-            if not own:
-                continue
-            nodes = [nodes[k] for k in own]
             found = [shingles(word_hashes(words[k]), width) for k in own]
-            long = [signature(f, mult).astype(np.uint8).tobytes() for f in found]
-            keys = _band_keys(np.stack([signature(f, short) for f in found]), bands, rows).astype("<u4")
+            yield pa.RecordBatch.from_arrays(
+                [pa.array([nodes[k] for k in own], pa.int64()), pa.array([f.view(np.int64) for f in found], pa.list_(pa.int64()))],
+                names=["node", "shingles"],
+            )
+
+    return run
+
+
+def _long_signatures(bands: int, rows: int):
+    mult = _multipliers(LONG_HASHES)
+
+    def run(parts: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in parts:
+            if not b.num_rows:
+                continue
+            long = [
+                signature(s.values.to_numpy().view(np.uint64), mult).astype(np.uint8).tobytes() for s in b.column("shingles")
+            ]
+            keys = _band_keys(np.frombuffer(b"".join(b.column("sig").to_pylist()), "<u4").reshape(b.num_rows, -1), bands, rows)
             yield pa.RecordBatch.from_arrays(
                 [
-                    pa.array(nodes, pa.int64()), pa.array([len(f) for f in found], pa.int64()),
-                    pa.array([f.view(np.int64) for f in found], pa.list_(pa.int64())), pa.array(long, pa.binary()),
-                    pa.array([k.tobytes() for k in keys], pa.binary()),
+                    b.column("node"), b.column("n"), pa.array(long, pa.binary()),
+                    pa.array([k.tobytes() for k in keys.astype("<u4")], pa.binary()),
                 ],
-                names=["node", "n", "shingles", "long_sig", "band_keys"],
+                names=["node", "n", "long_sig", "band_keys"],
             )
 
     return run
@@ -220,7 +236,8 @@ def near_duplicates(
 
     A null or blank text has no shingles and no links: it is its own component.
     A null key never stands for a component; its row has that of its text, or
-    null, and is kept only where that is null.  Repeated rows are one node.
+    null, and is kept only where that is null.  Repeated rows are one node; rows
+    of one key with other texts are nodes of their own, however many they are.
     Other columns of ``docs`` are not read, whatever their names.
 
     Memory: a task holds one Arrow batch; a hash of the multiset of a document
@@ -232,12 +249,14 @@ def near_duplicates(
         raise ValueError("bands * rows must fit the signature, and batches divide it")
     spark = docs.sparkSession
     scratch = Scratch(spark, "near")
-    rows_in = docs.select(F.col(key).alias("doc"), F.col(text).cast("string").alias("text"))
+    body = F.col(text).cast("string")
+    rows_in = docs.select(F.col(key).alias("doc"), F.xxhash64(body).alias("text_hash"), body.alias("text"))
     run, schema = _signatures(rows_in.schema["doc"].dataType.simpleString(), shingle, hashes)
     described = scratch.table(rows_in.mapInArrow(run, schema), "described")
+    first = F.min(F.struct(F.col("doc").isNull().alias("none"), "doc", "text_hash"))  # the least key, null ones last
     nodes = scratch.table(
-        described.where("n > 0").groupBy("seq").agg(F.min("doc").alias("rep"), F.first("n").alias("n"), F.first("sig").alias("sig"))
-        .withColumn("node", F.monotonically_increasing_id()),
+        described.where("n > 0").groupBy("seq").agg(first.alias("first"), F.first("n").alias("n"), F.first("sig").alias("sig"))
+        .select("seq", "first", "n", "sig", F.monotonically_increasing_id().alias("node")),
         "nodes",
     )
 
@@ -245,18 +264,16 @@ def near_duplicates(
     sizes = banded.groupBy("bucket").agg(F.count("*").alias("size"), F.min("node").alias("pivot")).where("size > 1")
     buckets = scratch.table(banded.join(sizes, "bucket"), "buckets")
 
-    # texts of the nodes of buckets: a node's text is that of its first row
-    wanted = buckets.select("node").distinct().join(nodes.select("node", "rep", "seq"), "node")
-    same_text = described.where("n > 0").select("doc", "seq").join(wanted.select("node", "seq", "rep"), "seq")
-    firsts = same_text.where("doc <=> rep").select("node", "seq", "doc").distinct()
-    once = rows_in.join(firsts, rows_in.doc.eqNullSafe(firsts.doc)).select("node", "seq", "text")
-    sets = scratch.table(
-        once.mapInArrow(
-            _sets(shingle, bands, rows, hashes), "node long, n long, shingles array<long>, long_sig binary, band_keys binary"
-        ),
-        "sets",
-    )
-    signed = nodes.select("node", "n", "sig")
+    # what comparisons need of the nodes of buckets, and their shingles: a node's text is that of its first row
+    met = nodes.join(buckets.select("node").distinct(), "node", "left_semi")
+    signed = scratch.table(met.select("node", "n", "sig"), "signed")
+    wanted = scratch.table(met.select("node", "seq", F.col("first.doc").alias("first_doc"), F.col("first.text_hash").alias("first_hash")), "wanted")
+    table, bits = bit_table(wanted, F.xxhash64("first_doc", "first_hash"))
+    likely = marked(rows_in, F.xxhash64("doc", "text_hash"), table, bits, "likely").where("likely")
+    same = (F.col("doc").eqNullSafe(F.col("first_doc"))) & (F.col("text_hash") == F.col("first_hash"))
+    once = likely.join(wanted, same).groupBy("node").agg(F.first("seq").alias("seq"), F.first("text").alias("text"))
+    sets = scratch.table(once.mapInArrow(_sets(shingle), "node long, shingles array<long>"), "sets")
+    scratch.drop(wanted)
 
     def verified(pairs: DataFrame) -> DataFrame:
         both = F.size(F.array_intersect("set_a", "set_b"))
@@ -301,24 +318,24 @@ def near_duplicates(
     scratch.drop(labels, mixed)
     labels = newer
 
-    mixed = mixed_rows(labels)
+    mixed = scratch.table(mixed_rows(labels), "mixed")
     chunks = F.ceil(F.col("members") / CHUNK).cast("int")
+    in_mixed = mixed.select("node").distinct().join(sets, "node").join(signed, "node").select("node", "n", "sig", "shingles")
+    longer = in_mixed.mapInArrow(_long_signatures(bands, rows), "node long, n long, long_sig binary, band_keys binary")
     mixed = mixed.withColumn("chunks", chunks).withColumn("chunk", F.pmod(F.hash("node"), F.col("chunks")))
-    mixed = mixed.join(sets.select("node", "n", "long_sig", "band_keys"), "node").withColumn(
-        "other", F.explode(F.sequence(F.lit(0), F.col("chunks") - 1))
-    )
+    mixed = mixed.join(longer, "node").withColumn("other", F.explode(F.sequence(F.lit(0), F.col("chunks") - 1)))
     mixed = mixed.withColumns({"i": F.least("chunk", "other"), "j": F.greatest("chunk", "other")})
     compare = _compare_chunks(percent, least_matches(LONG_HASHES, LONG_BATCH, percent, miss))
-    met = mixed.groupBy("bucket", "i", "j").applyInArrow(compare, "a long, b long")
-    fresh = scratch.table(verified(met), "fresh")
+    compared = mixed.groupBy("bucket", "i", "j").applyInArrow(compare, "a long, b long")
+    fresh = scratch.table(verified(compared), "fresh")
     if not fresh.isEmpty():
         stars = stars.unionByName(fresh)
         labels = scratch.table(components(stars, scratch), "labels")
 
-    grouped = nodes.select("node", "seq", "rep").join(labels, "node", "left").withColumn("label", F.coalesce("label", "node"))
+    grouped = nodes.select("node", "seq", F.col("first.doc").alias("rep")).join(labels, "node", "left").withColumn("label", F.coalesce("label", "node"))
     least = grouped.groupBy("label").agg(F.min("rep").alias("component_id"))
     of_seq = scratch.table(grouped.join(least, "label").select("seq", "component_id"), "of_seq")
-    scratch.drop(buckets, sets, nodes, labels)
+    scratch.drop(buckets, sets, signed, nodes, labels)
     own = described.select("doc", "seq", "n").join(of_seq, "seq", "left")
     component = F.coalesce("component_id", "doc")
     return own.select(
