@@ -5,10 +5,12 @@ from __future__ import annotations
 from collections.abc import Callable
 
 import public_tokenizers
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from cohortlens.functions.storage import staged
+from cohortlens.functions.bits import bit_table, marked
+from cohortlens.functions.storage import new_folder, passing_tables, staged
 from cohortlens.llm.mixing import mix
 from cohortlens.llm.near_duplicates import near_duplicates
 from cohortlens.llm.packing import pack
@@ -20,12 +22,33 @@ from cohortlens.llm.substrings import drop_repeats
 ROW = "_row"
 
 
+def _numbered(docs: DataFrame) -> DataFrame:
+    """Rows with ``_row``: whether their key is null, their key, and their place in the files they are read from.
+
+    It is unique, in the order of keys with null ones last, and the same at
+    every reading.  Rows that come from no file are written first.
+    """
+    try:
+        placed = docs.select("*", F.xxhash64("_metadata.file_path").alias("_file"), F.col("_metadata.row_index").alias("_line"))
+        placed.schema  # resolved here
+    except AnalysisException:
+        return _numbered(staged(docs, "rows"))
+    return placed.withColumn(ROW, F.struct(F.col("doc_id").isNull().alias("null_id"), "doc_id", "_file", "_line"))
+
+
 def _kept(docs: DataFrame, verdicts: Callable[[DataFrame], DataFrame]) -> DataFrame:
-    """Rows that ``verdicts`` keeps by their key ``_row``, which is unique and in the order of keys, null ones last."""
-    rows = staged(docs.withColumn("_at", F.monotonically_increasing_id()), "rows")
-    own = F.struct(F.col("doc_id").isNull().alias("null_id"), "doc_id", "_at")
-    kept = verdicts(rows.withColumn(ROW, own)).where("kept").select(f"{ROW}._at")
-    return rows.join(kept, "_at", "left_semi").select(*docs.columns)
+    """Rows that ``verdicts`` keeps, each by its own number.
+
+    Most rows are told by a table of bits that they are not among those to go;
+    only the others are exchanged to meet them.
+    """
+    names = docs.columns
+    rows = _numbered(docs)
+    gone = staged(verdicts(rows.select("*")).where("not kept").select(f"{ROW}._file", f"{ROW}._line"), "gone")
+    hashed = F.xxhash64("_file", "_line")
+    told = marked(rows, hashed, *bit_table(gone, hashed), "_maybe")
+    asked = told.where("_maybe").join(gone, ["_file", "_line"], "left_anti")
+    return told.where("not _maybe").select(*names).unionByName(asked.select(*names))
 
 
 def reject_outliers(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -75,7 +98,12 @@ ORACLE_SQL: str | None = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All stages; what a stage stages goes as soon as its result is written."""
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
     for name, stage in STAGES[:-1]:
-        docs = staged(stage(spark, docs, sf_dir), name.replace(" ", "-"))
+        path = new_folder(spark, name.replace(" ", "-"))
+        with passing_tables(spark, "stage"):
+            result = stage(spark, docs, sf_dir)
+            result.write.parquet(path)
+        docs = spark.read.schema(result.schema).parquet(path)
     return STAGES[-1][1](spark, docs, sf_dir)
