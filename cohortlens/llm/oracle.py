@@ -67,8 +67,8 @@ def _quality() -> str:
         cells as (select o.lang, o.source, case when n >= {MIN_CELL} then struct_pack(l := o.lang, s := o.source, v := 0)
             when of_lang >= {MIN_CELL} then struct_pack(l := o.lang, s := null, v := 1) else struct_pack(l := null, s := null, v := 2) end cell
             from own o left join pooled p on o.lang is not distinct from p.lang),
-        vectors as materialized (select j.*, cell, round(1000 * ln(word_chars / n_words))::bigint x0, round(1000 * ln(1 + 20 * n_symbols / n_words))::bigint x1,
-            round(1000 * n_dup_lines / n_lines)::bigint x2, round(1000 * n_repeat_words / n_words)::bigint x3
+        vectors as materialized (select j.*, cell, round(1000 * ln(word_chars / n_words))::bigint x0, round(1000 * sqrt(n_symbols / n_words))::bigint x1,
+            round(1000 * asin(sqrt(n_dup_lines / n_lines)))::bigint x2, round(1000 * asin(sqrt(n_repeat_words / n_words)))::bigint x3
             from judged j join cells c on j.lang is not distinct from c.lang and j.source is not distinct from c.source where not base_failed),
         long as (select cell, dim, value, count(*) n from (select cell, unnest(range({DIMENSIONS})) dim, unnest([{comma(f'x{i}' for i in dims)}]) as value from vectors) group by all),
         med as materialized ({middle('long', 'value')}),
