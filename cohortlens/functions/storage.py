@@ -45,6 +45,11 @@ def remove(spark: SparkSession, path: str) -> None:
     where.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(where, True)
 
 
+def exists(spark: SparkSession, path: str) -> bool:
+    where = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    return where.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(where)
+
+
 @contextmanager
 def passing_tables(spark: SparkSession, name: str) -> Iterator[None]:
     """What this thread stages inside goes when the block ends, so its results must be written by then."""

@@ -9,40 +9,30 @@ from multiprocessing.pool import ThreadPool
 
 from pyspark import inheritable_thread_target
 from pyspark.ml import Model
-from pyspark.ml.classification import (
-    GBTClassificationModel,
-    GBTClassifier,
-    LogisticRegression,
-    LogisticRegressionModel,
-)
+from pyspark.ml.classification import LogisticRegression, LogisticRegressionModel
 from pyspark.ml.functions import vector_to_array
 from pyspark.ml.regression import IsotonicRegression, IsotonicRegressionModel
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..functions.storage import shared_dir, staged
+from ..functions.storage import staged
+from .boosting import TREES, BoostedTrees, boost_saved
 from .evaluation import ranking_metrics
 from .features import FeaturePlan, SEED, class_weights, prepare_features, stratified_folds
+from .ranks import stratified_rank
 
 # --- fixed values: model parameters ---------------------------------------------------
 LOGISTIC_C = 1.0
 LOGISTIC_ITERATIONS = 1000
-TREES = 300
-TREE_DEPTH = 4
-TREE_RATE = 0.05
-ROW_SAMPLE = 0.8
-COLUMN_SAMPLE = 0.8
-#: rounds between checkpoints, which cut the lineage of the boosted residuals
-TREE_CHECKPOINT = 20
 CALIBRATION_FOLDS = 3
 CV_FOLDS = 5
-#: rows per task of a boosting round, whose jobs are short
-BOOST_ROWS = 20_000
+#: fits that run side by side
+SIDE_BY_SIDE = 8
 # --------------------------------------------------------------------------------------
 
 LOGISTIC, BOOSTED, ENSEMBLE = "logistic_regression", "gbt", "ensemble"
 
-Fit = Callable[[DataFrame], Model]
+Fit = Callable[[DataFrame], Model | BoostedTrees]
 
 
 def fit_logistic(train: DataFrame, c: float = LOGISTIC_C, iterations: int = LOGISTIC_ITERATIONS) -> LogisticRegressionModel:
@@ -55,32 +45,24 @@ def fit_logistic(train: DataFrame, c: float = LOGISTIC_C, iterations: int = LOGI
     ).fit(weighted)
 
 
-def fit_boosted(train: DataFrame, trees: int = TREES, seed: int = SEED) -> GBTClassificationModel:
-    """Boosted trees with the rarer class weighted up on ``features, label``.
+def fit_boosted(train: DataFrame, trees: int = TREES, seed: int = SEED) -> BoostedTrees:
+    """Boosted trees with the rarer class weighted up on ``features, label``."""
+    return boosted_together(train.withColumn("member", F.array(F.lit(True))), 1, trees, seed)[0]
 
-    Rounds read a narrow staged table in tasks of about ``BOOST_ROWS`` rows.
-    """
-    w = class_weights(train, "label").first()
-    weight = F.when(F.col("label") == 1, F.lit(w["tree_weight_pos"])).otherwise(F.lit(1.0))
-    tasks = -(-(w["n_pos"] + w["n_neg"]) // BOOST_ROWS) or 1
-    weighted = staged(train.select("features", "label", weight.alias("_w")), "boosted").coalesce(tasks)
-    context = train.sparkSession.sparkContext
-    if context.getCheckpointDir() is None:
-        context.setCheckpointDir(shared_dir(train.sparkSession))
-    return GBTClassifier(
-        maxIter=trees,
-        maxDepth=TREE_DEPTH,
-        stepSize=TREE_RATE,
-        subsamplingRate=ROW_SAMPLE,
-        featureSubsetStrategy=str(COLUMN_SAMPLE),
-        weightCol="_w",
-        checkpointInterval=TREE_CHECKPOINT,
-        seed=seed,
-    ).fit(weighted)
+
+def boosted_together(rows: DataFrame, fits: int, trees: int = TREES, seed: int = SEED) -> list[BoostedTrees]:
+    """Boosted trees for several training sets of one table, see ``boosting.boost``."""
+    return boost_saved(rows, fits, trees=trees, seed=seed)
+
+
+#: fits of one table that can be made together say so
+fit_boosted.together = boosted_together
 
 
-def _raw_score(model: Model, df: DataFrame, name: str) -> DataFrame:
-    """The number that is calibrated: the margin of a linear model, else the probability."""
+def _raw_score(model: Model | BoostedTrees, df: DataFrame, name: str) -> DataFrame:
+    """The number that is calibrated: the margin of a linear model, the probability of trees."""
+    if isinstance(model, BoostedTrees):
+        return model.transform(df, name=name)
     source = "rawPrediction" if isinstance(model, LogisticRegressionModel) else "probability"
     out = model.transform(df).withColumn(name, vector_to_array(source)[1])
     return out.drop("rawPrediction", "probability", "prediction")
@@ -90,7 +72,7 @@ def _raw_score(model: Model, df: DataFrame, name: str) -> DataFrame:
 class CalibratedModel:
     """Pairs of a classifier and the isotonic map fitted on the rows it did not see."""
 
-    pairs: list[tuple[Model, IsotonicRegressionModel]]
+    pairs: list[tuple[Model | BoostedTrees, IsotonicRegressionModel]]
 
     def predict(self, df: DataFrame, name: str = "probability") -> DataFrame:
         """Adds the mean calibrated probability."""
@@ -103,25 +85,37 @@ class CalibratedModel:
         return out.withColumn(name, F.greatest(F.lit(0.0), F.least(F.lit(1.0), mean))).drop(*[f"_p{i}" for i in range(len(parts))])
 
 
+def _side_by_side(spark: SparkSession, work: Callable, items: Sequence) -> list:
+    with ThreadPool(min(SIDE_BY_SIDE, max(1, len(items)))) as pool:
+        return pool.starmap(inheritable_thread_target(spark)(work), items)
+
+
+def _fitted(rows: DataFrame, fit: Fit, members: Sequence[Column]) -> list[Model | BoostedTrees]:
+    """One model of the rows of each member condition: together if the fit can do that, else side by side."""
+    together = getattr(fit, "together", None)
+    if together is not None:
+        return together(rows.withColumn("member", F.array(*[F.coalesce(m, F.lit(False)) for m in members])), len(members))
+    return _side_by_side(rows.sparkSession, lambda m: fit(rows.where(m)), [(m,) for m in members])
+
+
+def _isotonic(model: Model | BoostedTrees, held: DataFrame) -> IsotonicRegressionModel:
+    """Held-out rows are averaged per distinct score first, which gives the same map."""
+    scored = _raw_score(model, held, "_raw")
+    points = scored.groupBy("_raw").agg(F.avg("label").alias("label"), F.count(F.lit(1)).cast("double").alias("_w"))
+    isotonic = IsotonicRegression(featuresCol="_raw", labelCol="label", weightCol="_w").fit(points)
+    isotonic.setFeaturesCol("_raw")
+    return isotonic
+
+
 def calibrate_isotonic(train: DataFrame, fit: Fit, folds: int = CALIBRATION_FOLDS, seed: int = SEED) -> CalibratedModel:
     """Fit on all folds but one and calibrate on the one, for each fold.
 
-    ``train``: ``patient_id, features, label``.  Held-out rows are averaged per
-    distinct score before the isotonic fit, which gives the same map.  Folds are
-    fitted side by side, since their jobs are many and short.
+    ``train``: ``patient_id, features, label``.
     """
     dealt = staged(stratified_folds(train, "label", folds, seed=seed), "folds")
-
-    def pair(k: int) -> tuple[Model, IsotonicRegressionModel]:
-        model = fit(dealt.where(F.col("fold") != k).drop("fold"))
-        held = _raw_score(model, dealt.where(F.col("fold") == k), "_raw")
-        points = held.groupBy("_raw").agg(F.avg("label").alias("label"), F.count(F.lit(1)).cast("double").alias("_w"))
-        isotonic = IsotonicRegression(featuresCol="_raw", labelCol="label", weightCol="_w").fit(points)
-        isotonic.setFeaturesCol("_raw")
-        return model, isotonic
-
-    with ThreadPool(folds) as pool:
-        return CalibratedModel(pool.map(inheritable_thread_target(train.sparkSession)(pair), range(folds)))
+    models = _fitted(dealt, fit, [F.col("fold") != k for k in range(folds)])
+    held = [(m, dealt.where(F.col("fold") == k)) for k, m in enumerate(models)]
+    return CalibratedModel(list(zip(models, _side_by_side(train.sparkSession, _isotonic, held), strict=True)))
 
 
 @dataclass
@@ -163,7 +157,8 @@ class RiskModels:
         """Models as Spark ML folders, fitted feature values as tables."""
         for name, calibrated in self.models.items():
             for i, (model, isotonic) in enumerate(calibrated.pairs):
-                model.write().overwrite().save(f"{path}/models/{name}/{i}/classifier")
+                where = f"{path}/models/{name}/{i}/classifier"
+                model.save(spark, where) if isinstance(model, BoostedTrees) else model.write().overwrite().save(where)
                 isotonic.write().overwrite().save(f"{path}/models/{name}/{i}/isotonic")
         scaler = [(c, float(m), float(s)) for c, (m, s) in self.plan.scaler.items()]
         spark.createDataFrame(scaler, "feature string, mean double, deviation double").write.mode("overwrite").parquet(f"{path}/scaler")
@@ -175,7 +170,7 @@ class RiskModels:
     @classmethod
     def load(cls, spark: SparkSession, path: str) -> "RiskModels":
         """Whatever models were saved there."""
-        kinds = {LOGISTIC: LogisticRegressionModel, BOOSTED: GBTClassificationModel}
+        kinds = {LOGISTIC: LogisticRegressionModel.load, BOOSTED: lambda where: BoostedTrees.load(spark, where)}
         scaler = spark.read.schema("feature string, mean double, deviation double").parquet(f"{path}/scaler")
         categories = spark.read.schema("feature string, categories array<string>").parquet(f"{path}/categories")
         index = spark.read.schema("model string, parts int, metrics string").parquet(f"{path}/index").collect()
@@ -187,7 +182,7 @@ class RiskModels:
             r["model"]: CalibratedModel(
                 [
                     (
-                        kinds[r["model"]].load(f"{path}/models/{r['model']}/{i}/classifier"),
+                        kinds[r["model"]](f"{path}/models/{r['model']}/{i}/classifier"),
                         IsotonicRegressionModel.load(f"{path}/models/{r['model']}/{i}/isotonic"),
                     )
                     for i in range(r["parts"])
@@ -227,19 +222,76 @@ def stratified_cv(
     seed: int = SEED,
 ) -> DataFrame:
     """``fold, auroc`` of a fresh calibrated model per fold."""
-    labelled = train.withColumn("label", F.col(label).cast("double"))
-    dealt = staged(
-        stratified_folds(prepare_features(labelled, flags, keep=["label"]), "label", folds, seed=seed, name="cv_fold"), "cv"
+    _, scores = cross_fitted(train, flags, label, {"model": fit}, folds, calibration_folds, seed, final=False)
+    return scores["model"]
+
+
+def cross_fitted(
+    train: DataFrame,
+    flags: DataFrame | None,
+    label: str,
+    fits: Mapping[str, Fit],
+    folds: int = CV_FOLDS,
+    calibration_folds: int = CALIBRATION_FOLDS,
+    seed: int = SEED,
+    final: bool = True,
+    validated: Sequence[str] | None = None,
+) -> tuple[RiskModels, dict[str, DataFrame]]:
+    """Models of all rows (``final``), and ``fold, auroc`` of each of the ``validated`` ones (all of them).
+
+    One table holds the rows, the fold of each, and for every scheme (all rows
+    but those of a fold; all rows) the calibration fold within it.  Fits that
+    can be made together are made for all schemes and calibration folds at
+    once, others side by side.  Values for scaling and categories are those of
+    a scheme's own rows; trees, which scaling does not change, take those of
+    all rows.
+    """
+    spark = train.sparkSession
+    labelled = prepare_features(train.withColumn("label", F.col(label).cast("double")), flags, keep=["label"])
+    ranked = stratified_rank(labelled, ["label"], "patient_id", seed)
+    place = F.col("stratum_rank") - 1
+    within = [
+        F.when(place % folds != s, F.pmod(place - F.floor((place + folds - 1 - s) / folds), F.lit(calibration_folds)))
+        for s in range(folds)
+    ] + [place % calibration_folds]
+    dealt = ranked.withColumn("cv_fold", (place % folds).cast("int")).withColumn(
+        "within", F.array(*[w.cast("int") for w in within])
     )
-    scored = None
-    for k in range(folds):
-        inside = dealt.where(F.col("cv_fold") != k)
-        plan = FeaturePlan.fit(inside)
-        model = calibrate_isotonic(staged(plan.assemble(inside, ["patient_id", "label"]), "cv-fold"), fit, calibration_folds, seed)
-        held = plan.assemble(dealt.where(F.col("cv_fold") == k), ["cv_fold", "label"])
-        part = model.predict(held).select("cv_fold", F.col("label").cast("int").alias("y"), F.col("probability").alias("p"))
-        scored = part if scored is None else scored.unionByName(part)
-    return ranking_metrics(scored, groups=["cv_fold"]).select(F.col("cv_fold").alias("fold"), "auroc")
+    dealt = staged(dealt.drop("stratum_rank", "stratum_size"), "dealt")
+    keep = ["patient_id", "label", "cv_fold", "within"]
+    whole = FeaturePlan.fit(dealt)
+    assembled = staged(whole.assemble(dealt, keep), "assembled")
+    models, scores = {}, {}
+    for name, fit in fits.items():
+        cross = validated is None or name in validated
+        schemes = [s for s in range(folds + 1) if (cross if s < folds else final)]
+        mine = [(s, k) for s in schemes for k in range(calibration_folds)]
+
+        def of_scheme(s: int) -> DataFrame:
+            if s == folds or hasattr(fit, "together"):
+                return assembled
+            return staged(FeaturePlan.fit(dealt.where(F.col("cv_fold") != s)).assemble(dealt, keep), "assembled-fold")
+
+        tables = dict(zip(schemes, _side_by_side(spark, of_scheme, [(s,) for s in schemes]), strict=True))
+        inner = lambda s: F.element_at("within", s + 1)
+        if hasattr(fit, "together"):
+            fitted = _fitted(assembled, fit, [inner(s) != k for s, k in mine])
+        else:
+            fitted = _side_by_side(spark, lambda s, k: fit(tables[s].where(inner(s) != k)), mine)
+        held = [(m, tables[s].where(inner(s) == k)) for m, (s, k) in zip(fitted, mine, strict=True)]
+        pairs = list(zip(fitted, _side_by_side(spark, _isotonic, held), strict=True))
+        calibrated = {s: CalibratedModel(pairs[i * calibration_folds : (i + 1) * calibration_folds]) for i, s in enumerate(schemes)}
+        if final:
+            models[name] = calibrated[folds]
+        scored = None
+        for s in schemes:
+            if s < folds:
+                part = calibrated[s].predict(tables[s].where(F.col("cv_fold") == s))
+                part = part.select("cv_fold", F.col("label").cast("int").alias("y"), F.col("probability").alias("p"))
+                scored = part if scored is None else scored.unionByName(part)
+        if scored is not None:
+            scores[name] = ranking_metrics(staged(scored, "cv-scores"), groups=["cv_fold"]).select(F.col("cv_fold").alias("fold"), "auroc")
+    return RiskModels(whole, models), scores
 
 
 def cv_summary(scores: DataFrame) -> DataFrame:

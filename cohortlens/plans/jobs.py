@@ -36,7 +36,7 @@ def train_report(
     flags = staged(batch_flags(split, apply_negation=apply_negation), "flags")
     train = split.where(F.col("split") == "train").drop("split")
     test = split.where(F.col("split") == "test").drop("split")
-    models = md.train_models(train, flags, label, fits, seed=seed)
+    models, validated = md.cross_fitted(train, flags, label, fits, seed=seed, validated=cv_models)
     labels = test.select(
         "patient_id", "sex", "stage", "cancer_type", ev.age_group(F.col("age")).alias("age_group"),
         F.col(label).cast("int").alias("y"),
@@ -46,8 +46,8 @@ def train_report(
         scores = models.predict(test, flags, name).withColumnRenamed("probability", "p")
         scored = staged(labels.join(scores, "patient_id"), f"scores-{name}")
         parts = [ev.model_report(scored, name), _calibration(scored, name)]
-        if cv_models is None or name in cv_models:
-            cv = md.cv_summary(md.stratified_cv(train, flags, label, fits[name], seed=seed))
+        if name in validated:
+            cv = md.cv_summary(validated[name])
             parts.append(_rows(cv, name, "cross_validation", ["cv_auroc_mean", "cv_auroc_std"]))
         models.metrics[name] = ev.metric_summary(scored).first().asDict()
         for part in parts:

@@ -5,6 +5,7 @@ from pyspark.sql import functions as F
 
 from cohortlens.operators import evaluation as ev
 from cohortlens.operators import features as ft
+from cohortlens.operators.boosting import bin_cuts, boost
 from cohortlens.operators import models as md
 from cohortlens.operators import scoring as sc
 from cohortlens.plans import derived as d
@@ -90,12 +91,88 @@ def test_model_scores_name_their_source(rows, trained):
 def test_registered_queries_boost_all_rounds(spark, monkeypatch):
     from cohortlens.plans import queries
 
-    asked, whole = [], md.GBTClassifier
-    monkeypatch.setattr(md, "GBTClassifier", lambda **p: asked.append(p["maxIter"]) or whole(**(p | {"maxIter": 1})))
+    asked = []
+    monkeypatch.setattr(md, "boost_saved", lambda rows, fits, trees, seed: asked.append((fits, trees)) or boost(rows, fits, trees=1))
     tests = ft.stratified_split(d.patients(spark, SF), "adverse_event").where("split = 'test'").count()
     for name in ("fit_boosted", "predict_ensemble"):
         assert queries.QUERIES[name](spark, SF).count() == tests
-    assert asked == [md.TREES] * 2 * md.CALIBRATION_FOLDS and md.TREES == 300
-    monkeypatch.setattr(queries, "train_report", lambda patients, fits=None, **_: fits)
-    fits = queries.QUERIES["train_report_patients"](spark, SF)
-    assert fits is None or fits[md.BOOSTED] is md.fit_boosted
+    assert queries.QUERIES["train_report_patients"](spark, SF).where("section = 'cross_validation'").count() == 4
+    # the report makes all fits of all folds at once
+    assert asked == [(3, md.TREES), (3, md.TREES), (18, md.TREES)] and md.TREES == 300
+
+
+def brute_boost(x, y, cuts, drawn, columns, trees, depth=4, rate=0.05):
+    """One fit, row by row."""
+    weight = np.where(y > 0, max(1, (1 - y).sum() / y.sum()), 1.0)
+    margin, losses = np.zeros(len(y)), []
+    for t in range(trees):
+        losses.append((weight * (np.logaddexp(0, margin) - y * margin)).sum() / weight.sum())
+        p = 1 / (1 + np.exp(-margin))
+        g, h = weight * (p - y), weight * p * (1 - p)
+
+        def grow(rows, level):
+            used = rows[drawn[t][rows]]
+            G, H = g[used].sum(), h[used].sum()
+            best = (1e-12, None)
+            for f in columns[t] if level < depth else ():
+                for c in cuts[f]:
+                    left = used[x[used, f] <= c]
+                    a, b = g[left].sum(), h[left].sum()
+                    gain = a * a / (b + 1) + (G - a) ** 2 / (H - b + 1) - G * G / (H + 1)
+                    if b >= 1 and H - b >= 1 and gain > best[0] + 1e-9:
+                        best = (gain, (f, c))
+            if best[1] is None:
+                margin[rows] -= rate * G / (H + 1)
+                return
+            f, c = best[1]
+            grow(rows[x[rows, f] <= c], level + 1)
+            grow(rows[x[rows, f] > c], level + 1)
+
+        grow(np.arange(len(y)), 0)
+    return margin, losses
+
+
+def test_boosting_is_that_of_the_plain_algorithm(spark):
+    rng = np.random.default_rng(7)
+    x = np.stack([rng.integers(0, 9, 400), rng.normal(size=400).round(2), rng.integers(0, 2, 400)], 1).astype(float)
+    y = (x[:, 0] + 2 * x[:, 1] + rng.normal(size=400) > 6).astype(float)
+    inside = rng.random(400) < 0.7
+    rows = spark.createDataFrame(
+        [(i, Vectors.dense(a), float(b), [True, bool(m), False]) for i, (a, b, m) in enumerate(zip(x, y, inside))],
+        ["id", "features", "label", "member"],
+    )
+    made = boost(rows, 3, trees=12, row_sample=1.0)
+    cuts = bin_cuts(rows)
+    columns = [np.sort(np.random.default_rng((ft.SEED, t)).permutation(3)[:2]) for t in range(12)]
+    for k, own in enumerate([np.ones(400, bool), inside]):
+        margin, losses = brute_boost(x[own], y[own], cuts, [np.ones(own.sum(), bool)] * 12, columns, 12)
+        assert np.allclose(made[k].margins(x[own]), margin) and np.allclose(made[k].losses[:-1], losses)
+    assert not made[2].margins(x).any()
+    scored = {r.id: r.probability for r in made[0].transform(rows).collect()}
+    assert np.allclose([scored[i] for i in range(400)], 1 / (1 + np.exp(-made[0].margins(x))))
+    # a fit is the same whatever other fits there are, with rows and columns drawn too, and however rows lie
+    both = boost(rows, 3, trees=3)
+    alone = boost(rows.orderBy(F.desc("id")).select("features", "label", F.array(F.element_at("member", 2)).alias("member")), 1, trees=3)[0]
+    assert np.array_equal(both[1].feature, alone.feature) and np.allclose(both[1].value, alone.value)
+
+
+def test_fits_are_saved_and_found_again(spark, rows, monkeypatch):
+    from cohortlens.operators import boosting
+
+    prepared = ft.prepare_features(rows[0].withColumn("label", F.col("adverse_event").cast("double")), keep=["label"])
+    table = ft.FeaturePlan.fit(prepared).assemble(prepared, ["patient_id", "label"])
+    members = lambda *of: F.array(*[F.pmod(F.hash("patient_id"), F.lit(3)) != k for k in of])
+    made, whole = [], boosting.boost
+    monkeypatch.setattr(boosting, "boost", lambda r, n, **o: made.append(n) or whole(r, n, **o))
+    first = boosting.boost_saved(table.withColumn("member", members(0, 1)), 2, trees=2)
+    again = boosting.boost_saved(table.withColumn("member", members(2, 1, 0)), 3, trees=2)
+    assert made == [2, 1]
+    for a, b in ((first[0], again[2]), (first[1], again[1])):
+        assert np.array_equal(a.feature, b.feature) and np.array_equal(a.cut, b.cut) and a.losses == b.losses
+        assert np.array_equal(a.value, b.value)
+
+
+def test_losses_fall(spark, rows):
+    prepared = ft.prepare_features(rows[0].withColumn("label", F.col("adverse_event").cast("double")), keep=["label"])
+    model = md.fit_boosted(ft.FeaturePlan.fit(prepared).assemble(prepared, ["patient_id", "label"]), trees=20)
+    assert len(model.losses) == 21 and all(b < a for a, b in zip(model.losses, model.losses[1:]))
