@@ -338,6 +338,61 @@ def evaluate_extraction(
     )
 
 
+def evaluate_mapped(cases: DataFrame, expected: DataFrame, mapped: DataFrame) -> DataFrame:
+    """All counts and metrics of extraction, mapping and negation in one row, in one pass over each table.
+
+    ``mapped`` is what ``mapping.enrich_notes`` returns, with ``case_id``: the
+    mentions of a case with their negation and candidates.  Mentions and
+    expected ones meet once, by case and lower-cased text; a row of that has
+    all that any metric needs.  Definitions are those of ``extraction_prf``,
+    ``mapping_topk`` and ``negation_fp``.
+    """
+    three = F.transform(F.filter("candidates", lambda c: c["rank"] <= 3), lambda c: c["hpo_id"])
+    found = mapped.select(
+        "case_id", F.lower("text").alias("key"), F.col("start").cast("long").alias("start"), F.col("negated").alias("was_negated"),
+        three.alias("three"),
+    )
+    # equal expected mentions are counted first, so what is listed below are distinct concepts
+    asked = expected.groupBy("case_id", F.lower("text").alias("key"), "hpo_id", "negated").agg(F.count(F.lit(1)).alias("n"))
+    asked = asked.select("case_id", "key", F.struct("hpo_id", "negated", "n").alias("asked"))
+    met = found.unionByName(asked, allowMissingColumns=True).groupBy("case_id", "key").agg(
+        F.count("start").alias("found"),
+        F.min_by("was_negated", "start").alias("first_negated"),
+        F.max_by("three", "start").alias("three"),
+        F.collect_list("asked").alias("asked"),
+    )
+
+    def mentions(of=lambda a: F.lit(True)) -> Column:
+        return F.aggregate(F.filter("asked", of), F.lit(0).cast("long"), lambda n, a: n + a["n"])
+
+    ok, hit, some = F.col("ok"), F.col("found") > 0, F.size("asked") > 0
+    first = F.try_element_at("three", F.lit(1))
+    total = lambda value: F.coalesce(F.sum(value), F.lit(0).cast("long"))
+    counts = met.join(cases.select("case_id", (F.col("status") == "ok").alias("ok")), "case_id").agg(
+        F.count_if(ok & hit & some).alias("true_positives"),
+        F.count_if(ok & hit).alias("predicted"),
+        total(F.when(ok, some.cast("long")).otherwise(mentions())).alias("expected"),
+        total(F.when(ok & hit, mentions())).alias("mapping_total"),
+        total(F.when(ok & hit, mentions(lambda a: a["hpo_id"] == first))).alias("top1_correct"),
+        total(F.when(ok & hit, mentions(lambda a: F.array_contains("three", a["hpo_id"])))).alias("top3_correct"),
+        total(F.when(ok, mentions(lambda a: a["negated"]))).alias("negation_total"),
+        total(F.when(ok & hit & ~F.col("first_negated"), mentions(lambda a: a["negated"]))).alias("negation_false_positives"),
+    )
+    precision, recall = _ratio(F.col("true_positives"), F.col("predicted")), _ratio(F.col("true_positives"), F.col("expected"))
+    rounded = {
+        "extraction_precision": precision,
+        "extraction_recall": recall,
+        "extraction_f1": F.coalesce(F.try_divide(2 * precision * recall, precision + recall), F.lit(0.0)),
+        "top1_accuracy": _ratio(F.col("top1_correct"), F.col("mapping_total")),
+        "top3_accuracy": _ratio(F.col("top3_correct"), F.col("mapping_total")),
+        "negation_fp_rate": _ratio(F.col("negation_false_positives"), F.col("negation_total")),
+    }
+    return counts.select(
+        "*", *[F.bround(v, 4).alias(k) for k, v in rounded.items()],
+        cases.agg(F.count(F.lit(1)).alias("n")).scalar().alias("total_cases"),
+    )
+
+
 def regression_gate(metrics: DataFrame, metric: str = "top1_accuracy", threshold: float = TOP1_GATE) -> DataFrame:
     return metrics.select(
         F.lit(metric).alias("metric"),

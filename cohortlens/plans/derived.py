@@ -48,6 +48,32 @@ _NOTE = (
     f"{_pick('cast(floor(k/64) as bigint)%5', _L3)})), '|', chr(10)) end"
 )
 
+#: what a reader finds in the sentences of the notes: sentence, text, category, negated
+_ANNOTATED = {
+    "k%8": (
+        (0, "fatigue", "fatigue", False), (1, "nausea", "nausea", True), (2, "fever", "fever", True), (2, "chills", "fever", False),
+        (2, "pain", "pain", False), (3, "Febrile neutropenia", "neutropenia", False), (4, "peripheral neuropathy", "neuropathy", False),
+        (5, "Rash", "rash", True), (6, "SOB", "dyspnea", False),
+    ),
+    "cast(floor(k/8) as bigint)%8": (
+        (0, "vomiting", "vomiting", True), (0, "mouth sores", "mucositis", False), (1, "Cancer-related fatigue", "fatigue", False),
+        (2, "Pulmonary embolism", "thrombosis", True), (4, "Burning pain", "neuropathy", False), (4, "numbness", "neuropathy", False),
+        (5, "Blood  clot", "thrombosis", False), (6, "colitis", "colitis", False), (7, "thrombosis", "thrombosis", True),
+        (7, "diarrhea", "diarrhea", False),
+    ),
+    "cast(floor(k/64) as bigint)%5": (
+        (0, "Low platelets", "thrombocytopenia", False), (1, "Hair loss", "alopecia", False), (1, "itching", "rash", False),
+        (2, "Anemia", "anemia", True), (4, "Low hemoglobin", "anemia", False), (4, "bleeding", "bleeding", True),
+    ),
+}
+#: gold mentions of the notes of patients, as text, category and negation
+NOTE_GOLD_SQL = " union all ".join(
+    f"select concat('PT', lpad(cast(k as varchar(10)),6,'0')) case_id, '{text}' text, '{category}' category, {str(negated).lower()} negated"
+    f" from (select c_custkey k from {{customer}}) where {index} = {i}"
+    for index, found in _ANNOTATED.items()
+    for i, text, category, negated in found
+)
+
 #: 23 patient columns; `{customer}` is the table
 PATIENTS_SQL = f"""
 with b as (

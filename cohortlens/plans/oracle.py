@@ -204,17 +204,22 @@ _VECTOR_MENTIONS = """select vec_id note_id, case when vec_id % 3 = 0 then 'unma
 _SELF = f"select text mention_text, embedding from ({_CONCEPTS})"
 
 
-def _mapping_queries() -> dict[str, str]:
-    def search(k: int) -> str:
-        return _search(_SELF, _CONCEPTS, k)
-
+def _enriched() -> str:
+    """CTEs ``kept`` (mentions of notes), ``ranked`` and ``nested`` (their candidates)."""
     concept_rows = [(c * 100 + i, f"C:{c:03d}", p) for c, ps in enumerate(sy.VOCABULARY.values()) for i, p in enumerate(ps)]
     phrases = [("mention", "mention", p) for ps in sy.VOCABULARY.values() for p in ps]
-    enriched = f"""with {_hits(_NOTES, phrases + _cues())},{_NEGATED},{_resolved('judged', 'kept', 'id')},
+    return f"""{_hits(_NOTES, phrases + _cues())},{_NEGATED},{_resolved('judged', 'kept', 'id')},
       concept as ({_rows(concept_rows, 'vector_idx, hpo_id, text')}),
       {_search(f"select text mention_text, embedding from ({_encoded('select distinct mention as text from kept')})",
                f"select vector_idx, hpo_id, c.text, embedding from concept c join ({_encoded('select distinct text from concept')}) v on v.text = c.text", 3)},
-      nested as (select mention_text, string_agg(hpo_id, ',' order by rank) ids from ranked group by mention_text)
+      nested as (select mention_text, string_agg(hpo_id, ',' order by rank) ids from ranked group by mention_text)"""
+
+
+def _mapping_queries() -> dict[str, str]:
+    def search(k: int) -> str:
+        return _search(_SELF, _CONCEPTS, k)
+
+    enriched = f"""with {_enriched()}
       select id patient_id, s, e, mention, negated, hpo_id, hpo_label, confidence, ids candidate_ids
       from kept k join ranked r on r.mention_text = k.mention and rank = 1 join nested n on n.mention_text = k.mention"""
     return {
@@ -470,6 +475,22 @@ def _evaluation_queries() -> dict[str, str]:
       neg as (select count(*) negation_total, count(*) filter (not p.negated) negation_false_positives
         from expected e left join predicted p on p.case_id = e.case_id and lower(p.text) = lower(e.text)
         where e.negated and e.case_id in (select case_id from cases where status = 'ok'))"""
+    ids = " ".join(f"when {_q(name)} then 'C:{c:03d}'" for c, name in enumerate(sy.VOCABULARY))
+    of_notes = f"""{_enriched()},
+      cases as (select id case_id, case when t is null then 'failed' else 'ok' end status from ({_NOTES})),
+      expected as (select case_id, text, case category {ids} end hpo_id, negated from ({duck(d.NOTE_GOLD_SQL)})),
+      predicted as (select id case_id, lower(mention) text, arg_max(mention, s) surface, arg_min(negated, s) negated from kept
+        where id in (select case_id from cases where status = 'ok') group by all),
+      pe as (select distinct case_id, lower(text) text from expected where case_id in (select case_id from cases where status = 'ok')),
+      prf0 as (select (select count(*) from pe join predicted using (case_id, text)) tp, (select count(*) from predicted) np,
+        (select count(*) from pe) + (select count(*) from expected where case_id in (select case_id from cases where status <> 'ok')) ne),
+      prf as (select tp true_positives, np predicted, ne expected, tp / np::double a, tp / ne::double b from prf0),
+      topk as (select count(*) mapping_total, count(*) filter (exists (select 1 from ranked r where r.mention_text = p.surface and r.rank = 1 and r.hpo_id = e.hpo_id)) top1_correct,
+        count(*) filter (exists (select 1 from ranked r where r.mention_text = p.surface and r.rank <= 3 and r.hpo_id = e.hpo_id)) top3_correct
+        from expected e join predicted p on p.case_id = e.case_id and p.text = lower(e.text)),
+      neg as (select count(*) negation_total, count(*) filter (not p.negated) negation_false_positives
+        from expected e left join predicted p on p.case_id = e.case_id and p.text = lower(e.text)
+        where e.negated and e.case_id in (select case_id from cases where status = 'ok'))"""
     top1 = "round_even(top1_correct / mapping_total::double, 4)"
     prf = "round_even(a, 4) extraction_precision, round_even(b, 4) extraction_recall, round_even(2 * a * b / (a + b), 4) extraction_f1"
     profile = f"""with p as ({_PATIENTS}), t as (select count(*) n from p)
@@ -493,13 +514,15 @@ def _evaluation_queries() -> dict[str, str]:
         "model_report": f"""{grouped}, t as ({_thresholds('select y, p from rows')})
             select 'heuristic' model, section, item, metric, value from ({report})""",
         "cohort_profile": profile,
-        "extraction_prf": f"with {gold} select true_positives, predicted, expected, {prf} from prf",
-        "mapping_topk": f"with {gold} select mapping_total, top1_correct, top3_correct, {top1} top1_accuracy, round_even(top3_correct / mapping_total::double, 4) top3_accuracy from topk",
-        "negation_fp": f"with {gold} select negation_total, negation_false_positives, round_even(negation_false_positives / negation_total::double, 4) negation_fp_rate from neg",
-        "failed_cases": f"with {gold} select status, count(*) expected_mentions, count(distinct case_id) cases from expected join cases using (case_id) group by status",
-        "evaluate_extraction": f"""with {gold} select {prf}, {top1} top1_accuracy, round_even(top3_correct / mapping_total::double, 4) top3_accuracy,
+        "extraction_prf": f"with {of_notes} select true_positives, predicted, expected, {prf} from prf",
+        "mapping_topk": f"with {of_notes} select mapping_total, top1_correct, top3_correct, {top1} top1_accuracy, round_even(top3_correct / mapping_total::double, 4) top3_accuracy from topk",
+        "negation_fp": f"with {of_notes} select negation_total, negation_false_positives, round_even(negation_false_positives / negation_total::double, 4) negation_fp_rate from neg",
+        "failed_cases": f"with {of_notes} select status, count(*) expected_mentions, count(distinct case_id) cases from expected join cases using (case_id) group by status",
+        "evaluate_extraction": f"""with {of_notes} select {prf}, {top1} top1_accuracy, round_even(top3_correct / mapping_total::double, 4) top3_accuracy,
+            round_even(negation_false_positives / negation_total::double, 4) negation_fp_rate, (select count(*) from cases) total_cases from prf, topk, neg""",
+        "regression_gate": f"with {of_notes} select 'top1_accuracy' metric, {top1} as value, 0.7::double threshold, {top1} >= 0.7 passed from topk",
+        "evaluate_vectors": f"""with {gold} select {prf}, {top1} top1_accuracy, round_even(top3_correct / mapping_total::double, 4) top3_accuracy,
             round_even(negation_false_positives / negation_total::double, 4) negation_fp_rate, (select count(*) from cases) total_cases from prf, topk, neg""",
-        "regression_gate": f"with {gold} select 'top1_accuracy' metric, {top1} as value, 0.7::double threshold, {top1} >= 0.7 passed from topk",
     }
 
 

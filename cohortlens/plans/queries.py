@@ -540,25 +540,49 @@ def _gold_candidates(spark: SparkSession, sf: str, predicted: DataFrame) -> Data
     return mp.find_candidates(predicted.select(F.col("text").alias("mention_text"), "embedding"), _concepts(spark, sf), 3)
 
 
+def _note_gold(spark: SparkSession, sf: str) -> tuple[DataFrame, DataFrame]:
+    """Cases of notes, failed where there is none, and what a reader found in them."""
+    cases = _notes(spark, sf).select(
+        F.col("patient_id").alias("case_id"), F.when(F.col("clinical_note").isNull(), "failed").otherwise("ok").alias("status")
+    )
+    ids = F.create_map(*[F.lit(x) for c, name in enumerate(sy.VOCABULARY) for x in (name, f"C:{c:03d}")])
+    expected = d.derive(spark, sf, d.NOTE_GOLD_SQL, "customer")
+    return cases, expected.select("case_id", "text", F.element_at(ids, F.col("category")).alias("hpo_id"), "negated")
+
+
+def _evaluated(spark: SparkSession, sf: str) -> DataFrame:
+    """The whole flow from notes to concepts, judged against the gold mentions."""
+    mapped = mp.enrich_notes(_notes(spark, sf), _note_concepts(spark), ["patient_id"], "clinical_note")
+    return ev.evaluate_mapped(*_note_gold(spark, sf), mapped.withColumnRenamed("patient_id", "case_id"))
+
+
 def extraction_prf(spark: SparkSession, sf: str) -> DataFrame:
-    return ev.extraction_prf(*_gold(spark, sf))
+    return _evaluated(spark, sf).select(
+        "true_positives", "predicted", "expected", "extraction_precision", "extraction_recall", "extraction_f1"
+    )
 
 
 def mapping_topk(spark: SparkSession, sf: str) -> DataFrame:
-    cases, expected, predicted = _gold(spark, sf)
-    return ev.mapping_topk(cases, expected, predicted, _gold_candidates(spark, sf, predicted))
+    return _evaluated(spark, sf).select("mapping_total", "top1_correct", "top3_correct", "top1_accuracy", "top3_accuracy")
 
 
 def negation_fp(spark: SparkSession, sf: str) -> DataFrame:
-    return ev.negation_fp(*_gold(spark, sf))
+    return _evaluated(spark, sf).select("negation_total", "negation_false_positives", "negation_fp_rate")
 
 
 def failed_cases(spark: SparkSession, sf: str) -> DataFrame:
-    cases, expected, _ = _gold(spark, sf)
+    cases, expected = _note_gold(spark, sf)
     return expected.join(cases, "case_id").groupBy("status").agg(F.count(F.lit(1)).alias("expected_mentions"), F.count_distinct("case_id").alias("cases"))
 
 
 def evaluate_extraction(spark: SparkSession, sf: str) -> DataFrame:
+    return _evaluated(spark, sf).select(
+        "extraction_precision", "extraction_recall", "extraction_f1", "top1_accuracy", "top3_accuracy", "negation_fp_rate", "total_cases"
+    )
+
+
+def evaluate_vectors(spark: SparkSession, sf: str) -> DataFrame:
+    """The metrics over predictions of every vector, with candidates by vector search."""
     cases, expected, predicted = _gold(spark, sf)
     return ev.evaluate_extraction(cases, expected, predicted, _gold_candidates(spark, sf, predicted))
 
@@ -721,7 +745,7 @@ _NAMED = (
     fit_logistic, fit_boosted, calibrate_isotonic, predict_ensemble, stratified_cv, save_load_model, score_patients_model,
     heuristic_risk, abnormal_labs, risk_summary, summarize_risk,
     auroc, auprc, brier, calibration_curve, threshold_table, best_threshold, age_groups, subgroup_auroc, subgroup_table,
-    model_report, cohort_profile, extraction_prf, mapping_topk, negation_fp, failed_cases, evaluate_extraction,
+    model_report, cohort_profile, extraction_prf, mapping_topk, negation_fp, failed_cases, evaluate_extraction, evaluate_vectors,
     regression_gate, train_report_patients,
     read_ontology, read_cues, read_gold, read_notes, patients_round_trip, terms_round_trip, vectors_round_trip, report_round_trip,
     stream_phenotypes_notes, stream_concepts_notes, stream_risk_patients,

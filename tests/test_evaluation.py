@@ -117,3 +117,37 @@ def test_split_and_folds_keep_shares(spark):
     split = {(r.y, r.split): r["count"] for r in ft.stratified_split(rows, "y").groupBy("y", "split").count().collect()}
     assert split == {(True, "test"): 50, (True, "train"): 200, (False, "test"): 150, (False, "train"): 600}
     assert {r["count"] for r in ft.stratified_folds(rows, "y", 5).groupBy("y", "fold").count().collect()} == {50, 150}
+
+
+def test_one_pass_gives_what_the_single_metrics_give(spark):
+    import random
+
+    draw = random.Random(3)
+    cases = [(c, "failed" if c % 5 == 4 else "ok") for c in range(12)]
+    words = [f"w{i}" for i in range(6)]
+    found = {(draw.randrange(12), draw.randrange(300)) for _ in range(120)}
+    surface = lambda w: w.upper() if draw.random() < 0.4 else w
+    mapped = [(c, surface(draw.choice(words)), s, draw.random() < 0.4) for c, s in sorted(found) if c % 5 != 4]
+    ids = {t: draw.sample(range(8), draw.randrange(5)) for t in {m[1] for m in mapped}}
+    asked = [(draw.randrange(12), surface(draw.choice(words)), f"C{draw.randrange(8)}", draw.random() < 0.5) for _ in range(80)]
+    cases_df = spark.createDataFrame(cases, "case_id int, status string")
+    expected = spark.createDataFrame(asked + asked[:9], "case_id int, text string, hpo_id string, negated boolean")
+    predicted = spark.createDataFrame(mapped, "case_id int, text string, start int, negated boolean")
+    candidates = spark.createDataFrame(
+        [(t, r + 1, f"C{i}", "", 0.5) for t, own in ids.items() for r, i in enumerate(own)],
+        "mention_text string, rank int, hpo_id string, hpo_label string, confidence double",
+    )
+    listed = candidates.groupBy("mention_text").agg(
+        F.array_sort(F.collect_list(F.struct("rank", "hpo_id", "hpo_label", "confidence"))).alias("candidates")
+    )
+    both = predicted.join(listed.withColumnRenamed("mention_text", "text"), "text", "left")
+    got = ev.evaluate_mapped(cases_df, expected, both).first().asDict()
+    want = {}
+    for part in (
+        ev.extraction_prf(cases_df, expected, predicted), ev.mapping_topk(cases_df, expected, predicted, candidates),
+        ev.negation_fp(cases_df, expected, predicted),
+    ):
+        want |= part.first().asDict()
+    assert got == want | {"total_cases": 12} and 0 < got["top1_correct"] < got["top3_correct"]
+    nothing = ev.evaluate_mapped(cases_df.limit(0), expected.limit(0), both.limit(0)).first()
+    assert (nothing.expected, nothing.extraction_f1, nothing.total_cases) == (0, 0.0, 0)
