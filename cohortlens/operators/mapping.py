@@ -7,10 +7,11 @@ from collections.abc import Iterator, Sequence
 
 import numpy as np
 import pyarrow as pa
+from pyspark import Broadcast
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from ..functions.storage import staged
+from ..functions.storage import Scratch, new_folder, staged
 from ..functions.vectors import bound, bucket_counts, confidence, hashed_buckets, unit
 from .negation import cue_table, negated_mentions
 from .text import MENTION_KIND
@@ -25,10 +26,8 @@ DIGEST_DISCLAIMER = "This output is for decision support only and should not be
 # ----------------------------------------------------------------------------------
 
 #: a concept matrix up to this many bytes goes to every executor; a larger one
-#: meets the queries block by block
+#: does so in blocks of half of it, one after another
 BROADCAST_MATRIX_BYTES = 256 << 20
-#: vectors per side of a block
-BLOCK_VECTORS = 16_384
 #: scores held at once by a task
 SCORES_AT_ONCE = 1 << 22
 #: scores closer than this are ties, decided by vector_idx
@@ -104,7 +103,7 @@ def nearest(
     concepts: DataFrame,
     top_k: int = 3,
     broadcast_bytes: int = BROADCAST_MATRIX_BYTES,
-    block: int = BLOCK_VECTORS,
+    block: int | None = None,
 ) -> DataFrame:
     """Best ``3 * top_k`` concept vectors per mention text, by inner product.
 
@@ -133,7 +132,8 @@ def nearest(
     )
     if size["rows"] * dim * 8 + size["label_bytes"] <= broadcast_bytes:
         return _nearest_broadcast(wanted, known, dim, fetch)
-    return _nearest_blocks(wanted, known, dim, fetch, size["rows"], block)
+    per_row = dim * 8 + size["label_bytes"] // size["rows"] + 1
+    return _nearest_blocks(wanted, known, dim, fetch, size["rows"], block or max(1, BROADCAST_MATRIX_BYTES // 2 // per_row))
 
 
 def _columns(table: pa.Table, dim: int) -> tuple:
@@ -163,41 +163,71 @@ def _nearest_broadcast(wanted: DataFrame, known: DataFrame, dim: int, fetch: int
 
 
 def _nearest_blocks(wanted: DataFrame, known: DataFrame, dim: int, fetch: int, rows: int, block: int) -> DataFrame:
-    """Every block of queries meets every block of concepts in a task of its own.
+    """Concepts come by in broadcast blocks of bounded size; texts stay where they are.
 
-    A pair of blocks gives back only its best hits per query, so what is
-    merged is ``fetch`` rows per query and concept block.
+    Every pass reads the texts with the best hits they have so far, and writes
+    them with those of one more block put in.  A block adds only what beats a
+    text's last place, so most blocks add little; nothing is exchanged.
     """
-    wanted = staged(wanted, "queries")
-    concept_blocks = math.ceil(rows / block)
-    query_blocks = max(1, math.ceil(wanted.count() / block))
-    left = wanted.select(
-        "*",
-        F.pmod(F.xxhash64("mention_text"), F.lit(query_blocks)).cast("int").alias("_q"),
-        F.explode(F.sequence(F.lit(0), F.lit(concept_blocks - 1))).alias("_c"),
-    )
-    right = known.select(
-        "*",
-        F.pmod(F.xxhash64("vector_idx"), F.lit(concept_blocks)).cast("int").alias("_c"),
-        F.explode(F.sequence(F.lit(0), F.lit(query_blocks - 1))).alias("_q"),
-    )
-
-    def pair(queries: pa.Table, concepts: pa.Table) -> pa.Table:
-        empty = pa.schema(
-            [("mention_text", pa.string()), ("vector_idx", pa.int64()), ("hpo_id", pa.string()),
-             ("hpo_label", pa.string()), ("score", pa.float64())]
-        ).empty_table()
-        if not queries.num_rows or not concepts.num_rows:
-            return empty
-        q = queries.combine_chunks()
-        batches = _hit_batches(
-            q.column("mention_text").chunk(0), _matrix(q.column("embedding").chunk(0), dim), _columns(concepts, dim), fetch
-        )
-        return pa.Table.from_batches(batches, empty.schema)
-
-    hits = left.groupBy("_q", "_c").cogroup(right.groupBy("_q", "_c")).applyInArrow(pair, _HITS)
-    best = Window.partitionBy("mention_text").orderBy(F.desc("score"), "vector_idx")
-    return hits.withColumn("_n", F.row_number().over(best)).where(F.col("_n") <= fetch).drop("_n")
+    spark = wanted.sparkSession
+    blocks = math.ceil(rows / block)
+    path = new_folder(spark, "concepts")
+    known.withColumn("_c", F.pmod(F.xxhash64("vector_idx"), F.lit(blocks)).cast("int")).write.partitionBy("_c").parquet(path)
+    stored = spark.read.parquet(path)
+    none = F.array().cast(f"array<struct<{_BEST}>>").alias("best")
+    scratch = Scratch(spark, "search")
+    state = scratch.table(wanted.select("mention_text", "embedding", none), "search")
+    for c in range(blocks):
+        one = stored.where(F.col("_c") == c).select(*known.columns).toArrow()
+        if not one.num_rows:
+            continue
+        shared = spark.sparkContext.broadcast(_columns(one, dim))
+        before, state = state, scratch.table(state.mapInArrow(_better(shared, dim, fetch), state.schema), "search")
+        shared.unpersist()
+        scratch.drop(before)
+    return state.select("mention_text", F.inline("best"))
+
+
+_BEST = "vector_idx: bigint, hpo_id: string, hpo_label: string, score: double"
+
+
+def _better(shared: Broadcast, dim: int, fetch: int):
+    """Texts with the best hits of those they have and those of a block."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            held = b.column(2)
+            own = held.flatten()
+            size = held.value_lengths().to_numpy()
+            at, had = np.repeat(np.arange(b.num_rows), size), own.field("score").to_numpy(zero_copy_only=False)
+            last = np.full(b.num_rows, -np.inf)
+            full = size == fetch
+            last[full] = had[np.cumsum(size)[full] - 1]
+            idx, ids, labels, matrix = shared.value
+            rows, cols, found = [at], [np.zeros(0, np.int64)], [had]
+            for r, c, s in _top(_matrix(b.column(1), dim), matrix, idx, fetch):
+                good = s >= last[r]
+                rows.append(r[good])
+                cols.append(c[good])
+                found.append(s[good])
+            cols = np.concatenate(cols)
+            hits = pa.StructArray.from_arrays(
+                [
+                    pa.concat_arrays([own.field(k), new.take(pa.array(cols)).cast(own.field(k).type)])
+                    for k, new in (("vector_idx", pa.array(idx, pa.int64())), ("hpo_id", ids), ("hpo_label", labels))
+                ] + [pa.array(np.concatenate(found))],
+                ["vector_idx", "hpo_id", "hpo_label", "score"],
+            )
+            rows, found = np.concatenate(rows), np.concatenate(found)
+            order = np.lexsort((hits.field("vector_idx").to_numpy(), -found, rows))
+            place = np.arange(len(order)) - np.searchsorted(rows[order], rows[order])
+            order = order[place < fetch]
+            ends = pa.array(np.searchsorted(rows[order], np.arange(b.num_rows + 1)), pa.int32())
+            yield pa.RecordBatch.from_arrays(
+                [b.column(0), b.column(1), pa.ListArray.from_arrays(ends, hits.take(pa.array(order)))], b.schema.names
+            )
+
+    return run
 
 
 def dedupe_concepts(hits: DataFrame) -> DataFrame:

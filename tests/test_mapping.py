@@ -108,3 +108,20 @@ def test_concepts_with_nan_take_no_place(spark):
     queries = spark.createDataFrame([("q", [1.0, 0.0])], "mention_text string, embedding array<float>")
     got = mp.nearest(queries, spark.createDataFrame(rows, CONCEPTS), top_k=1).collect()
     assert {r.hpo_id for r in got} == {"A", "C"}
+
+
+def test_texts_stay_where_they_are(spark, monkeypatch):
+    """With many concept blocks no row of the texts, and no hit, goes through an exchange."""
+    rng = np.random.default_rng(5)
+    concepts = [(i, f"C{i % 40}", f"t{i}", [float(x) for x in rng.integers(-3, 4, 8)]) for i in range(500)]
+    queries = [(f"q{i}", [float(x) for x in rng.integers(-3, 4, 8)]) for i in range(60)]
+    concepts = spark.createDataFrame(concepts, "vector_idx bigint, hpo_id string, text string, embedding array<float>")
+    queries = spark.createDataFrame(queries, "mention_text string, embedding array<float>")
+    plans = []
+    table = mp.Scratch.table
+    monkeypatch.setattr(mp.Scratch, "table", lambda self, df, name: plans.append(df._jdf.queryExecution().toString()) or table(self, df, name))
+    once = mp.nearest(queries, concepts, 2)
+    blocks = mp.nearest(queries, concepts, 2, broadcast_bytes=0, block=37)
+    rows = lambda df: sorted(map(tuple, df.select("mention_text", "vector_idx", "hpo_id", "hpo_label", "score").collect()))
+    assert rows(blocks) == rows(once) and len(rows(blocks)) == 60 * 6
+    assert len(plans) > 10 and not any("Exchange" in p for p in plans)
