@@ -8,6 +8,8 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from ..functions.arrays import running_start
+from ..functions.bits import bit_table, marked
+from ..functions.storage import staged
 from .text import CUT_KIND, MENTION_KIND, _tokens, compile_lexicon, match_phrases, phrase_table, resolve_overlaps, split_pieces
 
 # --- fixed values: cue phrases ----------------------------------------------
@@ -123,26 +125,28 @@ def align_spans(notes: DataFrame, spans: DataFrame, keys: Sequence[str], text: s
     Adds ``token_start``, ``token_end``, ``n_tokens`` and the first and last
     sentence touched; all null where a span meets no token.  Spans and pieces
     meet by text key and character bucket, so a text with many spans, or a very
-    long one, is spread over its buckets.
+    long one, is spread over its buckets.  A set of bits made of the spans
+    leaves out the pieces of other buckets before they are cut into tokens or
+    exchanged.
     """
+    wanted = spans.select(*keys, F.col("start"), F.col("end")).where(F.col("end") > F.col("start")).distinct()
+    wanted = wanted.withColumn("_b", F.explode(F.sequence(_bucket("start"), _bucket("end", -1))))
+    wanted = staged(wanted, "spans")
+    met = F.xxhash64(*keys, "_b")
+    touched, bits = bit_table(wanted.select(*keys, "_b").distinct(), met)
+    cut = split_pieces(notes, keys, text).withColumn("_stop", F.col("offset") + F.length("piece")).select(
+        *keys, "sentence", "piece", "_stop", F.col("offset").alias("_first"),
+        F.explode(F.sequence(_bucket("offset"), _bucket("_stop", -1))).alias("_b"),
+    )
     pieces = (
-        split_pieces(notes, keys, text)
+        marked(cut, met, touched, bits, "_met")
+        .where("_met")
         .withColumn("_w", _tokens(F.col("piece"), 1))
         .withColumn("_s", _tokens(F.col("piece"), 0))
         .withColumn("_l", F.expr("transform(_s, s -> length(s))"))
         .withColumn("_o", running_start("_l", chunk=16))
-        .withColumn("_stop", F.col("offset") + F.length("piece"))
-        .select(
-            *keys,
-            "sentence",
-            "_stop",
-            F.col("offset").alias("_first"),
-            F.arrays_zip(F.col("_w").alias("w"), F.col("_o").alias("o")).alias("_t"),
-            F.explode(F.sequence(_bucket("offset"), _bucket("_stop", -1))).alias("_b"),
-        )
+        .select(*keys, "sentence", "_stop", "_first", F.arrays_zip(F.col("_w").alias("w"), F.col("_o").alias("o")).alias("_t"), "_b")
     )
-    wanted = spans.select(*keys, F.col("start"), F.col("end")).where(F.col("end") > F.col("start")).distinct()
-    wanted = wanted.withColumn("_b", F.explode(F.sequence(_bucket("start"), _bucket("end", -1))))
     here = F.col("_first")
     touching = F.filter(
         "_t",

@@ -15,6 +15,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from ..functions.arrays import running_start
+from ..functions.bits import bit_table, marked
 from ..functions.grammar import KEY_SEP, PIECE, PIECE_ENDS, PIECE_TOKENS, SENTENCE_ENDERS, TOKEN
 
 #: a lexicon up to this size is probed in a broadcast hash join; beyond it whole
@@ -255,7 +256,10 @@ def match_phrases(
         # phrase that is everywhere is spread over copies of its row
         lengths = F.array(*[F.lit(n) for n in sorted(size["lengths"])])
         salt = F.pmod(F.xxhash64(*keys, "offset", "_i"), F.lit(PHRASE_SALTS)).cast("int")
-        spans = tokens.where(F.col("_t") != " ").select("*", F.explode(lengths).alias("n_tokens"))
+        # most tokens start no phrase, which a set of bits tells before anything is laid out or exchanged
+        starts, bits = bit_table(lexicon.select("first_token").distinct(), F.xxhash64("first_token"), size["rows"])
+        able = marked(tokens.where(F.col("_t") != " "), F.xxhash64(F.lower("_t")), starts, bits, "_able").where("_able").drop("_able")
+        spans = able.select("*", F.explode(lengths).alias("n_tokens"))
         copies = lexicon.drop("first_token").withColumn("_salt", F.explode(F.sequence(F.lit(0), F.lit(PHRASE_SALTS - 1))))
         narrow = located(spans, [key_at.alias("phrase_key"), salt.alias("_salt")])
         # a span at the end of a text has fewer tokens than asked for, so the count is joined too
