@@ -4,7 +4,9 @@ Rows say which fits they train.  All fits grow together: one Spark job per level
 of depth adds up the gradients of every fit, node, feature and bin, the driver
 chooses the splits from these sums, and the next job goes on from there.  So the
 number of jobs is rounds times depth however many fits there are, and what comes
-back does not depend on the number of rows.
+back does not depend on the number of rows.  A table of one block of rows (at most
+``BLOCK_ROWS``) needs no jobs between levels: it goes to one task per fit, which
+does the same steps.
 
 Blocks of rows hold the margins of every fit between rounds.  They are kept in
 memory and written to ``spark.checkpoint.dir`` every ``CHECKPOINT`` rounds, so a
@@ -16,7 +18,7 @@ from __future__ import annotations
 import functools
 import hashlib
 import pickle
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 from dataclasses import dataclass
 from multiprocessing.pool import ThreadPool
 
@@ -44,6 +46,8 @@ LEAST_CHILD = 1.0
 
 #: bins per feature
 BINS = 32
+#: saved fits of other versions of this algorithm are not taken
+VERSION = 2
 #: rounds between checkpoints
 CHECKPOINT = 25
 #: rows per block, and per task in a small table
@@ -230,6 +234,80 @@ def _level(state: RDD, trees: list, tree: int, depth: int, plan: dict) -> tuple[
     return summed.treeReduce(_add) if state.getNumPartitions() > FLAT else summed.reduce(_add)
 
 
+def _rounds(fits: int, plan: dict, level: Callable, grow: Callable) -> tuple[list, list]:
+    """All rounds: ``level`` adds up the sums of a level, ``grow`` puts a round's trees into the margins."""
+    grown, losses = [], []
+    features, depth = len(plan["starts"]), plan["depth"]
+    inner = 2**depth - 1
+    # a node that is not split sends all its rows left
+    none = lambda: [(np.zeros(inner, np.int64), np.full(inner, 255, np.int64)) for _ in range(fits)]
+    for tree in range(plan["trees"]):
+        now, values = none(), np.zeros((fits, 2**depth))
+        allowed = np.zeros(features, bool)
+        drawn = np.random.default_rng((plan["seed"], tree)).permutation(features)
+        allowed[drawn[: max(1, int(plan["columns"] * features))]] = True
+        for d in range(depth):
+            sums, loss = level(now, tree, d)
+            if d == 0:
+                losses.append(loss)
+            first = 2**d - 1
+            for k in range(fits):
+                feature, upto, left, right = _splits(sums[k], plan["starts"], allowed)
+                split = feature >= 0
+                now[k][0][first : first + 2**d][split] = feature[split]
+                now[k][1][first : first + 2**d][split] = upto[split]
+                if d == depth - 1:
+                    both = np.stack([left, right], 1).reshape(-1, 2)
+                    values[k] = -plan["rate"] * both[:, 0] / (both[:, 1] + PENALTY)
+        grown.append((now, values))
+        grow(now, values, tree)
+    losses.append(level(none(), plan["trees"], 0)[1])
+    return grown, losses
+
+
+def _over_blocks(packed: DataFrame, fits: int, plan: dict) -> tuple[list, list]:
+    """A job per level over all blocks."""
+    state = packed.rdd.map(lambda r: pickle.loads(r[0])).map(lambda b: b | {"margin": np.zeros(b["member"].shape)})
+    held = [state.persist(StorageLevel.MEMORY_AND_DISK)]
+
+    def grow(now: list, values: np.ndarray, tree: int) -> None:
+        after = held[-1].map(functools.partial(_grown, trees=now, values=values)).persist(StorageLevel.MEMORY_AND_DISK)
+        if (tree + 1) % CHECKPOINT == 0:
+            after.checkpoint()
+        held.append(after)
+        if len(held) > 2:  # the one before last is no more read once the last is there
+            held.pop(0).unpersist()
+
+    out = _rounds(fits, plan, lambda now, tree, d: _level(held[-1], now, tree, d, plan), grow)
+    for s in held:
+        s.unpersist()
+    return out
+
+
+def _in_tasks(packed: DataFrame, fits: int, plan: dict) -> tuple[list, list]:
+    """A task per fit, for a table that is one block: of bounded size, so it goes to every task."""
+    context = packed.sparkSession.sparkContext
+    block = context.broadcast([r[0] for r in packed.collect()])
+
+    def one(k: int) -> tuple[list, list]:
+        parts = [pickle.loads(b) for b in block.value]
+        held = [p | {"member": p["member"][:, k : k + 1], "margin": np.zeros((len(p["y"]), 1))} for p in parts]
+        mine = plan | {"positive": plan["positive"][k : k + 1]}
+
+        def level(now: list, tree: int, d: int) -> tuple[np.ndarray, np.ndarray]:
+            return functools.reduce(_add, (_sums(p, now, tree, d, mine) for p in held))
+
+        def grow(now: list, values: np.ndarray, tree: int) -> None:
+            held[:] = [_grown(p, now, values) for p in held]
+
+        return _rounds(1, mine, level, grow)
+
+    made = context.parallelize(range(fits), fits).map(one).collect()
+    block.unpersist()
+    grown = [([m[0][t][0][0] for m in made], np.stack([m[0][t][1][0] for m in made])) for t in range(plan["trees"])]
+    return grown, [np.stack([m[1][t][0] for m in made]) for t in range(plan["trees"] + 1)]
+
+
 def boost(
     rows: DataFrame,
     fits: int,
@@ -269,43 +347,13 @@ def boost(
     sizes = np.array([len(c) + 1 for c in cuts])
     plan = {"starts": np.cumsum(sizes) - sizes, "total": int(sizes.sum()), "positive": positive, "seed": seed, "rows": row_sample}
 
+    plan |= {"trees": trees, "depth": depth, "rate": rate, "columns": column_sample}
     tasks = max(min(context.defaultParallelism, counts["n"] // TASK_ROWS), -(-counts["n"] // BLOCK_ROWS), 1)
-    packed = flat.repartition(tasks).mapInArrow(_blocks(cuts), "block binary")
-    state = packed.rdd.map(lambda r: pickle.loads(r[0])).map(lambda b: b | {"margin": np.zeros(b["member"].shape)})
-    state = state.persist(StorageLevel.MEMORY_AND_DISK)
-    held = [state]
-    grown, losses = [], []
+    if counts["n"] <= BLOCK_ROWS:
+        grown, losses = _in_tasks(flat.coalesce(1).mapInArrow(_blocks(cuts), "block binary"), fits, plan)
+    else:
+        grown, losses = _over_blocks(flat.repartition(tasks).mapInArrow(_blocks(cuts), "block binary"), fits, plan)
     inner = 2**depth - 1
-    for tree in range(trees):
-        # a node that is not split sends all its rows left
-        now = [(np.zeros(inner, np.int64), np.full(inner, 255, np.int64)) for _ in range(fits)]
-        allowed = np.zeros(len(cuts), bool)
-        allowed[np.random.default_rng((seed, tree)).permutation(len(cuts))[: max(1, int(column_sample * len(cuts)))]] = True
-        values = np.zeros((fits, 2**depth))
-        for d in range(depth):
-            sums, loss = _level(state, now, tree, d, plan)
-            if d == 0:
-                losses.append(loss)
-            first = 2**d - 1
-            for k in range(fits):
-                feature, upto, left, right = _splits(sums[k], plan["starts"], allowed)
-                split = feature >= 0
-                now[k][0][first : first + 2**d][split] = feature[split]
-                now[k][1][first : first + 2**d][split] = upto[split]
-                if d == depth - 1:
-                    both = np.stack([left, right], 1).reshape(-1, 2)
-                    values[k] = -rate * both[:, 0] / (both[:, 1] + PENALTY)
-        grown.append((now, values))
-        state = state.map(functools.partial(_grown, trees=now, values=values)).persist(StorageLevel.MEMORY_AND_DISK)
-        if (tree + 1) % CHECKPOINT == 0:
-            state.checkpoint()
-        held.append(state)
-        if len(held) > 2:  # the one before last is no more read once the last is there
-            held.pop(0).unpersist()
-    none = [(np.zeros(inner, np.int64), np.full(inner, 255, np.int64)) for _ in range(fits)]
-    losses.append(_level(state, none, trees, 0, plan)[1])
-    for s in held:
-        s.unpersist()
     means = np.stack([l[:, 0] / np.maximum(l[:, 1], 1e-300) for l in losses])
     out = []
     for k in range(fits):
@@ -331,7 +379,7 @@ def boost_saved(rows: DataFrame, fits: int, **options) -> list[BoostedTrees]:
         *[F.sum(F.when(F.element_at("member", k + 1), F.col("h"))).alias(f"s{k}") for k in range(fits)],
         *[F.count_if(F.element_at("member", k + 1)).alias(f"n{k}") for k in range(fits)],
     ).first()
-    used = (TREES, TREE_DEPTH, TREE_RATE, ROW_SAMPLE, COLUMN_SAMPLE, PENALTY, LEAST_CHILD, BINS, SEED, sorted(options.items()))
+    used = (VERSION, TREES, TREE_DEPTH, TREE_RATE, ROW_SAMPLE, COLUMN_SAMPLE, PENALTY, LEAST_CHILD, BINS, SEED, sorted(options.items()))
     marks = [hashlib.sha256(repr((used, told["all"], told[f"s{k}"], told[f"n{k}"])).encode()).hexdigest()[:32] for k in range(fits)]
     paths = [f"{shared_dir(spark)}/boosted/{m}" for m in marks]
     missing = [k for k in range(fits) if not exists(spark, f"{paths[k]}/base/_SUCCESS")]

@@ -132,7 +132,13 @@ def brute_boost(x, y, cuts, drawn, columns, trees, depth=4, rate=0.05):
     return margin, losses
 
 
-def test_boosting_is_that_of_the_plain_algorithm(spark):
+@pytest.mark.parametrize("block", [20_000, 150])
+def test_boosting_is_that_of_the_plain_algorithm(spark, monkeypatch, block):
+    """In a task per fit, and in a job per level over blocks."""
+    from cohortlens.operators import boosting
+
+    monkeypatch.setattr(boosting, "BLOCK_ROWS", block)
+    monkeypatch.setattr(boosting, "CHECKPOINT", 5)
     rng = np.random.default_rng(7)
     x = np.stack([rng.integers(0, 9, 400), rng.normal(size=400).round(2), rng.integers(0, 2, 400)], 1).astype(float)
     y = (x[:, 0] + 2 * x[:, 1] + rng.normal(size=400) > 6).astype(float)
@@ -156,9 +162,10 @@ def test_boosting_is_that_of_the_plain_algorithm(spark):
     assert np.array_equal(both[1].feature, alone.feature) and np.allclose(both[1].value, alone.value)
 
 
-def test_fits_are_saved_and_found_again(spark, rows, monkeypatch):
+def test_fits_are_saved_and_found_again(spark, rows, monkeypatch, tmp_path):
     from cohortlens.operators import boosting
 
+    monkeypatch.setattr(boosting, "shared_dir", lambda _: str(tmp_path))
     prepared = ft.prepare_features(rows[0].withColumn("label", F.col("adverse_event").cast("double")), keep=["label"])
     table = ft.FeaturePlan.fit(prepared).assemble(prepared, ["patient_id", "label"])
     members = lambda *of: F.array(*[F.pmod(F.hash("patient_id"), F.lit(3)) != k for k in of])
