@@ -13,6 +13,7 @@ from ..functions.grammar import ABBREVIATIONS
 from ..operators import evaluation as ev
 from ..operators import features as ft
 from ..operators import mapping as mp
+from ..operators import models as md
 from ..operators import negation as ng
 from ..operators import scoring as sc
 from ..operators import symptoms as sy
@@ -386,6 +387,16 @@ def _feature_queries() -> dict[str, str]:
         "stratified_folds": f"select patient_id, cast((r - 1) % 5 as int) fold from ({_SPLIT})",
         "split_flags": f"""with {_rollup(_NOTES, _CATS, False)} select id patient_id, symptom_count from rolled
             where id in (select patient_id from ({_SPLIT}) where r <= round(n * 0.20::double))""",
+        "logistic_gradient": "select unnest([" + ", ".join(map(_q, [
+            *ft.NUMERIC, *(f"cancer_type={c}" for c in _CANCERS[1:]), *(f"treatment={t}" for t in _TREATMENTS[1:]), *ft.NOTE_FLAGS, *ft.DEMOGRAPHIC,
+            "intercept",
+        ])) + "]) feature, true flat",
+        "boosted_losses": f"select cast(f.range as int) fold, cast(r.range as int) round, true falls from range({md.CALIBRATION_FOLDS}) f, range(1, {md.TREES} + 1) r",
+        "isotonic_folds": f"""select cast((r - 1 - round(n * 0.20::double)) % {md.CALIBRATION_FOLDS} as int) fold, count(*) n,
+            cast(count(*) filter (adverse_event) as bigint) events, cast(count(*) filter (adverse_event) as double) expected_events, true rising
+            from ({_SPLIT}) where r > round(n * 0.20::double) group by 1""",
+        "models_survive_storage": f"select patient_id, true same from ({_SPLIT}) where r <= round(n * 0.20::double)",
+        "model_tiers": f"select patient_id, '{md.LOGISTIC}' model_used, true is_share, true tier_fits from ({_PATIENTS})",
         "heuristic_risk": f"{scored} select patient_id, risk_probability, risk_tier, 'heuristic' model_used from scored",
         "abnormal_labs": f"select patient_id, {_LABS} labs from ({_PATIENTS})",
         "summarize_risk": f"""{scored} select patient_id, categories_present, symptom_count, max_grade, risk_probability, risk_tier,

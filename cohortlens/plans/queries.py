@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+import numpy as np
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -445,6 +446,70 @@ def score_patients_model(spark: SparkSession, sf: str) -> DataFrame:
     return sc.score_patients(split, flags, models).select("patient_id", "risk_probability", "risk_tier", "model_used")
 
 
+# what holds for fitted models whatever their numbers are, and what SQL can count
+
+
+def logistic_gradient(spark: SparkSession, sf: str) -> DataFrame:
+    """Whether the penalised loss is flat at the fitted coefficients, feature by feature."""
+    from pyspark.ml.functions import vector_to_array
+
+    split, flags = _labelled(spark, sf)
+    train = ft.prepare_features(split.where(F.col("split") == "train").withColumn("label", F.col("adverse_event").cast("double")), flags, keep=["label"])
+    plan = ft.FeaturePlan.fit(train)
+    rows = staged(plan.assemble(train, ["label"]), "rows")
+    model, w = md.fit_logistic(rows), ft.class_weights(rows, "label").first()
+    weight = F.when(F.col("label") == 1, F.lit(w["weight_pos"])).otherwise(F.lit(w["weight_neg"]))
+    gap = weight * (vector_to_array("probability")[1] - F.col("label"))
+    x = F.concat(vector_to_array("features"), F.array(F.lit(1.0)))
+    sums = model.transform(rows).select(gap.alias("gap"), F.posexplode(x).alias("at", "x")).groupBy("at").agg(
+        F.sum(F.col("gap") * F.col("x")).alias("slope"), F.sum(F.abs(F.col("gap") * F.col("x"))).alias("size")
+    )
+    named = [(i, c, float(b) / md.LOGISTIC_C) for i, (c, b) in enumerate(zip(plan.columns, model.coefficients.toArray(), strict=True))]
+    names = spark.createDataFrame([*named, (len(named), "intercept", 0.0)], "at int, feature string, pull double")
+    flat = F.abs(F.col("slope") + F.col("pull")) <= 1e-3 * (F.col("size") + F.abs("pull")) + 1e-6
+    return names.join(sums, "at").select("feature", flat.alias("flat"))
+
+
+def _calibrated(spark: SparkSession, sf: str, name: str, fit) -> tuple[md.CalibratedModel, DataFrame]:
+    """A calibrated model of the training rows, and these rows with their folds."""
+    split, flags = _labelled(spark, sf)
+    train = ft.prepare_features(split.where(F.col("split") == "train").withColumn("label", F.col("adverse_event").cast("double")), flags, keep=["label"])
+    rows = staged(ft.FeaturePlan.fit(train).assemble(train, ["patient_id", "label"]), "rows")
+    return md.calibrate_isotonic(rows, fit), ft.stratified_folds(rows, "label", md.CALIBRATION_FOLDS)
+
+
+def boosted_losses(spark: SparkSession, sf: str) -> DataFrame:
+    """Whether the training loss of each fold's trees falls in each round."""
+    model, _ = _calibrated(spark, sf, md.BOOSTED, md.fit_boosted)
+    rows = [(k, r, b < a) for k, (trees, _) in enumerate(model.pairs) for r, (a, b) in enumerate(zip(trees.losses, trees.losses[1:]), 1)]
+    return spark.createDataFrame(rows, "fold int, round int, falls boolean")
+
+
+def isotonic_folds(spark: SparkSession, sf: str) -> DataFrame:
+    """An isotonic map keeps the number of events of the rows it was fitted on, and never falls."""
+    model, dealt = _calibrated(spark, sf, md.LOGISTIC, md.fit_logistic)
+    out = None
+    for k in range(len(model.pairs)):
+        one = md.CalibratedModel(model.pairs[k : k + 1]).predict(dealt.where(F.col("fold") == k))
+        part = one.groupBy("fold").agg(
+            F.count(F.lit(1)).alias("n"), F.sum("label").cast("bigint").alias("events"), F.bround(F.sum("probability"), 6).alias("expected_events")
+        ).withColumn("rising", F.lit(bool((np.diff(model.pairs[k][1].predictions.toArray()) >= 0).all())))
+        out = part if out is None else out.unionByName(part)
+    return out
+
+
+def models_survive_storage(spark: SparkSession, sf: str) -> DataFrame:
+    return save_load_model(spark, sf).select("patient_id", "same")
+
+
+def model_tiers(spark: SparkSession, sf: str) -> DataFrame:
+    """Every patient is scored by the model, and tiered by its probability."""
+    scored = score_patients_model(spark, sf)
+    fits = sc.risk_tier(F.col("risk_probability")) == F.col("risk_tier")
+    near = F.exists(F.array(*map(F.lit, (sc.HIGH_TIER, sc.MEDIUM_TIER))), lambda t: F.abs(F.col("risk_probability") - t) < 1e-4)  # rounded
+    return scored.select("patient_id", "model_used", F.col("risk_probability").between(0, 1).alias("is_share"), (fits | near).alias("tier_fits"))
+
+
 # ---- scoring --------------------------------------------------------------------------
 
 
@@ -743,6 +808,7 @@ _NAMED = (
     validate_notes, validate_patients,
     features, scale_numeric, one_hot, assemble, class_weights, stratified_split, stratified_folds, split_flags,
     fit_logistic, fit_boosted, calibrate_isotonic, predict_ensemble, stratified_cv, save_load_model, score_patients_model,
+    logistic_gradient, boosted_losses, isotonic_folds, models_survive_storage, model_tiers,
     heuristic_risk, abnormal_labs, risk_summary, summarize_risk,
     auroc, auprc, brier, calibration_curve, threshold_table, best_threshold, age_groups, subgroup_auroc, subgroup_table,
     model_report, cohort_profile, extraction_prf, mapping_topk, negation_fp, failed_cases, evaluate_extraction, evaluate_vectors,
