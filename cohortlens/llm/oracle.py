@@ -8,10 +8,8 @@ from cohortlens.llm.queries import MIX, URL_RULES
 from cohortlens.llm.revisits import TRACKING
 from cohortlens.llm.url_templates import DIFFERENT, LABELLED, PRIOR, REJECT
 
-#: levels that the twin of op10 unrolls; the given tables have two
+#: levels that the twin of op10 unrolls, beyond which it takes shapes as they are; the given tables have two
 DEPTH = 8
-#: the twin of op10 folds rare children, which the operator does no more
-MANY, RARE = 50, 0.01
 
 _WORDS = r"regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+')"
 _LOWER = "translate({}, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
@@ -189,9 +187,9 @@ def _url_templates() -> str:
         child{no} as (select host, template, shape[{no + 1}] segment, sum(n) n, sum(labelled) l, sum(bad) b from t{no} where len(shape) > {no} group by all),
         both{no} as (select *, count(*) over p children, sum(n) over p total, sum(l) over p all_l, sum(b) over p all_b, all_l - l rest,
             all_b::double / nullif(all_l, 0) pooled from child{no} window p as (partition by host, template)),
-        as{no} as materialized (select host, template, segment, case when not contains(segment, '#') and (children = 1 or coalesce(l >= {LABELLED} and rest >= {LABELLED}
-            and abs(b::double / nullif(l, 0) - (all_b - b)::double / nullif(rest, 0)) > {DIFFERENT} * sqrt(pooled * (1 - pooled) * (1.0::double / nullif(l, 0) + 1.0::double / nullif(rest, 0)))
-            and not (children > {MANY} and n < {RARE}::double * total), false)) then segment else '*' end name from both{no}),
+        as{no} as materialized (select host, template, segment, case when (children = 1 and not contains(segment, '#')) or coalesce(l >= {LABELLED} and rest >= {LABELLED}
+            and abs(b::double / nullif(l, 0) - (all_b - b)::double / nullif(rest, 0)) > {DIFFERENT} * sqrt(pooled * (1 - pooled) * (1.0::double / nullif(l, 0) + 1.0::double / nullif(rest, 0))), false)
+            then segment else '*' end name from both{no}),
         t{no + 1} as materialized (select t.host, shape, n, labelled, bad, case when name is null then t.template else list_append(t.template, name) end template
             from t{no} t left join as{no} a on t.host = a.host and t.template = a.template and a.segment = shape[{no + 1}])"""
 
@@ -199,16 +197,16 @@ def _url_templates() -> str:
     return f"""with cut as (select page_id, coalesce({rest}, '') rest from pages),
         parts as (select page_id, {_LOWER.format("regexp_extract(rest, '^([^/?#]*)', 1)")} host, regexp_extract(rest, '^[^/?#]*([^?#]*)', 1) path from cut),
         whole as (select *, list_filter(string_split(regexp_replace(path, '[0-9]+', '#', 'g'), '/'), lambda s: s <> '') s from parts),
-        rows as materialized (select page_id, host, path, case when len(s) <= {DEPTH} then s else list_append(s[1:{DEPTH}], '**') end shape from whole),
+        rows as materialized (select page_id, host, path, s shape from whole),
         marked as (select page_id, max((quality = 0 or toxic = 1)::int) bad from rows join labels on try_cast(regexp_extract(path, '([0-9]+)', 1) as bigint) = labels.doc_id
             where (quality = 0 or toxic = 1) is not null group by page_id),
         t0 as materialized (select host, shape, count(*) n, count(bad) labelled, coalesce(sum(bad), 0) bad, []::varchar[] template from rows left join marked using (page_id) group by host, shape),
-        {", ".join(level(no) for no in range(DEPTH + 1))},
+        {", ".join(level(no) for no in range(DEPTH))},
         base as (select coalesce(sum(bad)::double / nullif(sum(labelled), 0), 0) base from t0),
-        pure as (select host, template, (sum(bad) + {PRIOR} * any_value(base)) / (sum(labelled) + {PRIOR}) purity from t{DEPTH + 1}, base group by host, template)
+        pure as (select host, template, (sum(bad) + {PRIOR} * any_value(base)) / (sum(labelled) + {PRIOR}) purity from t{DEPTH}, base group by host, template)
         select page_id, rows.host, path, {rule.replace('host', 'rows.host')} as rule,
             coalesce({verdict.replace('host', 'rows.host')}, case when purity >= {REJECT} then 'block' else 'allow' end) verdict
-            from rows join t{DEPTH + 1} t on rows.host = t.host and rows.shape = t.shape join pure on t.host = pure.host and t.template = pure.template"""
+            from rows join t{DEPTH} t on rows.host = t.host and rows.shape = t.shape join pure on t.host = pure.host and t.template = pure.template"""
 
 
 def _lexical_search() -> str:

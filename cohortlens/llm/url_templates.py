@@ -60,7 +60,7 @@ def shape_of(path: str) -> Column:
 def templates(shapes: DataFrame, scratch: Scratch) -> DataFrame:
     """``host, shape, template`` for the shapes ``host, shape, labelled, bad`` of all pages."""
     now = shapes.withColumns({"template": F.array().cast("array<string>"), "ends": F.size("shape")})
-    level = 0
+    level, before = 0, None
     while (now.agg(F.max("ends")).first()[0] or 0) > level:
         now = now.withColumn("segment", F.when(F.col("ends") > level, F.get("shape", F.lit(level))))
         child = now.where("segment is not null").groupBy("host", "template", "segment").agg(
@@ -90,7 +90,9 @@ def templates(shapes: DataFrame, scratch: Scratch) -> DataFrame:
             .otherwise(F.concat("template", F.array("as"))).alias("template"),
         )
         now = scratch.table(now, "level")
-        level += 1
+        if before is not None:
+            scratch.drop(before)
+        before, level = now, level + 1
     return now
 
 
