@@ -9,8 +9,9 @@ from pyspark.sql import functions as F
 
 #: hex digits of the hash that name a bucket; 16**3 buckets per stratum
 PREFIX_DIGITS = 3
-#: ranges a distribution is cut into for running totals
+#: ranges a distribution is cut into for running totals, and again each of them while one has more rows than a task may hold
 RANGES = 128
+ROWS_PER_TASK = 1_000_000
 
 
 def join_null_safe(left: DataFrame, right: DataFrame, on: Sequence[str]) -> DataFrame:
@@ -51,12 +52,19 @@ def stratified_rank(df: DataFrame, strata: Sequence[str], key: str, seed: int) -
     )
 
 
+def _largest(rows: DataFrame, groups: Sequence[str]) -> int:
+    """Rows of the largest group."""
+    return rows.groupBy(*groups).count().agg(F.max("count")).first()[0] or 0
+
+
 def running_totals(counts: DataFrame, groups: Sequence[str], order: str, values: Sequence[str]) -> DataFrame:
     """Adds ``<value>_before`` (sum over smaller ``order``) and ``<value>_total``.
 
     ``counts`` has one row per group and ``order`` value.  The order column is
     cut at its quantiles; range sums are summed up per group, rows only within
-    their range.  A null group is a group of its own.
+    their range.  Ranges follow the number of rows: as long as one has more than
+    ``ROWS_PER_TASK``, each is cut again in the same way.  A null group is a
+    group of its own.
     """
     cuts = [i / RANGES for i in range(1, RANGES)]
     shape = F.struct(
@@ -71,8 +79,18 @@ def running_totals(counts: DataFrame, groups: Sequence[str], order: str, values:
     sums = ranged.groupBy(*groups, "_r").agg(*[F.sum(v).alias(f"_{v}") for v in values])
     earlier = Window.partitionBy(*groups).orderBy("_r").rowsBetween(Window.unboundedPreceding, -1)
     bases = sums.select(*groups, "_r", *[F.coalesce(F.sum(f"_{v}").over(earlier), F.lit(0)).alias(f"_{v}_base") for v in values])
-    inside = Window.partitionBy(*groups, "_r").orderBy(order).rowsBetween(Window.unboundedPreceding, -1)
-    placed = ranged.withColumns({f"_{v}_in": F.coalesce(F.sum(v).over(inside), F.lit(0)) for v in values})
+    within = [*groups, f"_r{len(groups)}"]
+    named = ranged.withColumnRenamed("_r", within[-1])
+    largest = _largest(named, within)
+    if ROWS_PER_TASK < largest < _largest(counts, groups):
+        deeper = running_totals(named.drop("_shape"), within, order, values).drop(*[f"{v}_total" for v in values])
+        placed = deeper.withColumnsRenamed({f"{v}_before": f"_{v}_in" for v in values} | {within[-1]: "_r"})
+        placed = join_null_safe(placed, ranged.groupBy(*groups).agg(F.first("_shape").alias("_shape")), groups) if groups else placed.withColumn(
+            "_shape", counts.agg(shape.alias("_shape")).scalar()
+        )
+    else:
+        inside = Window.partitionBy(*groups, "_r").orderBy(order).rowsBetween(Window.unboundedPreceding, -1)
+        placed = ranged.withColumns({f"_{v}_in": F.coalesce(F.sum(v).over(inside), F.lit(0)) for v in values})
     return (
         join_null_safe(placed, bases, [*groups, "_r"])
         .select(
