@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from ..functions.storage import new_folder, staged
+from ..functions.storage import Scratch
 
 # --- fixed values -----------------------------------------------------------------
 ROOT = "HP:0000118"
@@ -29,33 +29,53 @@ def release_version(url: Column) -> Column:
 def subtree(edges: DataFrame, root: str = ROOT) -> DataFrame:
     """All ids below ``root`` over ``is_a`` edges, the root included.
 
-    Breadth first: each round joins the newest ids with the edges and drops
-    what was met before, so cycles end and shared children count once.  Every
-    round is a written table; the number of rounds is the depth of the graph.
+    Every id that is left picks one parent, one that is in the subtree if it
+    has any.  Along the picks ids jump to the parent of their parent, then twice
+    as far, so a chain takes as many rounds as its length has binary digits.
+    Who arrives at the root is in; who jumps to an id without a parent is out
+    for this pick.  Ids whose pick led elsewhere pick anew, until no edge leads
+    from the subtree to an id outside.  Cycles end, since no further id arrives;
+    shared children count once; null ids and edges to oneself do not count.
     """
-    spark = edges.sparkSession
-    links = staged(
-        edges.where(F.col("pred") == IS_A).select(node_id(F.col("obj")).alias("parent"), node_id(F.col("sub")).alias("id")).distinct(),
+    scratch = Scratch(edges.sparkSession, "subtree")
+    child, parent = node_id(F.col("sub")), node_id(F.col("obj"))
+    links = scratch.table(
+        edges.where(F.col("pred") == IS_A).select(parent.alias("parent"), child.alias("id"))
+        .where((F.col("parent") != F.col("id")) & (F.col("id") != root)).distinct(),
         "links",
     )
-    folder = new_folder(spark, "subtree")
-    schema = "id string"
-    paths = [f"{folder}/round=0"]
-    spark.range(0, 1, 1, 1).select(F.lit(root).alias("id")).write.parquet(paths[0])
+    inside = scratch.table(edges.sparkSession.range(0, 1, 1, 1).select(F.lit(root).alias("id")), "inside")
+    at_root = F.col("top") == root
     while True:
-        frontier = spark.read.schema(schema).parquet(paths[-1])
-        seen = spark.read.schema(schema).parquet(*paths)
-        fresh = (
-            links.join(frontier.withColumnRenamed("id", "parent"), "parent")
-            .select("id")
-            .distinct()
-            .join(seen, "id", "left_anti")
+        known = inside.select(F.col("id").alias("parent"), F.lit(True).alias("known"))
+        choice = F.min(F.struct(F.col("known").isNull().alias("open"), "parent"))
+        picked = (
+            links.join(inside, "id", "left_anti").join(known, "parent", "left").groupBy("id").agg(choice.alias("p"))
+            .select("id", F.when(~F.col("p.open"), root).otherwise(F.col("p.parent")).alias("top"))
         )
-        path = f"{folder}/round={len(paths)}"
-        fresh.write.parquet(path)
-        if spark.read.schema(schema).parquet(path).isEmpty():
-            return seen
-        paths.append(path)
+        jumps = scratch.table(picked, "jumps")
+        arrived, under_way = _arrivals(jumps, at_root)
+        if not arrived:
+            scratch.drop(links, jumps)
+            return inside
+        while under_way:
+            further = jumps.select(F.col("id").alias("top"), F.col("top").alias("beyond"))
+            longer = jumps.where(~at_root).join(further, "top").select("id", F.col("beyond").alias("top"))
+            jumped = scratch.table(jumps.where(at_root).unionByName(longer), "jumps")
+            scratch.drop(jumps)
+            jumps, before = jumped, arrived
+            arrived, under_way = _arrivals(jumps, at_root)
+            if arrived == before:
+                break
+        grown = scratch.table(inside.unionByName(jumps.where(at_root).select("id")), "inside")
+        scratch.drop(inside, jumps)
+        inside = grown
+
+
+def _arrivals(jumps: DataFrame, at_root: Column) -> tuple[int, int]:
+    """How many ids point to the root, and how many elsewhere."""
+    counted = jumps.agg(F.count_if(at_root), F.count_if(~at_root)).first()
+    return counted[0], counted[1]
 
 
 def build_terms(nodes: DataFrame, members: DataFrame) -> DataFrame:

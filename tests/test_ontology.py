@@ -110,3 +110,33 @@ def test_cues_gold_and_notes(spark, tmp_path):
     (folder / "one.txt").write_text("line 1\nline 2\n")
     (folder / "two.txt").write_text("No pain.")
     assert {tuple(r) for r in sources.read_notes(spark, str(folder)).collect()} == {("one.txt", "line 1\nline 2\n"), ("two.txt", "No pain.")}
+
+
+def test_subtree_of_long_chains_cycles_and_ladders(spark, monkeypatch):
+    """Rounds grow with the digits of the depth; the result is that of a plain search."""
+    import random
+
+    written = []
+    table = on.Scratch.table
+    monkeypatch.setattr(on.Scratch, "table", lambda self, df, name: written.append(name) or table(self, df, name))
+    chain = [(f"n{i + 1}", f"n{i}") for i in range(5000)]
+    links = spark.createDataFrame(chain, "sub string, obj string").withColumn("pred", F.lit("is_a"))
+    assert on.subtree(links, "n0").count() == 5001
+    assert written.count("jumps") <= 15
+
+    rng = random.Random(3)
+    for trial in range(4):
+        pairs = [(f"n{rng.randrange(60)}", f"n{rng.randrange(60)}") for _ in range(70)]
+        pairs += [(f"l{i + 1}{s}", f"l{i}{t}") for i in range(9) for s in "ab" for t in "ab"] + [("l0a", "n0"), ("n0", "l9b")]
+        pairs += [("x1", "x0"), ("x0", "x1"), ("n1", "x1"), ("a0", None), (None, "n0"), ("n0", "n0")]
+        below, reached = {}, {"n0"}
+        for sub, obj in pairs:
+            below.setdefault(obj, set()).add(sub)
+        todo = ["n0"]
+        while todo:
+            fresh = {s for s in below.get(todo.pop(), ()) if s is not None} - reached
+            reached |= fresh
+            todo += fresh
+        frame = spark.createDataFrame(pairs, "sub string, obj string").withColumn("pred", F.lit("is_a"))
+        got = [r.id for r in on.subtree(frame, "n0").collect()]
+        assert len(got) == len(set(got)) and set(got) == reached, trial
