@@ -8,6 +8,10 @@ rehashing: the arrays stay, the radius grows).  A vector that lies in the window
 of more projections than the threshold is verified with its exact inner product.
 A query is done in a block once its k-th best is nearer than the radius, or
 everything is verified.
+
+Blocks are searched in rounds, each over sixteen times the vectors of those
+before it.  A round starts from each query's k-th best of the rounds before, and
+tasks give back only what reaches it.
 """
 
 from __future__ import annotations
@@ -16,9 +20,12 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from cohortlens.functions.storage import Scratch
+
 K = 20
 PROJECTIONS = 64
 #: share of projections a vector must collide in
@@ -32,6 +39,10 @@ SEED = 5
 QUERY_BYTES = 32 << 20
 #: vectors indexed together in a task
 BLOCK = 32_768
+#: the first round takes at most this many vectors, about
+FIRST_ROUND = 1 << 20
+#: vectors up to and with a round over those before it
+WIDER = 16
 
 _HITS = "query_id long, vec_id long, score double"
 
@@ -44,17 +55,18 @@ def usable(vector: Column) -> Column:
 
 
 class _Best:
-    """The k best per query so far: higher score first, then smaller id."""
+    """The k best per query so far that reach its floor: higher score first, then smaller id."""
 
-    def __init__(self, n: int, k: int):
-        self.k = k
-        self.ids = [np.zeros(0, np.int64)] * n
-        self.scores = [np.zeros(0)] * n
+    def __init__(self, floors: np.ndarray, k: int):
+        self.k, self.floors = k, floors
+        self.ids = [np.zeros(0, np.int64)] * len(floors)
+        self.scores = [np.zeros(0)] * len(floors)
 
     def worst(self, q: int) -> float:
-        return self.scores[q][-1] if len(self.scores[q]) == self.k else -np.inf
+        return max(self.floors[q], self.scores[q][-1] if len(self.scores[q]) == self.k else -np.inf)
 
     def offer(self, q: int, ids: np.ndarray, scores: np.ndarray) -> None:
+        ids, scores = ids[scores >= self.floors[q]], scores[scores >= self.floors[q]]
         ids, scores = np.append(self.ids[q], ids), np.append(self.scores[q], scores)
         best = np.lexsort((ids, -scores))[: self.k]
         self.ids[q], self.scores[q] = ids[best], scores[best]
@@ -116,9 +128,12 @@ class _Index:
             radius *= options["growth"]
 
 
-def _search(queries: dict[int, tuple[np.ndarray, np.ndarray]], longest: dict[int, float], k: int, options: dict):
+def _search(sent, longest: dict[int, float], k: int, options: dict):
+    """``sent`` is a broadcast of ids, vectors and floors of the queries by length."""
+
     def run(parts: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        found = {dim: _Best(len(ids), k) for dim, (ids, _) in queries.items()}
+        queries = sent.value
+        found = {dim: _Best(floors, k) for dim, (_, _, floors) in queries.items()}
         held: dict[int, tuple[list, list]] = {dim: ([], []) for dim in queries}
 
         def look(dim: int) -> None:
@@ -127,7 +142,7 @@ def _search(queries: dict[int, tuple[np.ndarray, np.ndarray]], longest: dict[int
             if not ids:
                 return
             index = _Index(np.concatenate(ids), np.concatenate(rows), longest[dim], options["projections"], options["seed"])
-            query_ids, vectors = queries[dim]
+            query_ids, vectors, _ = queries[dim]
             for i in range(0, len(query_ids), 256):
                 at = np.arange(i, min(i + 256, len(query_ids)))
                 index.search(query_ids[at], vectors[at], found[dim], at, options)
@@ -172,6 +187,7 @@ def nearest_vectors(
     seed: int = SEED,
     block: int = BLOCK,
     query_bytes: int = QUERY_BYTES,
+    first_round: int = FIRST_ROUND,
 ) -> DataFrame:
     """``query_id, rank, vec_id, score`` of the ``k`` best of ``vectors`` for each of ``queries``.
 
@@ -182,36 +198,68 @@ def nearest_vectors(
     Fewer candidates than ``k`` are all returned.  Rows with a null id take no
     part; of rows with one id each counts.  Other columns are not read.
 
-    Every vector is indexed, in the task that reads it.  Queries are sent to all
-    tasks, ``query_bytes`` at a time; each task gives back ``k`` rows per query.
+    Equal query rows count once; of several vectors under one query id the best
+    hits of all are ranked together.
+
+    Every vector is indexed, in the task that reads it.  Queries are a written
+    table cut into passes of about ``query_bytes``; only those of one pass, and
+    their floors, are in the driver and broadcast at a time.  The hits of every
+    round are written, at most ``k`` per query, before the next starts.
     """
     spark = vectors.sparkSession
+    scratch = Scratch(spark, "neighbours")
 
     def clean(df: DataFrame) -> DataFrame:
         renamed = df.select(F.col(key).cast("long").alias("vec_id"), F.col(vector).cast("array<double>").alias("embedding"))
         return renamed.where(F.col("vec_id").isNotNull() & usable(F.col("embedding")))
 
-    vectors, queries = clean(vectors), clean(queries)
+    vectors = clean(vectors)
     norm = F.sqrt(F.aggregate("embedding", F.lit(0.0), lambda a, x: a + x * x))
-    longest = {
-        r["dim"]: r["longest"]
-        for r in vectors.groupBy(F.size("embedding").alias("dim")).agg(F.max(norm).alias("longest")).collect()  # one row per length
-    }
-    total = queries.agg(F.sum(F.size("embedding") * 8 + 16)).first()[0] or 0
+    per_length = vectors.groupBy(F.size("embedding").alias("dim")).agg(F.max(norm).alias("longest"), F.count("*").alias("n"))
+    lengths = per_length.collect()  # one row per length
+    longest = {r["dim"]: r["longest"] for r in lengths}
+    asked = clean(queries).distinct()
+    total = asked.agg(F.sum(F.size("embedding") * 8 + 16)).first()[0] or 0
     passes = -(-total // query_bytes)
+    at = F.pmod(F.xxhash64("vec_id", "embedding"), F.lit(max(1, passes))).alias("pass")
+    # in the order of passes, so that a pass reads its own row groups
+    asked = scratch.table(asked.select(at, "*").repartitionByRange("pass").sortWithinPartitions("pass"), "queries")
     options = {
         "projections": projections, "threshold": threshold, "seed": seed, "block": block, "half_width": HALF_WIDTH,
         "first_radius": FIRST_RADIUS, "growth": GROWTH,
     }
-    hits = spark.createDataFrame([], _HITS)
-    for i in range(passes):
-        some = queries.where(F.pmod(F.xxhash64("vec_id"), F.lit(passes)) == i).toArrow()
-        sizes = np.array([len(x) for x in some["embedding"].to_pylist()])
-        by_dim = {}
-        for dim in set(sizes.tolist()) & set(longest):
-            rows = some.take(pa.array(np.flatnonzero(sizes == dim)))
-            by_dim[dim] = (rows["vec_id"].to_numpy(), np.array(rows["embedding"].to_pylist(), np.float64))
-        hits = hits.unionByName(vectors.mapInArrow(_search(by_dim, longest, k, options), _HITS))
+    shares = [1.0]
+    while sum(r["n"] for r in lengths) * shares[0] > first_round:
+        shares.insert(0, shares[0] / WIDER)
+    draw = F.shiftrightunsigned(F.xxhash64(F.lit(seed), "vec_id", "embedding"), 11) / F.lit(float(1 << 53))
     order = Window.partitionBy("query_id").orderBy(F.desc("score"), "vec_id")
-    ranked = hits.withColumn("rank", F.row_number().over(order)).where(F.col("rank") <= k)
-    return ranked.select("query_id", "rank", "vec_id", "score")
+    done = [scratch.table(spark.createDataFrame([], _HITS).withColumn("rank", F.lit(0)), "hits")]
+    for i in range(passes):
+        some = asked.where(F.col("pass") == i).drop("pass").toArrow().combine_chunks()
+        best = done[0]
+        for low, high in zip([0.0, *shares], shares):
+            sent = spark.sparkContext.broadcast(_with_floors(some, best.where(F.col("rank") == k), longest))
+            part = vectors.where((draw >= low) & (draw < high)) if low or high < 1 else vectors
+            hits = part.mapInArrow(_search(sent, longest, k, options), _HITS).unionByName(best.drop("rank"))
+            ranked = hits.withColumn("rank", F.row_number().over(order)).where(F.col("rank") <= k)
+            best, before = scratch.table(ranked, "hits"), best
+            if before is not done[0]:
+                scratch.drop(before)
+            sent.destroy()
+        done.append(best)
+    found = spark.read.schema(done[0].schema).parquet(*[t._staged_at for t in done])
+    return found.select("query_id", "rank", "vec_id", "score")
+
+
+def _with_floors(some: pa.Table, kth: DataFrame, longest: dict[int, float]) -> dict[int, tuple[np.ndarray, np.ndarray, np.ndarray]]:
+    """Ids, vectors and floors of the queries of a pass by length; a query without ``k`` hits yet has none."""
+    floors = kth.select(F.col("query_id").alias("vec_id"), "score").toArrow()  # one row per query of the pass
+    known = dict(zip(floors["vec_id"].to_pylist(), floors["score"].to_pylist()))
+    sizes = pc.list_value_length(some["embedding"]).to_numpy()
+    by_dim = {}
+    for dim in set(sizes.tolist()) & set(longest):
+        rows = some.take(pa.array(np.flatnonzero(sizes == dim)))
+        ids = rows["vec_id"].to_numpy()
+        flat = pc.list_flatten(rows["embedding"]).to_numpy()
+        by_dim[dim] = (ids, flat.reshape(-1, dim), np.array([known.get(i, -np.inf) for i in ids.tolist()]))
+    return by_dim

@@ -4,6 +4,7 @@ import random
 import zlib
 
 import numpy as np
+import pytest
 
 from cohortlens.llm import neighbours, sharding
 
@@ -21,14 +22,15 @@ def test_every_row_of_the_shards(spark):
     assert sorted(map(tuple, got), key=str) == sorted(want, key=str)
 
 
-def test_neighbours_over_blocks_and_passes(spark):
+@pytest.mark.parametrize("first_round", [1 << 20, 64])
+def test_neighbours_over_blocks_passes_and_rounds(spark, first_round):
     rng = np.random.default_rng(8)
     near = rng.standard_normal((40, 16))
     vectors = [near[i % 40] + 0.05 * rng.standard_normal(16) for i in range(900)]
     rows = [(i, v.tolist()) for i, v in enumerate(vectors)] + [(i, [1.0] * 5) for i in range(2000, 2040)]
     df = spark.createDataFrame(rows, "vec_id long, embedding array<double>").repartition(6)
     asked = df.where("vec_id % 20 = 0")
-    got = neighbours.nearest_vectors(df, asked, k=10, block=128, query_bytes=16 * 8 * 7).collect()
+    got = neighbours.nearest_vectors(df, asked, k=10, block=128, query_bytes=16 * 8 * 7, first_round=first_round).collect()
     hits = 0
     for q in range(0, 900, 20):
         best = sorted(((-float((vectors[q] * vectors[i]).sum()), i) for i in range(900) if i != q))[:10]
@@ -37,3 +39,15 @@ def test_neighbours_over_blocks_and_passes(spark):
         hits += len({i for _, i in found} & {i for _, i in best})
     assert hits / 450 >= 0.9
     assert {r.query_id for r in got} - {*range(0, 900, 20)} <= {2000, 2020}
+
+
+def test_floors_leave_only_hits_that_count(spark):
+    """Tasks of a later round give back what reaches the floor, ties too; repeated queries count once."""
+    best = neighbours._Best(np.array([2.0, -np.inf]), 2)
+    best.offer(0, np.array([5, 6, 7]), np.array([1.9, 2.0, 3.0]))
+    assert best.ids[0].tolist() == [7, 6] and best.worst(0) == 2.0 and best.worst(1) == -np.inf
+    rows = [(i, [float(i % 7), 1.0]) for i in range(300)]
+    df = spark.createDataFrame(rows, "vec_id long, embedding array<double>")
+    asked = df.where("vec_id = 20").union(df.where("vec_id = 20"))
+    got = neighbours.nearest_vectors(df, asked, k=4, first_round=16).orderBy("rank").collect()
+    assert [(r.query_id, r.rank, r.vec_id, r.score) for r in got] == [(20, n + 1, 7 * n + 6, 37.0) for n in range(2)] + [(20, 3, 27, 37.0), (20, 4, 34, 37.0)]
