@@ -9,8 +9,9 @@ epochs of its documents, and of the next epoch, in an order seeded anew, the
 documents that start before its budget ends.
 
 Only counts per leaf are shared out; the order of a large leaf is cut into
-buckets by the leading digits of a hash, whose sums are added up before any
-bucket is sorted.
+buckets by the leading digits of a hash of key and text, whose sums are added up
+before any bucket is sorted.  A key of very many rows is spread by their texts,
+and equal rows are one row with a count there.
 """
 
 from __future__ import annotations
@@ -102,8 +103,8 @@ def mix(
     A document whose start lies before the end of its leaf's budget is taken
     whole.  Texts without words (null ones too) are never taken.  A null domain,
     language or source counts as the empty name.  Order within a leaf is by the
-    MD5 of seed, epoch and key, then words and checksum; equal rows stand
-    together.  Other columns are read only by ``domain``.
+    MD5 of seed, epoch, key (left out if null) and the MD5 of the text; equal
+    rows stand together.  Other columns are read only by ``domain``.
     """
     scratch = Scratch(docs.sparkSession, "mixing")
     rows = scratch.table(
@@ -112,6 +113,7 @@ def mix(
             F.coalesce(F.col(lang).cast("string"), F.lit("")).alias("lang"),
             F.coalesce(F.col(source).cast("string"), F.lit("")).alias("source"), count_words(text).alias("n_tokens"),
             F.crc32(F.encode(F.coalesce(F.col(text), F.lit("")), "UTF-8")).alias("text_crc32"),
+            F.md5(F.coalesce(F.col(text), F.lit(""))).alias("text_md5"),
         ).where("n_tokens > 0"),
         "rows",
     )
@@ -128,14 +130,17 @@ def mix(
     every = F.explode(F.sequence(F.lit(0).cast("long"), F.col("whole") - 1)).alias("epoch")
     full = rows.where("whole > 0").select("*", every).select(*out)
 
-    order = F.md5(F.concat_ws(":", F.lit(str(seed)), F.col("whole").cast("string"), F.col("key").cast("string")))
+    order = F.md5(F.concat_ws(":", F.lit(str(seed)), F.col("whole").cast("string"), F.col("key").cast("string"), "text_md5"))
     partial = rows.where("rest > 0").withColumn("order", order).withColumn("bucket", F.substring("order", 1, digits))
     sums = partial.groupBy(*keys, "bucket").agg(F.sum("n_tokens").alias("of_bucket"))
     before = F.sum("of_bucket").over(Window.partitionBy(*keys).orderBy("bucket").rowsBetween(Window.unboundedPreceding, -1))
     ahead = sums.select(*keys, "bucket", F.coalesce(before, F.lit(0)).alias("ahead"))
     # buckets that start behind the end of the budget are not sorted
     near = partial.join(ahead, [*keys, "bucket"]).where("ahead < rest")
-    in_order = Window.partitionBy(*keys, "bucket").orderBy("order", "n_tokens", "text_crc32")
-    inside = F.coalesce(F.sum("n_tokens").over(in_order.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
-    head = near.withColumn("inside", inside).where("ahead + inside < rest").withColumn("epoch", F.col("whole")).select(*out)
+    equal = near.groupBy(*keys, "bucket", "order", "key", "n_tokens", "text_crc32", "whole", "rest", "ahead").agg(F.count("*").alias("copies"))
+    in_order = Window.partitionBy(*keys, "bucket").orderBy("order", "key", "n_tokens", "text_crc32")
+    past = F.sum(F.col("n_tokens") * F.col("copies")).over(in_order.rowsBetween(Window.unboundedPreceding, -1))
+    left = equal.withColumn("left", F.col("rest") - F.col("ahead") - F.coalesce(past, F.lit(0))).where("left > 0")
+    fits = F.least("copies", F.expr("(left + n_tokens - 1) div n_tokens"))  # of equal rows, those that start before the end
+    head = left.withColumn("copy", F.explode(F.sequence(F.lit(1).cast("long"), fits))).withColumn("epoch", F.col("whole")).select(*out)
     return full.unionByName(head).withColumnRenamed("key", key)

@@ -150,13 +150,13 @@ def _mixing() -> str:
         given{no} as (select {keys}, case when first is not null and rank >= first
             then max(case when rank = first then lvl end) over ({by}) * weight else cap end budget from first{no})"""
 
-    return f"""with rows as (select doc_id, {domain} as domain, coalesce(lang, '') lang, coalesce(source, '') source, len({_WORDS})::bigint n_tokens from documents),
+    return f"""with rows as (select doc_id, {domain} as domain, coalesce(lang, '') lang, coalesce(source, '') source, len({_WORDS})::bigint n_tokens, md5(coalesce(text, '')) text_md5 from documents),
         held as (from rows where n_tokens > 0),
         leaves as (select domain, lang, source, sum(n_tokens)::bigint tokens, (sum(n_tokens) * {MIX['epochs']})::double cap from held group by all),
         given0 as (select least(floor(sum(tokens) * {MIX['share']}::double)::double, sum(cap)) budget from leaves),
         {level(1, 'domain', [])}, {level(2, 'lang', ['domain'])}, {level(3, 'source', ['domain', 'lang'])},
         quota as (select domain, lang, source, floor(budget)::bigint // tokens whole, floor(budget)::bigint % tokens rest from given3 join leaves using (domain, lang, source)),
-        placed as (select *, coalesce(sum(n_tokens) over (partition by domain, lang, source order by md5(concat_ws(':', '8', whole, doc_id)), n_tokens
+        placed as (select *, coalesce(sum(n_tokens) over (partition by domain, lang, source order by md5(concat_ws(':', '8', whole, doc_id, text_md5))
             rows between unbounded preceding and 1 preceding), 0) before from held join quota using (domain, lang, source))
         select doc_id, domain, lang, source, n_tokens, e::int epoch from placed, unnest(range(whole)) t(e)
         union all select doc_id, domain, lang, source, n_tokens, whole::int from placed where before < rest"""
