@@ -33,13 +33,21 @@ def ranking_metrics(scored: DataFrame, y: str = "y", p: str = "p", groups: Seque
     one half; AUPRC is average precision over distinct scores.  AUROC is null
     without both classes, AUPRC without positives.
     """
+    return _metrics_of_counts(score_counts(scored, y, p, groups), groups)
+
+
+def score_counts(scored: DataFrame, y: str = "y", p: str = "p", groups: Sequence[str] = ()) -> DataFrame:
+    """Written counts ``pos, neg, rows`` per group and score ``_p``."""
     label = F.col(y).cast("bigint")
-    counts = staged(
+    return staged(
         scored.groupBy(*groups, F.col(p).cast("double").alias("_p")).agg(
-            F.sum(label).alias("pos"), F.sum(1 - label).alias("neg")
+            F.sum(label).alias("pos"), F.sum(1 - label).alias("neg"), F.count(F.lit(1)).alias("rows")
         ),
         "score-counts",
     )
+
+
+def _metrics_of_counts(counts: DataFrame, groups: Sequence[str]) -> DataFrame:
     pos, neg, score = F.col("pos"), F.col("neg"), F.col("_p")
     tp = F.col("pos_total") - F.col("pos_before")
     fp = F.col("neg_total") - F.col("neg_before")
@@ -94,16 +102,22 @@ def age_group(age: Column) -> Column:
     return out
 
 
-def by_dimension(scored: DataFrame, dimensions: Sequence[str]) -> DataFrame:
-    """One row per input row and dimension: ``dimension, group``."""
-    pairs = F.array(*[F.struct(F.lit(d).alias("dimension"), F.col(d).cast("string").alias("group")) for d in dimensions])
+def by_dimension(scored: DataFrame, dimensions: Sequence[str], whole: bool = False) -> DataFrame:
+    """One row per input row and dimension: ``dimension, group``; with ``whole``, one more of null dimension."""
+    pairs = [F.struct(F.lit(d).alias("dimension"), F.col(d).cast("string").alias("group")) for d in dimensions]
+    if whole:
+        nothing = F.lit(None).cast("string")
+        pairs.append(F.struct(nothing.alias("dimension"), nothing.alias("group")))
+    pairs = F.array(*pairs)
     return scored.select("*", F.inline(pairs))
 
 
 def _judged_groups(scored: DataFrame, y: str, p: str, dimensions: Sequence[str]) -> DataFrame:
-    metrics = ranking_metrics(by_dimension(scored, dimensions), y, p, ["dimension", "group"])
-    enough = (F.col("n") >= MIN_GROUP_ROWS) & (F.col("n_pos") >= MIN_GROUP_POSITIVES) & (F.col("n_pos") < F.col("n"))
-    return metrics.where(enough)
+    return ranking_metrics(by_dimension(scored, dimensions), y, p, ["dimension", "group"]).where(_enough())
+
+
+def _enough() -> Column:
+    return (F.col("n") >= MIN_GROUP_ROWS) & (F.col("n_pos") >= MIN_GROUP_POSITIVES) & (F.col("n_pos") < F.col("n"))
 
 
 def subgroup_auroc(
@@ -134,13 +148,16 @@ def threshold_table(
     A row is counted once, under the number of thresholds it reaches; the
     table comes from those few counts.
     """
+    rows = scored.select(F.col(p).alias("_p"), F.col(y).cast("bigint").alias("pos"), F.lit(1).alias("rows"))
+    return _thresholds_of_counts(rows, thresholds)
+
+
+def _thresholds_of_counts(counted: DataFrame, thresholds: Sequence[float]) -> DataFrame:
     steps = sorted(thresholds)
     reached = F.lit(0)
     for t in steps:
-        reached = reached + (F.col(p) >= F.lit(float(t))).cast("int")
-    counts = scored.groupBy(reached.alias("_k")).agg(
-        F.sum(F.col(y).cast("bigint")).alias("pos"), F.count(F.lit(1)).alias("all")
-    )
+        reached = reached + (F.col("_p") >= F.lit(float(t))).cast("int")
+    counts = counted.groupBy(reached.alias("_k")).agg(F.sum("pos").alias("pos"), F.sum("rows").alias("all"))
     line = F.array(*[F.struct(F.lit(i).alias("_i"), F.lit(float(t)).alias("threshold")) for i, t in enumerate(steps)])
     alert = F.col("_k") > F.col("_i")
     table = (
@@ -183,15 +200,17 @@ def model_report(scored: DataFrame, model: str, y: str = "y", p: str = "p") -> D
     """All report tables of one model in long form.
 
     ``model, section, item, metric, value``; the section ``threshold_display``
-    repeats the thresholds a reader is shown.
+    repeats the thresholds a reader is shown.  The scored rows are read once, and
+    counted per score for all rows and for each group; every section comes from
+    these counts.  No rows give an empty report.
     """
-    thresholds = threshold_table(scored, y, p)
+    groups = ["dimension", "group"]
+    counts = score_counts(by_dimension(scored, TABLE_DIMENSIONS, whole=True), y, p, groups)
+    thresholds = staged(_thresholds_of_counts(counts.where(F.col("dimension").isNull()), THRESHOLDS), "thresholds")
     per_threshold = [c for c in thresholds.columns if c != "threshold"]
-    groups = subgroup_table(scored, y, p).withColumn("item", F.concat_ws("=", "dimension", "group"))
     shown = F.col("threshold").isin(*[float(t) for t in SHOWN_THRESHOLDS])
     item = F.format_string("%.2f", "threshold")
     parts = [
-        _long(metric_summary(scored, y, p).withColumn("item", F.lit("all")), "metrics", ["auroc", "auprc", "brier"]),
         _long(best_threshold(thresholds).withColumn("item", item), "best_threshold", ["precision", "recall", "f1"]),
         _long(thresholds.withColumn("item", item), "threshold_analysis", per_threshold),
         _long(
@@ -199,7 +218,7 @@ def model_report(scored: DataFrame, model: str, y: str = "y", p: str = "p") -> D
             "threshold_display",
             ["precision", "recall", "f1", "n_alerted", "true_positives", "false_positives"],
         ),
-        _long(groups, "subgroup_analysis", ["n", "n_pos", "ae_rate", "auroc", "auprc", "brier"]),
+        _ranking_sections(_metrics_of_counts(counts, groups)),
     ]
     out = parts[0]
     for part in parts[1:]:
@@ -207,6 +226,23 @@ def model_report(scored: DataFrame, model: str, y: str = "y", p: str = "p") -> D
     return out.select(F.lit(model).alias("model"), "section", "item", "metric", "value")
 
 
+def _ranking_sections(metrics: DataFrame) -> DataFrame:
+    """The headline metrics of all rows (null dimension) and the table of groups, in one pass."""
+    whole = F.col("dimension").isNull()
+    rate = F.bround(F.col("n_pos") / F.col("n"), 4)
+    ranked = {m: F.bround(m, 4) for m in ("auroc", "auprc", "brier")}
+
+    def cells(values: dict[str, Column]) -> Column:
+        return F.array(*[F.struct(F.lit(m).alias("metric"), v.cast("double").alias("value")) for m, v in values.items()])
+
+    of_group = {"n": F.col("n"), "n_pos": F.col("n_pos"), "ae_rate": rate, **ranked}
+    return metrics.where(whole | _enough()).select(
+        F.when(whole, "metrics").otherwise("subgroup_analysis").alias("section"),
+        F.when(whole, "all").otherwise(F.concat_ws("=", "dimension", "group")).alias("item"),
+        F.inline(F.when(whole, cells(ranked)).otherwise(cells(of_group))),
+    )
+
+
 def _long(table: DataFrame, section: str, metrics: Sequence[str]) -> DataFrame:
     cells = F.array(*[F.struct(F.lit(m).alias("metric"), F.col(m).cast("double").alias("value")) for m in metrics])
     return table.select(F.lit(section).alias("section"), "item", F.inline(cells))

@@ -1,3 +1,5 @@
+import random
+
 import numpy as np
 import pytest
 from pyspark.sql import functions as F
@@ -151,3 +153,27 @@ def test_one_pass_gives_what_the_single_metrics_give(spark):
     assert got == want | {"total_cases": 12} and 0 < got["top1_correct"] < got["top3_correct"]
     nothing = ev.evaluate_mapped(cases_df.limit(0), expected.limit(0), both.limit(0)).first()
     assert (nothing.expected, nothing.extraction_f1, nothing.total_cases) == (0, 0.0, 0)
+
+
+def test_report_counts_scores_once(spark, monkeypatch):
+    """All sections come from one table of counts and agree with the tables made apart."""
+    rng = random.Random(9)
+    rows = [
+        (rng.randrange(2), rng.randrange(100) / 100, rng.choice(["F", "M", None]), rng.choice("xy"), "II", rng.choice(["<50", "50-65"]))
+        for _ in range(400)
+    ]
+    scored = spark.createDataFrame(rows, "y int, p double, sex string, cancer_type string, stage string, age_group string")
+    counted = []
+    monkeypatch.setattr(ev, "staged", lambda df, name, write=ev.staged: counted.append(name) or write(df, name))
+    got = {(r.section, r.item, r.metric): r.value for r in ev.model_report(scored, "m").collect()}
+    assert counted == ["score-counts", "thresholds"]
+    for metric, value in ev.metric_summary(scored).first().asDict().items():
+        assert got["metrics", "all", metric] == value
+    groups = ev.subgroup_table(scored).collect()
+    for r in groups:
+        for metric in ("n", "n_pos", "ae_rate", "auroc", "auprc", "brier"):
+            assert got["subgroup_analysis", "=".join(v for v in (r["dimension"], r["group"]) if v is not None), metric] == r[metric]
+    assert len([k for k in got if k[0] == "subgroup_analysis"]) == 6 * len(groups)
+    for r in ev.threshold_table(scored).collect():
+        assert got["threshold_analysis", f"{r.threshold:.2f}", "f1"] == r.f1
+    assert ev.model_report(scored.limit(0), "m").count() == 0
