@@ -36,6 +36,8 @@ def subtree(edges: DataFrame, root: str = ROOT) -> DataFrame:
     for this pick.  Ids whose pick led elsewhere pick anew, until no edge leads
     from the subtree to an id outside.  Cycles end, since no further id arrives;
     shared children count once; null ids and edges to oneself do not count.
+    Joins are merges: compressed ids look small enough to broadcast when they
+    are not, and every broadcast passes through the driver.
     """
     scratch = Scratch(edges.sparkSession, "subtree")
     child, parent = node_id(F.col("sub")), node_id(F.col("obj"))
@@ -50,7 +52,7 @@ def subtree(edges: DataFrame, root: str = ROOT) -> DataFrame:
         known = inside.select(F.col("id").alias("parent"), F.lit(True).alias("known"))
         choice = F.min(F.struct(F.col("known").isNull().alias("open"), "parent"))
         picked = (
-            links.join(inside, "id", "left_anti").join(known, "parent", "left").groupBy("id").agg(choice.alias("p"))
+            links.join(inside.hint("merge"), "id", "left_anti").join(known.hint("merge"), "parent", "left").groupBy("id").agg(choice.alias("p"))
             .select("id", F.when(~F.col("p.open"), root).otherwise(F.col("p.parent")).alias("top"))
         )
         jumps = scratch.table(picked, "jumps")
@@ -60,7 +62,7 @@ def subtree(edges: DataFrame, root: str = ROOT) -> DataFrame:
             return inside
         while under_way:
             further = jumps.select(F.col("id").alias("top"), F.col("top").alias("beyond"))
-            longer = jumps.where(~at_root).join(further, "top").select("id", F.col("beyond").alias("top"))
+            longer = jumps.where(~at_root).join(further.hint("merge"), "top").select("id", F.col("beyond").alias("top"))
             jumped = scratch.table(jumps.where(at_root).unionByName(longer), "jumps")
             scratch.drop(jumps)
             jumps, before = jumped, arrived
@@ -92,7 +94,7 @@ def build_terms(nodes: DataFrame, members: DataFrame) -> DataFrame:
             F.coalesce("meta.definition.val", F.lit("")).alias("definition"),
         )
         .where(F.col("label") != "")
-        .join(members, "id", "left_semi")
+        .join(members.hint("merge"), "id", "left_semi")  # no broadcast, see subtree
     )
 
 
@@ -121,7 +123,7 @@ def label_synonym_pairs(terms: DataFrame, order: str = "ord", buckets: int = 102
 def lookup_terms(requests: DataFrame, terms: DataFrame, key: str = "hpo_id") -> DataFrame:
     """Requested ids with their term, nulls where there is none."""
     return requests.join(
-        terms.select(F.col("id").alias(key), "label", "synonyms", "definition"), key, "left"
+        terms.select(F.col("id").alias(key), "label", "synonyms", "definition").hint("merge"), key, "left"
     )
 
 

@@ -140,3 +140,24 @@ def test_subtree_of_long_chains_cycles_and_ladders(spark, monkeypatch):
         frame = spark.createDataFrame(pairs, "sub string, obj string").withColumn("pred", F.lit("is_a"))
         got = [r.id for r in on.subtree(frame, "n0").collect()]
         assert len(got) == len(set(got)) and set(got) == reached, trial
+
+
+def test_no_join_passes_through_the_driver(spark, monkeypatch):
+    plans = []
+
+    def planned(df):
+        plans.append(df._jdf.queryExecution().executedPlan().toString())
+        return df
+
+    table = on.Scratch.table
+    monkeypatch.setattr(on.Scratch, "table", lambda self, df, name: table(self, planned(df), name))
+    edges = spark.createDataFrame([(f"x/HP_{i}", "is_a", f"x/HP_{i // 2}") for i in range(1, 40)], "sub string, pred string, obj string")
+    members = on.subtree(edges, "HP:1")
+    assert members.count() == 39
+    meta = "meta struct<synonyms:array<struct<pred:string,val:string>>,definition:struct<val:string>>"
+    nodes = spark.createDataFrame([(i, f"x/HP_{i}", "CLASS", f"t{i}", None) for i in range(50)], f"ord int, id string, type string, lbl string, {meta}")
+    terms = on.build_terms(nodes, members)
+    asked = spark.createDataFrame([("HP:7",), ("HP:0",)], "hpo_id string")
+    found = planned(on.lookup_terms(asked, terms)).select("hpo_id", "label").collect()
+    assert sorted(map(tuple, found)) == [("HP:0", None), ("HP:7", "t7")]
+    assert any("SortMergeJoin" in p for p in plans) and not any("Broadcast" in p for p in plans)
