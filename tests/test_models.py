@@ -183,3 +183,29 @@ def test_losses_fall(spark, rows):
     prepared = ft.prepare_features(rows[0].withColumn("label", F.col("adverse_event").cast("double")), keep=["label"])
     model = md.fit_boosted(ft.FeaturePlan.fit(prepared).assemble(prepared, ["patient_id", "label"]), trees=20)
     assert len(model.losses) == 21 and all(b < a for a, b in zip(model.losses, model.losses[1:]))
+
+
+def test_a_large_table_has_a_partition_per_core_and_sends_back_splits(spark, monkeypatch):
+    from cohortlens.operators import boosting
+
+    rng = np.random.default_rng(3)
+    rows = spark.createDataFrame(
+        [(Vectors.dense(rng.integers(0, 50, 3).astype(float)), float(rng.random() < 0.4), [True, i % 3 > 0]) for i in range(4000)],
+        ["features", "label", "member"],
+    )
+    in_tasks = boost(rows, 2, trees=3)
+    seen, level = [], boosting._level
+
+    def watched(state, *how):
+        found = level(state, *how)
+        seen.append((state.getNumPartitions(), sum(a.nbytes for fit in found[0] for a in fit)))
+        return found
+
+    monkeypatch.setattr(boosting, "BLOCK_ROWS", 100)
+    monkeypatch.setattr(boosting, "_level", watched)
+    over_blocks = boost(rows, 2, trees=3)
+    assert len(seen) == 13 and {parts for parts, _ in seen} == {min(spark.sparkContext.defaultParallelism, 4000 // boosting.TASK_ROWS)}
+    assert max(size for _, size in seen) < 1000  # sums of 3 features and 32 bins are larger
+    for a, b in zip(in_tasks, over_blocks):
+        assert np.array_equal(a.feature, b.feature) and np.array_equal(a.cut, b.cut) and np.allclose(a.value, b.value)
+    assert boosting._tasks(100_000_000, 12) == 79  # tasks stay of bounded size
