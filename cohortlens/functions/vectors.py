@@ -4,6 +4,8 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+import numpy as np
+import pandas as pd
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -35,26 +37,23 @@ def confidence(score: Column) -> Column:
     return F.greatest(F.lit(0.0), F.least(F.lit(1.0), (score + 1.0) / 2.0))
 
 
-def hashed_buckets(text: Column, dim: int) -> Column:
-    """Bucket of every character trigram of the padded lower-case text."""
-
-    def buckets(padded: Column) -> Column:
-        def bucket(i: Column) -> Column:
-            code = F.lit(0)
-            for k in range(GRAM):
-                code = code * HASH_BASE + F.ascii(F.substring(padded, i + k, F.lit(1)))
-            return (code % dim).cast("int")
-
-        last = F.length(padded) - (GRAM - 1)
-        return F.when(last >= 1, F.transform(F.sequence(F.lit(1), F.greatest(last, F.lit(1))), bucket)).otherwise(
-            F.array().cast("array<int>")
-        )
-
-    return bound(F.concat(F.lit(PAD), F.lower(text), F.lit(PAD)), buckets)
-
-
-def bucket_counts(buckets: Column, dim: int) -> Column:
-    return F.transform(
-        F.sequence(F.lit(0), F.lit(dim - 1)),
-        lambda b: (F.size(buckets) - F.size(F.array_remove(buckets, b))).cast("float"),
-    )
+def hashed_counts(text: Column, dim: int) -> Column:
+    """Character trigrams of the padded lower-case text, counted by bucket and L2-normalised; zeros without a trigram."""
+
+    @F.pandas_udf("array<float>")
+    def counts(padded: pd.Series) -> pd.Series:
+        codes = [np.frombuffer(t.encode("utf-32-le", "surrogatepass"), np.uint32) for t in padded]
+        size = np.array([len(c) for c in codes], np.int64)
+        flat = np.concatenate([*codes, np.zeros(0, np.uint32)]).astype(np.int64)
+        row = np.repeat(np.arange(len(codes)), size)
+        grams = max(0, len(flat) - GRAM + 1)
+        whole = row[:grams] == row[GRAM - 1 :]  # not those that run on into the next text
+        code = np.zeros(grams, np.int64)
+        for k in range(GRAM):
+            code = code * HASH_BASE + flat[k : k + grams]
+        at = row[:grams][whole] * dim + code[whole] % dim
+        out = np.bincount(at, minlength=len(codes) * dim).reshape(-1, dim).astype(float)
+        length = np.sqrt((out * out).sum(1))
+        return pd.Series(list((out / np.where(length > 0, length, 1.0)[:, None]).astype(np.float32)))
+
+    return counts(F.coalesce(F.concat(F.lit(PAD), F.lower(text), F.lit(PAD)), F.lit("")))

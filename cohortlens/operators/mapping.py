@@ -12,7 +12,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions.storage import Scratch, new_folder, staged
-from ..functions.vectors import bound, bucket_counts, confidence, hashed_buckets, unit
+from ..functions.vectors import confidence, hashed_counts, unit
 from .negation import cue_table, negated_mentions
 from .text import MENTION_KIND
 from .validate import check_top_k
@@ -44,8 +44,7 @@ def normalize_vectors(vectors: DataFrame, column: str = "embedding") -> DataFram
 
 def hashed_vectors(texts: DataFrame, text: str = "text", dim: int = 64) -> DataFrame:
     """Adds ``embedding``: a deterministic stand-in for a text encoder."""
-    counts = bound(hashed_buckets(F.col(text), dim), lambda buckets: bucket_counts(buckets, dim))
-    return texts.withColumn("embedding", bound(counts, unit))
+    return texts.withColumn("embedding", hashed_counts(F.col(text), dim))
 
 
 # --------------------------------------------------------------------------

@@ -229,7 +229,7 @@ def term_digest(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def hashed_vectors(spark: SparkSession, sf: str) -> DataFrame:
-    texts = d.table(spark, sf, "part").select("p_partkey", F.col("p_name").alias("text"))
+    texts = fill_cores(d.table(spark, sf, "part").select("p_partkey", F.col("p_name").alias("text")))
     return (
         mp.hashed_vectors(texts)
         .select("p_partkey", F.posexplode_outer("embedding").alias("bucket", "x"))
