@@ -60,7 +60,9 @@ def _spans(df: DataFrame) -> DataFrame:
 
 
 def tokenize_docs(spark: SparkSession, sf: str) -> DataFrame:
-    return tx.tokenize(_docs(spark, sf), ["doc_id"], "text").groupBy("doc_id").agg(
+    # texts are laid out by key, since their tokens would take much more room in an exchange
+    docs = d.table(spark, sf, "documents").select("doc_id", "text").repartition("doc_id")
+    return tx.tokenize(docs, ["doc_id"], "text").groupBy("doc_id").agg(
         F.count(F.lit(1)).alias("n_tokens"),
         F.count_distinct("token").alias("n_distinct"),
         F.sum(F.col("start").cast("bigint")).alias("start_sum"),

@@ -27,6 +27,15 @@ def exchanged(spark, df):
     return rows, *(written() - before)
 
 
+def test_tokens_are_counted_without_an_exchange_of_tokens(spark, tmp_path):
+    docs = [(i % 9, " ".join(f"w{i}x{j % 400}" for j in range(1000))) for i in range(10)] + [(None, "a a b"), (20, None), (21, "")]
+    spark.createDataFrame(docs, "doc_id long, text string").write.parquet(str(tmp_path / "documents.parquet"))
+    rows, records, _ = exchanged(spark, queries.tokenize_docs(spark, str(tmp_path)))
+    found = {r.doc_id: (r.n_tokens, r.n_distinct) for r in rows}
+    assert found[0] == (2000, 800) and found[1] == (1000, 400) and found[None] == (3, 2) and set(found) == {None, *range(9)}
+    assert records <= len(docs)
+
+
 def test_hashed_vectors_by_hand(spark, tmp_path):
     texts = ["Aab aab", "", None, "x", "\U0001f600 É aab", "aaaaaaa"]
     rows = mp.hashed_vectors(spark.createDataFrame(list(enumerate(texts)), "n int, text string").coalesce(1)).orderBy("n").collect()
