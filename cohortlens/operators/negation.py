@@ -126,8 +126,9 @@ def align_spans(notes: DataFrame, spans: DataFrame, keys: Sequence[str], text: s
     sentence touched; all null where a span meets no token.  Spans and pieces
     meet by text key and character bucket, so a text with many spans, or a very
     long one, is spread over its buckets.  A set of bits made of the spans
-    leaves out the pieces of other buckets before they are cut into tokens or
-    exchanged.
+    leaves out the pieces of other buckets before they are exchanged; a piece is
+    exchanged as text and cut into tokens where it meets a span, since its tokens
+    would take many times the room.
     """
     wanted = spans.select(*keys, F.col("start"), F.col("end")).where(F.col("end") > F.col("start")).distinct()
     wanted = wanted.withColumn("_b", F.explode(F.sequence(_bucket("start"), _bucket("end", -1))))
@@ -138,15 +139,7 @@ def align_spans(notes: DataFrame, spans: DataFrame, keys: Sequence[str], text: s
         *keys, "sentence", "piece", "_stop", F.col("offset").alias("_first"),
         F.explode(F.sequence(_bucket("offset"), _bucket("_stop", -1))).alias("_b"),
     )
-    pieces = (
-        marked(cut, met, touched, bits, "_met")
-        .where("_met")
-        .withColumn("_w", _tokens(F.col("piece"), 1))
-        .withColumn("_s", _tokens(F.col("piece"), 0))
-        .withColumn("_l", F.expr("transform(_s, s -> length(s))"))
-        .withColumn("_o", running_start("_l", chunk=16))
-        .select(*keys, "sentence", "_stop", "_first", F.arrays_zip(F.col("_w").alias("w"), F.col("_o").alias("o")).alias("_t"), "_b")
-    )
+    pieces = marked(cut, met, touched, bits, "_met").where("_met").drop("_met")
     here = F.col("_first")
     touching = F.filter(
         "_t",
@@ -158,6 +151,11 @@ def align_spans(notes: DataFrame, spans: DataFrame, keys: Sequence[str], text: s
         wanted.join(pieces, [*keys, "_b"])
         .where((F.col("_first") < F.col("end")) & (F.col("_stop") > F.col("start")))
         .where(F.col("_b") == F.greatest(_bucket("_first"), _bucket("start")))
+        .withColumn("_w", _tokens(F.col("piece"), 1))
+        .withColumn("_s", _tokens(F.col("piece"), 0))
+        .withColumn("_l", F.expr("transform(_s, s -> length(s))"))
+        .withColumn("_o", running_start("_l", chunk=16))
+        .withColumn("_t", F.arrays_zip(F.col("_w").alias("w"), F.col("_o").alias("o")))
         .withColumn("_hit", touching)
         .withColumns(
             {"_n": F.size("_hit"), "_head": F.try_element_at("_hit", F.lit(1)), "_tail": F.try_element_at("_hit", F.lit(-1))}

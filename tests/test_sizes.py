@@ -36,6 +36,21 @@ def test_tokens_are_counted_without_an_exchange_of_tokens(spark, tmp_path):
     assert records <= len(docs)
 
 
+def test_pieces_are_exchanged_as_text(spark):
+    rng = random.Random(5)
+    texts = [(i, " ".join(f"w{rng.randrange(10**6)}" for _ in range(4000)) + ".") for i in range(20)]
+    spans = [(i, at, at + 9) for i in range(20) for at in range(0, len(texts[i][1]), 1000)]
+    notes = spark.createDataFrame(texts, "id int, t string")
+    kept = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", -1)
+    try:
+        found, _, size = exchanged(spark, ng.align_spans(notes, spark.createDataFrame(spans, "id int, start int, end int"), ["id"], "t"))
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", kept)
+    assert len(found) == len(spans) and all(r.n_tokens for r in found)
+    assert size < 1.5 * sum(len(t) for _, t in texts)
+
+
 def test_hashed_vectors_by_hand(spark, tmp_path):
     texts = ["Aab aab", "", None, "x", "\U0001f600 É aab", "aaaaaaa"]
     rows = mp.hashed_vectors(spark.createDataFrame(list(enumerate(texts)), "n int, text string").coalesce(1)).orderBy("n").collect()
