@@ -2,10 +2,12 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable
+from collections.abc import Callable, Iterable
 
 import numpy as np
-from pyspark.sql import DataFrame, SparkSession
+from pyarrow.fs import FileSystem
+from pyspark import TaskContext
+from pyspark.sql import DataFrame, Row, SparkSession
 from pyspark.sql import functions as F
 
 from .. import sources
@@ -687,6 +689,8 @@ def vectors_round_trip(spark: SparkSession, sf: str) -> DataFrame:
 
 #: rows that go into one document of a written collection
 DOCUMENT_ROWS = 500
+#: notes that a task writes to files
+NOTES_PER_TASK = 100_000
 
 
 def _json_files(documents: DataFrame, spark: SparkSession, name: str) -> str:
@@ -741,10 +745,27 @@ def read_gold(spark: SparkSession, sf: str) -> DataFrame:
     return sources.read_gold(spark, _json_files(files, spark, "gold")).select("note", "text", "hpo_id", "negated")
 
 
+def _write_notes(path: str, rows: Iterable[Row]) -> None:
+    """A text file per row, all in one folder; a writer of tables would move and protect each file by a call of its own."""
+    fs, folder = FileSystem.from_uri(path)
+    for i, row in enumerate(rows):
+        with fs.open_output_stream(f"{folder}/note-{TaskContext.get().partitionId()}-{i}.txt") as out:
+            out.write(f"{row.body}\n".encode())
+
+
 def read_notes(spark: SparkSession, sf: str) -> DataFrame:
     """Every note as a text file of its own, read back whole; names are the writer's, so they are counted."""
     notes = d.notes(spark, sf).where(F.col("clinical_note").isNotNull())
-    path = _json_files(notes.select(F.col("patient_id").alias("doc"), F.col("clinical_note").alias("body")), spark, "notes")
+    tasks = max(spark.sparkContext.defaultParallelism, -(-notes.count() // NOTES_PER_TASK))
+    files = (  # notes of one id make one file, in the order of the table
+        notes.withColumn("at", F.monotonically_increasing_id()).repartition(tasks, "patient_id")
+        .groupBy("patient_id").agg(F.array_sort(F.collect_list(F.struct("at", "clinical_note"))).alias("rows"))
+        .select(F.array_join("rows.clinical_note", "\n").alias("body"))
+    )
+    path = new_folder(spark, "notes")
+    fs, folder = FileSystem.from_uri(path)
+    fs.create_dir(folder)
+    files.foreachPartition(lambda rows: _write_notes(path, rows))
     return sources.read_notes(spark, path).select("text", F.col("note_id").endswith(".txt").alias("named"))
 
 

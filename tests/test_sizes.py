@@ -51,6 +51,17 @@ def test_pieces_are_exchanged_as_text(spark):
     assert size < 1.5 * sum(len(t) for _, t in texts)
 
 
+def test_every_note_is_a_file_in_one_folder(spark, tmp_path, monkeypatch):
+    people = [(k, 100.25 * k, "BUILDING", k % 5) for k in [*range(1, 60), 7]]
+    spark.createDataFrame(people, "c_custkey long, c_acctbal double, c_mktsegment string, c_nationkey long").coalesce(1).write.parquet(str(tmp_path / "customer.parquet"))
+    monkeypatch.setattr(queries, "new_folder", lambda _, name: str(tmp_path / name))
+    rows = queries.read_notes(spark, str(tmp_path)).collect()
+    assert len(rows) == 58 and all(r.named for r in rows)  # one is null, and one id has two notes
+    note = queries.d.notes(spark, str(tmp_path)).where("patient_id = 'PT000007'").first().clinical_note
+    assert f"{note}\n{note}\n" in [r.text for r in rows]
+    assert not [f for f in os.scandir(tmp_path / "notes") if f.is_dir()]
+
+
 def test_hashed_vectors_by_hand(spark, tmp_path):
     texts = ["Aab aab", "", None, "x", "\U0001f600 É aab", "aaaaaaa"]
     rows = mp.hashed_vectors(spark.createDataFrame(list(enumerate(texts)), "n int, text string").coalesce(1)).orderBy("n").collect()
