@@ -4,8 +4,10 @@ Method.  Vectors are scaled to length 1 at most and given one more component
 that fills them up to 1, so the largest inner product is the least distance.
 Each block of vectors holds one sorted array per random projection.  A query's
 windows are centred at its own projections; they widen round by round (virtual
-rehashing: the arrays stay, the radius grows).  A vector that lies in the windows
-of more projections than the threshold is verified with its exact inner product.
+rehashing: the arrays stay, the radius grows).  A window is a run of places in a
+sorted array, so whether a vector lies in it is told by its place there.  A vector
+that lies in the windows of more projections than the threshold is verified with
+its exact inner product.
 A query is done in a block once its k-th best is nearer than the radius, or
 everything is verified.
 
@@ -39,6 +41,10 @@ SEED = 5
 QUERY_BYTES = 32 << 20
 #: vectors indexed together in a task
 BLOCK = 32_768
+#: vectors counted at a time, so that the numbers stay in the cache
+COLUMNS = 4096
+#: queries whose windows are looked up together; the first few show which round to start from
+FEW, MANY = 16, 256
 #: the first round takes at most this many vectors, about
 FIRST_ROUND = 1 << 20
 #: vectors up to and with a round over those before it
@@ -62,14 +68,21 @@ class _Best:
         self.ids = [np.zeros(0, np.int64)] * len(floors)
         self.scores = [np.zeros(0)] * len(floors)
 
+    def worst_of(self, q: int, scores: np.ndarray) -> float:
+        return max(self.floors[q], scores[-1] if len(scores) == self.k else -np.inf)
+
     def worst(self, q: int) -> float:
-        return max(self.floors[q], self.scores[q][-1] if len(self.scores[q]) == self.k else -np.inf)
+        return self.worst_of(q, self.scores[q])
 
-    def offer(self, q: int, ids: np.ndarray, scores: np.ndarray) -> None:
+    def merged(self, q: int, ids: np.ndarray, scores: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """The best of ``q`` with these put in."""
         ids, scores = ids[scores >= self.floors[q]], scores[scores >= self.floors[q]]
         ids, scores = np.append(self.ids[q], ids), np.append(self.scores[q], scores)
         best = np.lexsort((ids, -scores))[: self.k]
-        self.ids[q], self.scores[q] = ids[best], scores[best]
+        return ids[best], scores[best]
+
+    def offer(self, q: int, ids: np.ndarray, scores: np.ndarray) -> None:
+        self.ids[q], self.scores[q] = self.merged(q, ids, scores)
 
 
 def _exact(rows: np.ndarray, query: np.ndarray) -> np.ndarray:
@@ -86,46 +99,86 @@ class _Index:
         fill = np.sqrt(np.maximum(0.0, 1.0 - (scaled**2).sum(axis=1)))
         self.axes = np.random.default_rng(seed).standard_normal((rows.shape[1] + 1, projections))
         spots = scaled @ self.axes[:-1] + fill[:, None] * self.axes[-1]
-        self.order = np.ascontiguousarray(np.argsort(spots, axis=0, kind="stable").T)
-        self.sorted = np.take_along_axis(spots.T, self.order, axis=1)
+        order = np.argsort(spots, axis=0, kind="stable").T
+        self.sorted = np.take_along_axis(spots.T, order, axis=1)
+        # a vector's place in each sorted array, as short as it can be
+        places = np.arange(len(ids), dtype=np.uint16 if len(ids) <= 1 << 16 else np.uint32)
+        self.places = np.empty(order.shape, places.dtype)
+        np.put_along_axis(self.places, order, np.broadcast_to(places, order.shape), axis=1)
+        self.usual = 0  # the round in which queries of this block are done, as far as seen
+
+    def _counts(self, low: np.ndarray, high: np.ndarray) -> np.ndarray:
+        """In how many of the windows each vector lies; a window is a run of places."""
+        m, n = self.places.shape
+        out = np.empty(n, np.uint8 if m < 256 else np.uint16)
+        low, wide = low.astype(self.places.dtype)[:, None], (high - low)[:, None]
+        # a place before the window wraps around to a large number; a window of all has none outside
+        whole = wide > np.iinfo(self.places.dtype).max
+        wide = wide.astype(self.places.dtype)
+        for i in range(0, n, COLUMNS):
+            inside = self.places[:, i : i + COLUMNS] - low < wide
+            if whole.any():
+                inside |= whole
+            out[i : i + COLUMNS] = inside.view(np.uint8).sum(axis=0, dtype=out.dtype)
+        return out
 
     def search(self, query_ids: np.ndarray, queries: np.ndarray, best: _Best, at: np.ndarray, options: dict) -> None:
+        """Offers each query what collides often enough in the first round that ends it.
+
+        Windows, what they hold and a query's k-th best only grow from round to
+        round, so the last round gives all, whatever was counted before.  It is
+        looked for from the round in which others were done, down and up.
+        """
         lengths = np.sqrt((queries**2).sum(axis=1))
         centres = (queries / lengths[:, None]) @ self.axes[:-1]
-        n, m = len(self.ids), len(self.order)
+        m = len(self.places)
         need = int(np.ceil(options["threshold"] * m))
-        counts = np.zeros((len(queries), n), np.uint8 if m < 256 else np.uint16)
-        seen = np.zeros((len(queries), n), bool)
-        lo = np.empty((m, len(queries)), np.int64)
-        for j in range(m):
-            lo[j] = np.searchsorted(self.sorted[j], centres[:, j])
-        hi = lo.copy()
-        active, radius = np.arange(len(queries)), options["first_radius"]
+        radii = [options["first_radius"]]
+
+        def radius(t: int) -> float:
+            while len(radii) <= t:
+                radii.append(radii[-1] * options["growth"])
+            return radii[t]
+
+        def enough(q: int, t: int, worst: float) -> bool:
+            reach = 1.0 - radius(t) * radius(t) / 2  # scaled inner product at this distance
+            return worst >= reach * lengths[q] * self.longest
+
+        active = np.arange(len(queries))
+        turn, too_soon, ends = np.full(len(queries), self.usual), np.full(len(queries), -1), []
+        low, high = np.empty((m, len(queries)), np.int64), np.empty((m, len(queries)), np.int64)
         while len(active):
-            half = options["half_width"] * radius
-            new_lo, new_hi = lo[:, active], hi[:, active]
+            half = options["half_width"] * np.array([radius(t) for t in turn[active]])
             for j in range(m):
-                new_lo[j] = np.searchsorted(self.sorted[j], centres[active, j] - half, "left")
-                new_hi[j] = np.searchsorted(self.sorted[j], centres[active, j] + half, "right")
+                low[j, active] = np.searchsorted(self.sorted[j], centres[active, j] - half, "left")
+                high[j, active] = np.searchsorted(self.sorted[j], centres[active, j] + half, "right")
             still = []
-            for i, q in enumerate(active):
-                rings = [self.order[j, new_lo[j, i] : lo[j, q]] for j in range(m)]
-                rings += [self.order[j, hi[j, q] : new_hi[j, i]] for j in range(m)]
-                counts[q] += np.bincount(np.concatenate(rings), minlength=n).astype(counts.dtype)
-                found = np.flatnonzero((counts[q] >= need) & ~seen[q])
-                if len(found):
-                    seen[q, found] = True
-                    rough = self.rows[found] @ queries[q]
-                    good = rough >= best.worst(at[q]) - 1e-9 * (1 + abs(best.worst(at[q])))
-                    found = found[good & (self.ids[found] != query_ids[q])]
-                    best.offer(at[q], self.ids[found], _exact(self.rows[found], queries[q]))
-                reach = 1.0 - radius * radius / 2  # scaled inner product at this distance
-                done = best.worst(at[q]) >= reach * lengths[q] * self.longest
-                if not done and not seen[q].all():
-                    still.append(i)
-            lo[:, active], hi[:, active] = new_lo, new_hi
-            active = active[still]
-            radius *= options["growth"]
+            for q in active:
+                t = turn[q]
+                found = np.flatnonzero(self._counts(low[:, q], high[:, q]) >= need)
+                everything = len(found) == len(self.ids)
+                rough = self.rows[found] @ queries[q]
+                rough[self.ids[found] == query_ids[q]] = -np.inf
+                least = best.worst(at[q])
+                if len(found) > best.k:
+                    least = max(least, np.partition(rough, -best.k)[-best.k])
+                good = rough >= least - 1e-9 * (1 + abs(least)) if least > -np.inf else rough > -np.inf
+                found = found[good]
+                ids, scores = self.ids[found], _exact(self.rows[found], queries[q])
+                worst = best.worst_of(at[q], best.merged(at[q], ids, scores)[1])
+                if not everything and not enough(q, t, worst):
+                    too_soon[q], turn[q] = t, t + 1
+                    still.append(q)
+                    continue
+                sooner = next((s for s in range(too_soon[q] + 1, t) if enough(q, s, worst)), t)
+                if sooner < t:
+                    turn[q] = sooner
+                    still.append(q)
+                else:
+                    best.offer(at[q], ids, scores)
+                    ends.append(t)
+            active = np.array(still, np.int64)
+        self.usual = int(np.median(ends))
 
 
 def _search(sent, longest: dict[int, float], k: int, options: dict):
@@ -143,8 +196,7 @@ def _search(sent, longest: dict[int, float], k: int, options: dict):
                 return
             index = _Index(np.concatenate(ids), np.concatenate(rows), longest[dim], options["projections"], options["seed"])
             query_ids, vectors, _ = queries[dim]
-            for i in range(0, len(query_ids), 256):
-                at = np.arange(i, min(i + 256, len(query_ids)))
+            for at in np.split(np.arange(len(query_ids)), range(FEW, len(query_ids), MANY)):
                 index.search(query_ids[at], vectors[at], found[dim], at, options)
 
         for b in parts:

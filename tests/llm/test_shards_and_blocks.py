@@ -51,3 +51,36 @@ def test_floors_leave_only_hits_that_count(spark):
     asked = df.where("vec_id = 20").union(df.where("vec_id = 20"))
     got = neighbours.nearest_vectors(df, asked, k=4, first_round=16).orderBy("rank").collect()
     assert [(r.query_id, r.rank, r.vec_id, r.score) for r in got] == [(20, n + 1, 7 * n + 6, 37.0) for n in range(2)] + [(20, 3, 27, 37.0), (20, 4, 34, 37.0)]
+
+
+def test_rounds_are_looked_for_not_walked_through():
+    """The hits of a plain walk from round to round, from a few counts per query."""
+    rng = np.random.default_rng(3)
+    rows, k = rng.standard_normal((600, 24)), 5
+    ids, asked = np.arange(600), np.arange(0, 600, 6)
+    options = {"threshold": 0.56, "half_width": 1.0, "first_radius": 0.45, "growth": 1.13}
+    longest = float(np.sqrt((rows**2).sum(axis=1)).max())
+    index = neighbours._Index(ids, rows, longest, 64, 5)
+    counted, count = [], index._counts
+    index._counts = lambda low, high: counted.append(1) or count(low, high)
+    best = neighbours._Best(np.full(len(asked), -np.inf), k)
+    for at in (np.arange(10), np.arange(10, len(asked))):
+        index.search(asked[at], rows[asked[at]], best, at, options)
+    spots = np.column_stack([rows / longest, np.sqrt(1 - ((rows / longest) ** 2).sum(axis=1).clip(max=1))]) @ index.axes
+    for n, q in enumerate(asked):
+        length, radius, hits = np.sqrt((rows[q] ** 2).sum()), 0.45, []
+        centre = rows[q] / length @ index.axes[:-1]
+        while True:
+            seen = (np.abs(spots - centre) <= radius).sum(axis=1) >= 36
+            hits = sorted((-float((rows[i] * rows[q]).sum()), i) for i in np.flatnonzero(seen) if i != q)[:k]
+            if seen.all() or len(hits) == k and -hits[-1][0] >= (1 - radius**2 / 2) * length * longest:
+                break
+            radius *= 1.13
+        assert [i for _, i in hits] == best.ids[n].tolist()
+    assert len(counted) <= 4 * len(asked)
+
+
+def test_windows_of_a_whole_block_hold_all_of_it():
+    index = neighbours._Index(np.arange(1 << 16), np.ones((1 << 16, 1)), 1.0, 2, 5)
+    assert index.places.dtype == np.uint16
+    assert set(index._counts(np.array([0, 5]), np.array([1 << 16, 5])).tolist()) == {1}
