@@ -13,6 +13,7 @@ from collections.abc import Callable, Mapping, Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql.streaming.query import StreamingQuery
 
+from ..functions.layout import fill_batch
 from ..functions.storage import passing_tables
 from ..operators.mapping import enrich_notes
 from ..operators.models import RiskModels
@@ -29,7 +30,7 @@ def run_stream(
     """Start a query that writes every output of a batch below ``out``."""
 
     def write(batch: DataFrame, batch_id: int) -> None:
-        held = batch.persist()
+        held = fill_batch(batch).persist()
         try:
             with passing_tables(batch.sparkSession, "batch"):
                 for name, frame in outputs(held).items():
