@@ -26,10 +26,11 @@ DIGEST_DISCLAIMER = "This output is for decision support only and should not be
 # ----------------------------------------------------------------------------------
 
 #: a concept matrix up to this many bytes goes to every executor; a larger one
-#: does so in blocks of half of it, one after another
-BROADCAST_MATRIX_BYTES = 256 << 20
-#: scores held at once by a task
-SCORES_AT_ONCE = 1 << 22
+#: does so in blocks of half of it, one after another; every Python worker holds
+#: it, and a second time while it is read
+BROADCAST_MATRIX_BYTES = 64 << 20
+#: scores held at once by a task, in three copies
+SCORES_AT_ONCE = 1 << 20
 #: scores closer than this are ties, decided by vector_idx
 SCORE_DIGITS = 9
 #: copies of a lookup row that hot lookup keys are spread over

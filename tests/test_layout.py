@@ -25,3 +25,14 @@ def test_a_batch_of_one_file_is_spread_over_the_cores(spark, tmp_path):
     micro_batches.run_stream(arriving, outputs, str(tmp_path / "out"), str(tmp_path / "checkpoint")).awaitTermination()
     assert seen == [spark.sparkContext.defaultParallelism]
     assert spark.read.parquet(str(tmp_path / "out/rows")).count() == 200
+
+
+def test_scores_of_a_task_take_little_room():
+    rng = np.random.default_rng(0)
+    queries, concepts = rng.standard_normal((3000, 8)), rng.standard_normal((4000, 8))
+    tracemalloc.start()
+    places = sum(len(rows) for rows, _, _ in mp._top(queries, concepts, np.arange(4000), 9))
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert places == 27_000 and peak < 48 << 20
+    assert mp.BROADCAST_MATRIX_BYTES <= 64 << 20  # of which every worker of an executor holds one
