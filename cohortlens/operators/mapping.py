@@ -323,11 +323,14 @@ def enrich_notes(
 
     ``concepts``: ``vector_idx, hpo_id, text`` and, unless the encoder makes
     it, ``embedding``.  Negated mentions are mapped too.  The mentions are
-    written once, since both the texts to encode and the result need them.
+    written once, since both the texts to encode and the result need them; each
+    distinct text is encoded once.
     """
     cues = cues if cues is not None else cue_table(notes.sparkSession)
     phrases = concepts.select(F.lit(MENTION_KIND).alias("kind"), F.col("text").alias("phrase")).distinct()
     mentions = staged(negated_mentions(notes, phrases, cues, keys, text), "mentions")
-    queries = encoder(mentions.select("text").distinct()).withColumnRenamed("text", "mention_text")
+    # written too: a filter on what the encoder makes would go below the distinct, and the encoder with it
+    texts = staged(mentions.select("text").distinct(), "texts")
+    queries = encoder(texts).withColumnRenamed("text", "mention_text")
     vectors = concepts if "embedding" in concepts.columns else encoder(concepts)
     return map_mentions(mentions, find_candidates(queries, vectors, top_k), keys)

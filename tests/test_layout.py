@@ -27,6 +27,23 @@ def test_a_batch_of_one_file_is_spread_over_the_cores(spark, tmp_path):
     assert spark.read.parquet(str(tmp_path / "out/rows")).count() == 200
 
 
+def test_every_distinct_text_is_encoded_once(spark):
+    notes = spark.createDataFrame([(i, "Fever and pain .") for i in range(60)], "n long, text string")
+    concepts = spark.createDataFrame([(0, "C:0", "fever", [1.0, 0.0]), (1, "C:1", "pain", [0.0, 1.0])], "vector_idx long, hpo_id string, text string, embedding array<float>")
+    made = spark.sparkContext.accumulator(0)
+
+    def of(text):
+        made.add(1)
+        return [float(text.lower() == "fever"), float(text.lower() == "pain")]
+
+    def encoder(texts):
+        return texts.withColumn("embedding", F.udf(of, "array<float>")("text"))
+
+    got = mp.enrich_notes(notes, concepts, ["n"], "text", top_k=1, encoder=encoder).collect()
+    assert sorted((r.n, r.hpo_id) for r in got) == [(i, c) for i in range(60) for c in ("C:0", "C:1")]
+    assert made.value <= 12  # two texts, some steps of one run
+
+
 def test_scores_of_a_task_take_little_room():
     rng = np.random.default_rng(0)
     queries, concepts = rng.standard_normal((3000, 8)), rng.standard_normal((4000, 8))
