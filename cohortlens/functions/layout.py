@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame
 #: larger tables are never shuffled for this, however many cores there are
 MOST_BYTES = 2 << 30
 #: bytes of a table, as stored, whose rows by key make one task
-TASK_BYTES = 8 << 20
+TASK_BYTES = 2 << 20
 #: estimates from here on stand for an unknown size
 UNKNOWN_BYTES = 1 << 50
 

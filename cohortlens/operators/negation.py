@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from ..functions.arrays import running_start
 from ..functions.bits import bit_table, marked
+from ..functions.layout import tasks_by_key
 from ..functions.storage import staged
 from .text import CUT_KIND, MENTION_KIND, _tokens, compile_lexicon, match_phrases, phrase_table, resolve_overlaps, split_pieces
 
@@ -115,7 +116,7 @@ def negated_mentions(
     """Dictionary mentions with their negation flag, in one pass over the text."""
     mentions = lexicon_rows.select(F.lit(MENTION).alias("kind"), F.lit(MENTION).alias("category"), "phrase").distinct()
     lexicon = compile_lexicon(mentions.unionByName(cues.select("kind", "category", "phrase")))
-    events = match_phrases(notes, lexicon, keys, text).repartition(*keys)
+    events = tasks_by_key(match_phrases(notes, lexicon, keys, text), keys, notes)
     return resolve_overlaps(flag_negated(events, keys).drop("category"), keys)
 
 
@@ -204,8 +205,8 @@ def negate_spans(
         match_phrases(notes, lexicon, keys, text)
         .select(columns)
         .unionByName(judged.withColumn("kind", F.lit(MENTION)).select(columns))
-        .repartition(*keys)
     )
+    events = tasks_by_key(events, keys, notes)
     flags = flag_negated(mark_cut_spans(events, keys), keys).select(
         *keys, F.col("start").alias("token_start"), F.col("end").alias("token_end"), "negated"
     )

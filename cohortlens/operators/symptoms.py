@@ -7,6 +7,7 @@ from collections.abc import Mapping, Sequence
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ..functions.layout import tasks_by_key
 from .negation import MENTION, cue_table, flag_negated
 from .text import compile_lexicon, match_phrases, phrase_table, resolve_overlaps
 
@@ -134,7 +135,7 @@ def symptom_mentions(
         rows = rows.unionByName((cues if cues is not None else cue_table(spark)).select("kind", "category", "phrase"))
     hits = match_phrases(notes, compile_lexicon(rows), keys, text, context_chars=GRADE_CONTEXT if with_grade else 0)
     grade = F.when(F.col("kind") == MENTION, infer_grade("context")) if with_grade else F.lit(None).cast("int")
-    events = hits.withColumn("grade", grade).drop("context").repartition(*keys)
+    events = tasks_by_key(hits.withColumn("grade", grade).drop("context"), keys, notes)
     if apply_negation:
         found = flag_negated(events, keys)
     else:

@@ -17,6 +17,7 @@ from pyspark.sql import functions as F
 from ..functions.arrays import running_start
 from ..functions.bits import bit_table, marked
 from ..functions.grammar import KEY_SEP, PIECE, PIECE_ENDS, PIECE_TOKENS, SENTENCE_ENDERS, TOKEN
+from ..functions.layout import tasks_by_key
 
 #: a lexicon up to this size is probed in a broadcast hash join; beyond it whole
 #: phrases are joined by key across the cluster
@@ -379,4 +380,4 @@ _CHOSEN = (
 def find_mentions(notes: DataFrame, lexicon: DataFrame, keys: Sequence[str], text: str) -> DataFrame:
     """Dictionary mentions of every text, in text order by ``start``."""
     hits = match_phrases(notes, lexicon.select(*LEXICON_COLUMNS).distinct(), keys, text)
-    return resolve_overlaps(hits.repartition(*keys), keys)
+    return resolve_overlaps(tasks_by_key(hits, keys, notes), keys)

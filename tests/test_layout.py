@@ -27,6 +27,23 @@ def test_a_batch_of_one_file_is_spread_over_the_cores(spark, tmp_path):
     assert spark.read.parquet(str(tmp_path / "out/rows")).count() == 200
 
 
+def test_tasks_follow_the_size_of_the_texts(spark, tmp_path, monkeypatch):
+    cores = spark.sparkContext.defaultParallelism
+    spark.range(300).select(F.col("id").alias("n"), F.lit("no pain , fever").alias("text")).write.parquet(str(tmp_path / "notes"))
+    notes = spark.read.parquet(str(tmp_path / "notes"))
+    lexicon = tx.phrase_table(spark, {"all": ["pain", "fever"]}, tx.MENTION_KIND)
+
+    def found():
+        return ng.negated_mentions(notes, lexicon, ng.cue_table(spark), ["n"], "text")
+
+    small = {tuple(r) for r in found().collect()}
+    size = layout._estimated_bytes(notes)
+    monkeypatch.setattr(layout, "TASK_BYTES", -(-size // (3 * cores)))
+    tasks = -(-size // layout.TASK_BYTES)
+    assert tasks > cores and found().rdd.getNumPartitions() == tasks
+    assert {tuple(r) for r in found().collect()} == small and len(small) == 600
+
+
 def test_every_distinct_text_is_encoded_once(spark):
     notes = spark.createDataFrame([(i, "Fever and pain .") for i in range(60)], "n long, text string")
     concepts = spark.createDataFrame([(0, "C:0", "fever", [1.0, 0.0]), (1, "C:1", "pain", [0.0, 1.0])], "vector_idx long, hpo_id string, text string, embedding array<float>")
