@@ -28,6 +28,7 @@ def test_a_wide_table_does_not_go_to_a_task_per_fit(spark, monkeypatch):
 
 
 def test_trees_are_the_same_however_rows_lie_and_are_added_up(spark, monkeypatch):
+    monkeypatch.setattr(boosting, "PLAIN_ROWS", 0)
     rows = _rows(spark, 6_000, 5)
     first = boosting.boost(rows, 2, trees=8)
     monkeypatch.setattr(boosting, "MOST_CODES", 1)  # features one by one
@@ -64,3 +65,13 @@ def test_a_linear_fit_makes_few_tasks(spark, monkeypatch):
     monkeypatch.setattr(md, "LOGISTIC_TASK_ROWS", 300)
     md.fit_logistic(rows)
     assert parts == [1, 4]
+
+
+def test_few_rows_are_added_up_one_by_one_without_rounding(spark, monkeypatch):
+    seen, whole = [], boosting._in_tasks
+    monkeypatch.setattr(boosting, "_in_tasks", lambda packed, fits, plan: seen.append(plan) or whole(packed, fits, plan))
+    boosting.boost(_rows(spark, 2_000, 4), 2, trees=1)
+    assert seen[0]["units"] == [None, None] and seen[0]["bundles"] == [[0], [1], [2]]
+    margin, y = np.array([0.1, -0.3]), np.array([0.0, 1.0])
+    p = 1 / (1 + np.exp(-margin))
+    assert np.array_equal(boosting._slopes(margin, y, np.ones(2), None)[0], p - y)
